@@ -59,6 +59,11 @@ def file_name(path: Column) -> Column:
     return F.element_at(F.split(path, "/"), -1)
 
 
+def scanned_file() -> Column:
+    """Path of the file behind a row, in the plain form listings use (file metadata is URI-encoded)."""
+    return F.url_decode(F.replace(F.col("_metadata.file_path"), F.lit("+"), F.lit("%2B")))
+
+
 def extension(path: Column) -> Column:
     return F.lower(F.regexp_extract(file_name(path), r"\.([^.]+)$", 1))
 

@@ -8,7 +8,7 @@ import zipfile
 import pyarrow as pa
 from pyspark.sql import functions as F
 
-from moorage.functions.names import below, normalize_columns, snake_case
+from moorage.functions.names import below, normalize_columns, scanned_file, snake_case
 from moorage.functions.paths import relayout_path
 from moorage.operators import headers, inference
 from moorage.plans.registered import query
@@ -278,7 +278,7 @@ def hive_layout_write(spark, t):
     root = workspace(spark, "hive_layout")
     rows = t.orders.select("o_orderkey", F.year("o_orderdate").alias("year"), F.month("o_orderdate").alias("month"))
     tables.append(rows, root, ["year", "month"])
-    parts = F.split(below(F.col("_metadata.file_path"), root), "/")
+    parts = F.split(below(scanned_file(), root), "/")
     return spark.read.parquet(root).select("o_orderkey", "year", "month", F.concat_ws("/", parts[0], parts[1]).alias("folder"))
 
 

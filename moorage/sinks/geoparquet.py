@@ -7,11 +7,11 @@ Spark's own Parquet writer cannot add footer keys, so tasks write through Arrow.
 from __future__ import annotations
 
 import json
+import re
 import uuid
 from collections.abc import Iterator
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
-from urllib.parse import unquote, urlsplit
 
 import pyarrow as pa
 import pyarrow.parquet as pq
@@ -29,11 +29,12 @@ CODEC = "snappy"
 
 def filesystem(path: str) -> tuple[pafs.FileSystem, str]:
     """Arrow file system of a Hadoop-style path or URI."""
-    parts = urlsplit(path)
-    if parts.scheme in ("", "file"):
-        return pafs.LocalFileSystem(), unquote(parts.path) if parts.scheme else path
-    scheme = {"s3a": "s3", "s3n": "s3"}.get(parts.scheme, parts.scheme)
-    return pafs.FileSystem.from_uri(parts._replace(scheme=scheme).geturl())
+    scheme, authority, name = re.match(r"(?:([a-zA-Z][\w+.-]*):)?(?://([^/]*))?(.*)", path, re.S).groups()
+    if scheme in (None, "file"):
+        return pafs.LocalFileSystem(), name
+    scheme = {"s3a": "s3", "s3n": "s3"}.get(scheme, scheme)
+    fs, base = pafs.FileSystem.from_uri(f"{scheme}://{authority or ''}/")
+    return fs, base.rstrip("/") + name
 
 
 def open_input(path: str):

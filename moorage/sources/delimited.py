@@ -4,13 +4,12 @@ from __future__ import annotations
 
 import csv
 from dataclasses import dataclass
-from urllib.parse import unquote
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from moorage.functions.names import header_names
+from moorage.functions.names import header_names, scanned_file
 
 UTF8, LATIN1 = "UTF-8", "ISO-8859-1"
 OVERFLOW = "_overflow"
@@ -39,7 +38,7 @@ def profile(spark: SparkSession, paths: str | list[str]) -> DataFrame:
         .text(paths)
         .select(
             "value",
-            F.col("_metadata.file_path").alias("path"),
+            scanned_file().alias("path"),
             F.col("_metadata.file_block_start").alias("block"),
             F.monotonically_increasing_id().alias("at"),
         )
@@ -88,12 +87,12 @@ def read_group(spark: SparkSession, group: FileGroup, separator: str, overflow:
         names = header_names(cells)
         names += [OVERFLOW] if overflow else []
         reader = reader.schema(T.StructType([T.StructField(n, T.StringType()) for n in names]))
-    return reader.csv([literal_path(p) for p in group.paths]).withColumn("source_file", F.col("_metadata.file_path"))
+    return reader.csv([literal_path(p) for p in group.paths]).withColumn("source_file", scanned_file())
 
 
 def literal_path(path: str) -> str:
     """A listed path as a scan argument that matches only itself."""
-    return "".join("\\" + ch if ch in "*?[]{}\\" else ch for ch in unquote(path))
+    return "".join("\\" + ch if ch in "*?[]{}\\" else ch for ch in path)
 
 
 def read_delimited(spark: SparkSession, paths: str | list[str], separator: str = ",") -> DataFrame:

@@ -7,6 +7,8 @@ import os
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from moorage.functions.names import scanned_file
+
 
 def listing(spark: SparkSession, root: str | list[str], pattern: str | None = None) -> DataFrame:
     """One row per file below ``root``: path, length, modification time. No content is read."""
@@ -30,7 +32,7 @@ def fingerprint(files: DataFrame) -> DataFrame:
 
 def rows_per_file(df: DataFrame) -> DataFrame:
     """Row count of every file behind a file-based frame."""
-    return df.groupBy(F.col("_metadata.file_path").alias("path")).agg(F.count(F.lit(1)).alias("row_count"))
+    return df.groupBy(scanned_file().alias("path")).agg(F.count(F.lit(1)).alias("row_count"))
 
 
 def _hadoop(spark: SparkSession, path: str):

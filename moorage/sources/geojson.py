@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from moorage.functions.names import scanned_file
 from moorage.sources import pages
 
 
@@ -15,7 +16,7 @@ def file_pages(spark: SparkSession, path: str | list[str]) -> DataFrame:
         spark.read.option("wholetext", True)
         .option("recursiveFileLookup", True)
         .text(path)
-        .select(F.col("_metadata.file_path").alias("layer"), F.lit(0).cast("bigint").alias("offset"), F.col("value").alias("body"))
+        .select(scanned_file().alias("layer"), F.lit(0).cast("bigint").alias("offset"), F.col("value").alias("body"))
     )
 
 

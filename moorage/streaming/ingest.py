@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from moorage.functions.names import scanned_file
 from moorage.operators.history import RECORD
 from moorage.operators.metrics import Metric, observed
 from moorage.sinks import tables
@@ -52,7 +53,7 @@ def ingest(
     if files_per_batch:
         reader = reader.option("maxFilesPerTrigger", files_per_batch)
     stream = reader.load(source).select(
-        "*", F.col("_metadata.file_path").alias("_path"), F.col("_metadata.file_name").alias("_name")
+        "*", scanned_file().alias("_path"), F.col("_metadata.file_name").alias("_name")
     )
 
     def load(batch: DataFrame, batch_id: int) -> None:
