@@ -107,8 +107,7 @@ def encode(geometries: pa.Array) -> pa.Array:
     def fail(mask: np.ndarray, message: str) -> None:
         errors[mask & np.equal(errors, None)] = message
 
-    n_points = np.bincount(member_of_point, minlength=n_m)
-    empty = n_points == 0
+    empty = np.bincount(member_of_point, weights=widths, minlength=n_m) == 0
     dims = np.zeros(n_m, dtype=np.int64)
     np.maximum.at(dims, member_of_point, widths)
     fail(_flag(widths != dims[member_of_point], member_of_point, n_m), "mixed coordinate dimensions")
@@ -138,9 +137,9 @@ def encode(geometries: pa.Array) -> pa.Array:
 
     in_multi = np.isin(ring_kind, (MULTI_LINE, MULTI_POLYGON)) | is_ring
     fail(_flag((ring_size == 0) & in_multi, member_of_ring, n_m) & ~empty, "empty part")
-    fail(_flag(is_ring & (ring_size > 0) & (ring_size < 4), member_of_ring, n_m), "ring has fewer than 4 points")
+    fail(_flag(is_ring & (ring_size > 0) & (ring_size < 4), member_of_ring, n_m) & ~empty, "ring has fewer than 4 points")
     lines = (ring_kind == LINE) | (ring_kind == MULTI_LINE)
-    fail(_flag(lines & (ring_size == 1), member_of_ring, n_m), "line has one point")
+    fail(_flag(lines & (ring_size == 1), member_of_ring, n_m) & ~empty, "line has one point")
     fail((kind < POINT) | (kind > MULTI_POLYGON), "unsupported geometry type")
 
     bad_row = _flag(np.not_equal(errors, None), row_of_member, rows)
@@ -149,7 +148,8 @@ def encode(geometries: pa.Array) -> pa.Array:
     keep_m = keep_row[row_of_member]
 
     # Sizes from the inside out; dropped rows take no bytes.
-    keep_pt, keep_r, keep_p = keep_m[member_of_point], keep_m[member_of_ring], keep_m[member_of_poly]
+    full_m = keep_m & ~empty
+    keep_pt, keep_r, keep_p = full_m[member_of_point], full_m[member_of_ring], full_m[member_of_poly]
     pt_kind, poly_kind = kind[member_of_point], kind[member_of_poly]
     dim_pt = dims[member_of_point]
     pt_prefix = np.where(pt_kind == MULTI_POINT, 5, 0)

@@ -16,22 +16,29 @@ def clean_nulls(df: DataFrame, columns: list[str]) -> DataFrame:
     return df.withColumns({c: values.null_tokens_to_null(_name(c)) for c in columns})
 
 
+# What the values of a column look like, as bits of one mask.
+_WHOLE, _LONG_WHOLE, _FRACTION, _FLAG, _TEXT = 1, 2, 4, 8, 16
+
+
 def _type_of(col: Column) -> Column:
-    """Aggregate that names the type of one column.
+    """Aggregate that names the type of one column: a single bit mask, or-ed over its values.
 
     Integers beyond 64 bits stay text, as do columns without any value.
     """
-    n = F.count(col)
-    whole = F.count_if(F.coalesce(col.rlike(values.INTEGER_PATTERN), F.lit(False)))
-    fits = F.count(values.text_to_bigint(col))
-    floats = F.count(values.text_to_double(col))
-    flags = F.count(values.text_to_boolean(col))
+    whole = col.rlike(values.INTEGER_PATTERN)
+    look = (
+        F.when(col.isNull(), 0)
+        .when(whole & values.text_to_bigint(col).isNotNull(), _WHOLE)
+        .when(whole, _LONG_WHOLE)
+        .when(col.isin(*values.TRUE_TOKENS, *values.FALSE_TOKENS), _FLAG)
+        .when(values.text_to_double(col).isNotNull(), _FRACTION)
+        .otherwise(_TEXT)
+    )
+    seen = F.coalesce(F.bit_or(look), F.lit(0))
     return (
-        F.when(n == 0, "string")
-        .when((whole == n) & (fits == n), "bigint")
-        .when(whole == n, "string")
-        .when(floats == n, "double")
-        .when(flags == n, "boolean")
+        F.when(seen == _WHOLE, "bigint")
+        .when(seen == _FLAG, "boolean")
+        .when((seen.bitwiseAND(_FLAG | _TEXT) == 0) & (seen.bitwiseAND(_FRACTION) > 0), "double")
         .otherwise("string")
     )
 
