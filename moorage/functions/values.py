@@ -14,8 +14,11 @@ NULL_TOKENS = (
 TRUE_TOKENS = ("True", "TRUE", "true")
 FALSE_TOKENS = ("False", "FALSE", "false")
 
-INTEGER_PATTERN = r"^\s*[+-]?[0-9]+\s*$"
-JAVA_SUFFIX = r"[0-9.][dDfF]\s*$"
+# Integers that may fit 64 bits.
+BIGINT_PATTERN = r"^\s*[+-]?0*[0-9]{1,19}\s*$"
+NUMBER_PATTERN = (
+    r"^\s*[+-]?(?:(?:[0-9]+\.?[0-9]*|\.[0-9]+)(?:[eE][+-]?[0-9]+)?|[iI][nN][fF](?:[iI][nN][iI][tT][yY])?|[nN][aA][nN])\s*$"
+)
 
 
 def null_tokens_to_null(col: Column) -> Column:
@@ -23,12 +26,15 @@ def null_tokens_to_null(col: Column) -> Column:
 
 
 def text_to_double(col: Column) -> Column:
-    """Numeric value of a text, null when it is not a number (``12d`` is not one)."""
-    return F.when(~col.rlike(JAVA_SUFFIX), col.try_cast("double"))
+    """Numeric value of a text, null when it is not a number (``12d`` is not one).
+
+    The pattern also keeps texts away from the cast, where every failure costs an exception.
+    """
+    return F.when(col.rlike(NUMBER_PATTERN), col.try_cast("double"))
 
 
 def text_to_bigint(col: Column) -> Column:
-    return F.when(col.rlike(INTEGER_PATTERN), F.trim(col).try_cast("bigint"))
+    return F.when(col.rlike(BIGINT_PATTERN), F.trim(col).try_cast("bigint"))
 
 
 def text_to_boolean(col: Column) -> Column:

@@ -56,11 +56,14 @@ def candidates(
     datasets: DataFrame, keys: Sequence[str], url_templates: Sequence[str], start_year: int, min_year: int = MIN_YEAR
 ) -> DataFrame:
     """Every URL worth probing: each year of each dataset with each template, in template order."""
-    years = datasets.select(*keys, "base_url", F.explode(F.sequence(F.lit(min_year), F.lit(start_year))).alias("year"))
-    tried = years.select("*", F.posexplode(F.array(*[F.lit(t) for t in url_templates])).alias("attempt", "template"))
-    filename = urls.fill_template(F.col("template"), F.col("year"))
-    return tried.select(
-        *keys, "year", "attempt", filename.alias("filename"), urls.resolve(F.col("base_url"), filename).alias("url")
+    named = datasets.select(*keys, "base_url", F.posexplode(F.array(*[F.lit(t) for t in url_templates])).alias("attempt", "template"))
+    # Resolved once per template; the year is filled in afterwards.
+    resolved = named.withColumn("_url", urls.resolve(F.col("base_url"), F.col("template")))
+    years = resolved.select("*", F.explode(F.sequence(F.lit(min_year), F.lit(start_year))).alias("year"))
+    return years.select(
+        *keys, "year", "attempt",
+        urls.fill_template(F.col("template"), F.col("year")).alias("filename"),
+        urls.fill_template(F.col("_url"), F.col("year")).alias("url"),
     )
 
 

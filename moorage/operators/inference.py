@@ -25,14 +25,20 @@ def _type_of(col: Column) -> Column:
 
     Integers beyond 64 bits stay text, as do columns without any value.
     """
-    whole = col.rlike(values.INTEGER_PATTERN)
+    # One pattern match per value in the common cases; a number with none of these marks is whole.
+    fraction = None
+    for mark in ".eEnN":
+        has = col.contains(mark)
+        fraction = has if fraction is None else fraction | has
+    number = (
+        F.when(fraction, _FRACTION)
+        .when(F.length(col) <= 18, _WHOLE)
+        .when(values.text_to_bigint(col).isNotNull(), _WHOLE)
+        .otherwise(_LONG_WHOLE)
+    )
+    flag = col.isin(*values.TRUE_TOKENS, *values.FALSE_TOKENS)
     look = (
-        F.when(col.isNull(), 0)
-        .when(whole & values.text_to_bigint(col).isNotNull(), _WHOLE)
-        .when(whole, _LONG_WHOLE)
-        .when(col.isin(*values.TRUE_TOKENS, *values.FALSE_TOKENS), _FLAG)
-        .when(values.text_to_double(col).isNotNull(), _FRACTION)
-        .otherwise(_TEXT)
+        F.when(col.isNull(), 0).when(flag, _FLAG).when(col.rlike(values.NUMBER_PATTERN), number).otherwise(_TEXT)
     )
     seen = F.coalesce(F.bit_or(look), F.lit(0))
     return (
@@ -44,13 +50,14 @@ def _type_of(col: Column) -> Column:
 
 
 def type_array(columns: list[str]) -> Column:
-    """Aggregate giving the types of the columns, in order."""
-    return F.array(*[_type_of(values.null_tokens_to_null(_name(c))) for c in columns])
+    """Aggregate giving the types of columns whose null tokens are nulls already, in order."""
+    return F.array(*[_type_of(_name(c)) for c in columns])
 
 
 def type_report(df: DataFrame, columns: list[str], keys: list[str] | None = None) -> DataFrame:
     """One scan: ``types``, an array aligned with ``columns``, overall or per key (such as the file)."""
-    return df.groupBy(*(keys or [])).agg(type_array(columns).alias("types"), F.count(F.lit(1)).alias("row_count"))
+    # Cleaned in a step of its own, so that each value is looked up once and not per reference.
+    return clean_nulls(df, columns).groupBy(*(keys or [])).agg(type_array(columns).alias("types"), F.count(F.lit(1)).alias("row_count"))
 
 
 def cast_columns(df: DataFrame, types: dict[str, str]) -> DataFrame:
@@ -61,8 +68,8 @@ def cast_columns(df: DataFrame, types: dict[str, str]) -> DataFrame:
         "boolean": values.text_to_boolean,
         "string": lambda c: c,
     }
-    typed = {c: convert[t](values.null_tokens_to_null(_name(c))) for c, t in types.items()}
-    return df.withColumns(typed)
+    typed = {c: convert[t](_name(c)) for c, t in types.items()}
+    return clean_nulls(df, list(types)).withColumns(typed)
 
 
 def infer_types(df: DataFrame, columns: list[str] | None = None) -> DataFrame:

@@ -153,10 +153,11 @@ def gate_enabled(spark, t):
 
 
 def _registry(t):
-    key = F.col("c_custkey") % 6
+    # By nation: no document, a corrupt one, then more and more of the reference known.
+    key = F.floor(F.col("c_nationkey") / 5)
     reference = F.struct(
-        F.when(key == 5, F.col("c_nationkey") + 2000).alias("latestWkid"),
-        F.when(key >= 4, F.col("c_nationkey") + 1000).alias("wkid"),
+        F.when(key == 4, F.when(F.col("c_acctbal") > 0, F.col("c_nationkey") + 2000)).alias("latestWkid"),
+        F.when(key >= 3, F.when(F.col("c_acctbal") > 0, F.col("c_nationkey") + 1000)).alias("wkid"),
         F.when(key >= 3, F.concat(F.lit("PROJCS["), "c_name", F.lit("]"))).alias("wkt"),
     )
     intact = F.to_json(
@@ -167,7 +168,7 @@ def _registry(t):
                 F.lit(0.5).alias("xmin"), F.col("c_acctbal").alias("ymin"), F.lit(9.5).alias("xmax"),
                 (F.col("c_acctbal") + 1).alias("ymax"),
             ).alias("extent"),
-            F.when(key == 5, F.lit(True)).alias("hasZ"),
+            F.when(key == 4, F.lit(True)).alias("hasZ"),
         )
     )
     body = F.when(key == 1, F.lit('{"geometryType": ')).otherwise(intact)
@@ -182,14 +183,14 @@ def _registry(t):
 
 _REGISTRY_SQL = """
   SELECT c_name AS dataset_name, 'https://maps.example.org/' || c_custkey || '/query/' AS source_url, false AS non_spatial,
-         CAST(CASE WHEN k = 5 THEN c_nationkey + 2000 END AS INT) AS crs_epsg,
-         CAST(CASE WHEN k >= 4 THEN c_nationkey + 1000 END AS INT) AS crs_wkid,
+         CAST(CASE WHEN k = 4 AND c_acctbal > 0 THEN c_nationkey + 2000 END AS INT) AS crs_epsg,
+         CAST(CASE WHEN k >= 3 AND c_acctbal > 0 THEN c_nationkey + 1000 END AS INT) AS crs_wkid,
          CASE WHEN k >= 3 THEN 'PROJCS[' || c_name || ']' END AS crs_wkt,
          CASE WHEN k < 2 THEN 'FromConfig' WHEN k = 2 THEN 'esriGeometryEnvelope' ELSE 'MultiLineString' END AS geometry_type,
          CASE WHEN k >= 2 THEN 0.5::DOUBLE END AS xmin, CASE WHEN k >= 2 THEN c_acctbal END AS ymin,
          CASE WHEN k >= 2 THEN 9.5::DOUBLE END AS xmax, CASE WHEN k >= 2 THEN c_acctbal + 1 END AS ymax,
-         CASE WHEN k >= 2 THEN k = 5 END AS has_z, CASE WHEN k >= 2 THEN false END AS has_m
-  FROM (SELECT *, c_custkey % 6 AS k FROM customer)
+         CASE WHEN k >= 2 THEN k = 4 END AS has_z, CASE WHEN k >= 2 THEN false END AS has_m
+  FROM (SELECT *, floor(c_nationkey / 5)::INT AS k FROM customer)
 """
 
 

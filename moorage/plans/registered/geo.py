@@ -110,14 +110,14 @@ def footer_audit(spark, t):
 @query(
     "finalize_outcomes",
     """SELECT 'nation_' || k AS dataset_name,
-              CASE k % 5 WHEN 1 THEN 'skipped_non_spatial' WHEN 2 THEN 'skipped_no_files' WHEN 0 THEN 'error' WHEN 4 THEN 'error' ELSE 'converted' END AS status,
-              CASE WHEN k % 5 = 3 THEN n END AS row_count, k % 5 = 4 AS bad_hex
+              CASE floor(k / 5) WHEN 1 THEN 'skipped_non_spatial' WHEN 2 THEN 'skipped_no_files' WHEN 0 THEN 'error' WHEN 4 THEN 'error' ELSE 'converted' END AS status,
+              CASE WHEN floor(k / 5) = 3 THEN n END AS row_count, floor(k / 5) = 4 AS bad_hex
        FROM (SELECT c_nationkey AS k, count(*) AS n FROM customer GROUP BY 1)""",
 )
 def finalize_outcomes(spark, t):
     # A dataset per nation: without CRS, non-spatial, without files, good, or with a text that is no geometry.
     root = workspace(spark, "finalize")
-    kind = F.col("c_nationkey") % 5
+    kind = F.floor(F.col("c_nationkey") / 5)
     rows = _points(t).withColumns(
         {
             "dataset": F.concat(F.lit("nation_"), F.col("c_nationkey").cast("string")),

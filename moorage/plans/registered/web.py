@@ -100,21 +100,21 @@ def files_by_partition(spark, t):
 
 
 def _history(t):
-    """Every page whose id is a multiple of three is in, some of them twice."""
-    loaded = t.pages.where("page_id % 3 = 0").select(
-        F.lit("pages").alias("dataset_name"), F.concat(F.lit("j"), F.col("page_id") % 2).alias("jurisdiction"), "url",
+    """Every page fetched over plain http is in, those of some length a second time."""
+    loaded = t.pages.where(F.col("url").startswith("http:")).select(
+        F.lit("pages").alias("dataset_name"), F.regexp_extract("url", r"\.([a-z]+)/", 1).alias("jurisdiction"), "url",
         urls.last_segment(F.col("url")).alias("filename"), F.create_map(F.lit("id"), F.col("page_id").cast("string")).alias("partition_values"),
         F.length("html").alias("row_count"), F.md5("html").alias("file_hash"),
     )
-    again = loaded.where(F.col("row_count") % 2 == 0)
+    again = loaded.where(F.col("row_count") > 5000)
     return history.records(loaded, "2025-01-01T00:00:00").unionByName(history.records(again, "2025-02-01T00:00:00"))
 
 
-_HISTORY_SQL = """
-  SELECT 'pages' AS dataset_name, 'j' || page_id % 2 AS jurisdiction, url AS source_url, split_part(url, '/', -1) AS filename,
+_HISTORY_SQL = r"""
+  SELECT 'pages' AS dataset_name, regexp_extract(url, '\.([a-z]+)/', 1) AS jurisdiction, url AS source_url, split_part(url, '/', -1) AS filename,
          '{"id":"' || page_id || '"}' AS partition_values, day AS loaded_at, CAST(length(html) AS BIGINT) AS row_count, md5(html) AS file_hash
   FROM pages, (VALUES ('2025-01-01T00:00:00'), ('2025-02-01T00:00:00')) AS v(day)
-  WHERE page_id % 3 = 0 AND (day < '2025-02' OR length(html) % 2 = 0)
+  WHERE url LIKE 'http:%' AND (day < '2025-02' OR length(html) > 5000)
 """
 
 
@@ -129,12 +129,12 @@ def history_append(spark, t):
 
 @query(
     "history_lookup",
-    f"SELECT DISTINCT source_url FROM ({_HISTORY_SQL}) WHERE jurisdiction = 'j1' AND dataset_name = 'pages'",
+    f"SELECT DISTINCT source_url FROM ({_HISTORY_SQL}) WHERE jurisdiction = 'org' AND dataset_name = 'pages'",
 )
 def history_lookup(spark, t):
     root = workspace(spark, "history_lookup")
     history.append(_history(t), root)
-    mine = history.select_history(history.read_history(spark, root), "j1", "pages")
+    mine = history.select_history(history.read_history(spark, root), "org", "pages")
     return history.loaded_urls(history.newest_first(mine))
 
 

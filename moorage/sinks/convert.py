@@ -87,7 +87,7 @@ def _delimited(spark: SparkSession, paths: list[str], separator: str) -> Iterato
         raw = delimited.read_group(spark, group, separator, overflow=True)
         columns = [c for c in raw.columns if c not in (delimited.OVERFLOW, "source_file")]
         overlong = F.col(delimited.OVERFLOW).isNotNull() if delimited.OVERFLOW in raw.columns else F.lit(False)
-        report = raw.groupBy("source_file").agg(
+        report = inference.clean_nulls(raw, columns).groupBy("source_file").agg(
             inference.type_array(columns).alias("types"), F.count_if(overlong).alias("long_rows")
         )
         by_types: dict[tuple[str, ...], list[str]] = {}
