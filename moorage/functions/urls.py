@@ -68,7 +68,9 @@ def resolve(base: Column, link: Column) -> Column:
     odd = (
         ~F.coalesce(plain_base, F.lit(False))
         | base.rlike(r"/\.{1,2}(/|$)|^[^?#]*[A-Z][^?#/]*://")
-        | link.rlike(r"(^|/)\.{1,2}(/|$|\?|#)|^[?#;]|#$|\?$|\?#|[\s;]|^///|[\x00-\x20]")
+        | base.rlike("^[^:]+://[^?#]*//")
+        | link.rlike("^(?!https?://|//).*//")
+        | link.rlike(r"(^|/)\.{1,2}(/|$|\?|#)|^[?#;]|^$|#$|\?$|\?#|[\s;]|^///|[\x00-\x20]")
         | (link.rlike("^[A-Za-z][A-Za-z0-9+.-]*:") & ~link.rlike(r"^https?://[^/?#]+"))
     )
     plain = (

@@ -91,17 +91,18 @@ def _delimited(spark: SparkSession, paths: list[str], separator: str) -> Iterato
             inference.type_array(columns).alias("types"), F.count_if(overlong).alias("long_rows")
         )
         by_types: dict[tuple[str, ...], list[str]] = {}
+        seen: set[str] = set()
         for row in report.toLocalIterator():
+            seen.add(row.source_file)
             if row.long_rows:
                 yield row.source_file, f"{row.long_rows} row(s) have more fields than the header"
             else:
                 by_types.setdefault(tuple(row.types), []).append(row.source_file)
-        known = {p for ps in by_types.values() for p in ps}
         for types, members in by_types.items():
             part = delimited.FileGroup(group.header, group.encoding, group.multi_line, tuple(members))
             typed = inference.cast_columns(delimited.read_group(spark, part, separator), dict(zip(columns, types)))
             yield _Batch(typed, "source_file", members)
-        empty = [p for p in group.paths if p not in known]
+        empty = [p for p in group.paths if p not in seen]
         if empty:
             part = delimited.FileGroup(group.header, group.encoding, group.multi_line, tuple(empty))
             yield _Batch(delimited.read_group(spark, part, separator), "source_file", empty)

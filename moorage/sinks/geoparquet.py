@@ -51,7 +51,8 @@ class GeoFile:
         if at < 0:
             raise ValueError(f"no column {column!r} to publish as geometry")
         self.schema = schema.set(at, pa.field(column, pa.binary())).remove_metadata()
-        self.writer = pq.ParquetWriter(sink, self.schema, compression=CODEC)
+        # A stored Arrow schema would hide the footer key from readers that look for it in the schema.
+        self.writer = pq.ParquetWriter(sink, self.schema, compression=CODEC, store_schema=False)
         self.types: set[str] = set()
         self.box: list[float] | None = None
         self.pending: list[pa.RecordBatch] = []
@@ -229,6 +230,10 @@ def publish_file(source: str, target: str, column: str, crs: dict | None) -> int
                     geo.abandon()
                     raise
                 geo.close()
+        # Hadoop's local file system keeps checksums beside the files; an old one no longer fits.
+        checksum = f"{folder}/.{name}.crc"
+        if fs.get_file_info(checksum).type == pafs.FileType.File:
+            fs.delete_file(checksum)
         fs.move(temp, final)
     except BaseException:
         if fs.get_file_info(temp).type == pafs.FileType.File:

@@ -125,4 +125,7 @@ def infer_attributes(pages: DataFrame, key: str) -> T.StructType:
 def schema_of(variant_schema: str) -> T.StructType:
     """Struct type of a merged variant schema; members without any value or of mixed kinds are text."""
     ddl = variant_schema.removeprefix("OBJECT<").removesuffix(">")
-    return T.StructType.fromDDL(re.sub(r"\b(VOID|VARIANT)\b", "STRING", ddl).replace("OBJECT<", "STRUCT<")) if ddl else T.StructType()
+    if not ddl:
+        return T.StructType()
+    ddl = re.sub(r"\bDECIMAL\(\d+, ?\d+\)|\bFLOAT\b", "DOUBLE", re.sub(r"\b(VOID|VARIANT)\b", "STRING", ddl))
+    return T.StructType.fromDDL(ddl.replace("OBJECT<", "STRUCT<"))
