@@ -2,23 +2,25 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from moorage.functions import values
 from moorage.functions.names import normalize_name, suffix_duplicates
+from moorage.session import settled
 
 KEYS = ["file", "sheet"]
 
 
 def sheet_rows(cells: DataFrame) -> DataFrame:
-    """One row per sheet row: map of column number -> value, without null tokens."""
+    """One row per sheet row: map of column number -> value, without null tokens.
+
+    A row holds at most the columns a sheet may have, so the list behind the map is bounded. Rows
+    without any value have an empty map.
+    """
     value = values.null_tokens_to_null(F.col("v"))
-    return (
-        cells.where(value.isNotNull())
-        .groupBy(*KEYS, "r")
-        .agg(F.map_from_entries(F.collect_list(F.struct("c", "v"))).alias("cells"))
-    )
+    entry = F.when(value.isNotNull(), F.struct("c", "v"))
+    return cells.groupBy(*KEYS, "r").agg(F.map_from_entries(F.collect_list(entry)).alias("cells"))
 
 
 def header_rows(rows: DataFrame, min_columns: int = 3, explicit: int | None = None) -> DataFrame:
@@ -32,44 +34,44 @@ def header_rows(rows: DataFrame, min_columns: int = 3, explicit: int | None = No
     return grouped.withColumn("error", F.when(F.col("header_row").isNull(), missing))
 
 
-def body_rows(rows: DataFrame, headers: DataFrame) -> DataFrame:
-    """Rows below the header, with the header's own cells alongside."""
-    found = headers.where(F.col("header_row").isNotNull()).select(*KEYS, "header_row")
-    names = (
-        rows.join(found, KEYS)
-        .where(F.col("r") == F.col("header_row"))
-        .select(*KEYS, "header_row", F.col("cells").alias("names"))
-    )
-    return rows.join(names, KEYS).where(F.col("r") > F.col("header_row")).drop("header_row")
-
-
-def header_sets(rows: DataFrame, headers: DataFrame) -> DataFrame:
-    """The distinct headers: column numbers with their names, and how many sheets use each."""
+def header_cells(rows: DataFrame, headers: DataFrame) -> DataFrame:
+    """``file, sheet, header_row, header, key``: the header's column numbers and names, and a key of them."""
     found = headers.where(F.col("header_row").isNotNull()).select(*KEYS, F.col("header_row").alias("r"))
     entries = F.array_sort(F.map_entries("cells"))
-    return rows.join(found, [*KEYS, "r"]).groupBy(entries.alias("header")).agg(F.count(F.lit(1)).alias("sheets"))
+    return rows.join(found, [*KEYS, "r"]).select(
+        *KEYS, F.col("r").alias("header_row"), entries.alias("header"), F.md5(F.to_json(entries)).alias("key")
+    )
 
 
-def _key(entries: Column) -> Column:
-    return F.to_json(entries)
+def body_rows(rows: DataFrame, found: DataFrame) -> DataFrame:
+    """Rows below the header, with the key of their header."""
+    below = found.select(*KEYS, "header_row", "key")
+    return rows.join(below, KEYS).where(F.col("r") > F.col("header_row")).drop("header_row")
 
 
 def tables(cells: DataFrame, min_columns: int = 3, explicit: int | None = None, normalize: bool = True) -> list[DataFrame]:
     """One text frame per distinct header, with ``file``, ``sheet`` and the sheet row ``r``.
 
-    Only the distinct headers reach the driver; a plan cannot have columns it does not know.
-    Names repeated in a header get a numeric suffix.
+    Only the distinct headers reach the driver; a plan cannot have columns it does not know. Columns
+    with values but no name are called ``nan``; names used twice get a numeric suffix.
     """
-    rows = sheet_rows(cells)
-    headers = header_rows(rows, min_columns, explicit)
-    body = body_rows(rows, headers).withColumn("_h", F.array_sort(F.map_entries("names")))
+    rows = settled(sheet_rows(cells), "sheet-rows")
+    headers = settled(header_rows(rows, min_columns, explicit), "sheet-headers")
+    # One row per sheet: settled, so that its size decides how the many body rows are joined.
+    found = settled(header_cells(rows, headers), "sheet-names")
+    body = body_rows(rows, found)
+    used = body.select("key", F.explode(F.map_keys("cells")).alias("c")).distinct()
+    columns = used.groupBy("key").agg(F.collect_list("c").alias("used"))
+    distinct = found.groupBy("key").agg(F.min("header").alias("header")).join(columns, "key", "left").orderBy("key")
     out = []
-    for row in header_sets(rows, headers).select("header", _key(F.col("header")).alias("k")).toLocalIterator():
-        raw = [e["value"] for e in row.header]
+    for row in distinct.toLocalIterator():
+        names = {e["key"]: e["value"] for e in row.header}
+        numbers = sorted(set(names) | set(row.used or []))
+        raw = [names.get(n, "nan") for n in numbers]
         labels = suffix_duplicates([normalize_name(n) for n in raw] if normalize else raw)
         out.append(
-            body.where(_key(F.col("_h")) == row.k).select(
-                *KEYS, "r", *[F.col("cells")[e["key"]].alias(n) for e, n in zip(row.header, labels)]
+            body.where(F.col("key") == row.key).select(
+                *KEYS, "r", *[F.col("cells")[n].alias(label) for n, label in zip(numbers, labels)]
             )
         )
     return out

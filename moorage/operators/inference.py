@@ -20,11 +20,8 @@ def clean_nulls(df: DataFrame, columns: list[str]) -> DataFrame:
 _WHOLE, _LONG_WHOLE, _FRACTION, _FLAG, _TEXT = 1, 2, 4, 8, 16
 
 
-def _type_of(col: Column) -> Column:
-    """Aggregate that names the type of one column: a single bit mask, or-ed over its values.
-
-    Integers beyond 64 bits stay text, as do columns without any value.
-    """
+def _look(col: Column) -> Column:
+    """What one value looks like, as a bit."""
     # One pattern match per value in the common cases; a number with none of these marks is whole.
     fraction = None
     for mark in ".eEnN":
@@ -37,27 +34,31 @@ def _type_of(col: Column) -> Column:
         .otherwise(_LONG_WHOLE)
     )
     flag = col.isin(*values.TRUE_TOKENS, *values.FALSE_TOKENS)
-    look = (
-        F.when(col.isNull(), 0).when(flag, _FLAG).when(col.rlike(values.NUMBER_PATTERN), number).otherwise(_TEXT)
-    )
-    seen = F.coalesce(F.bit_or(look), F.lit(0))
-    return (
-        F.when(seen == _WHOLE, "bigint")
-        .when(seen == _FLAG, "boolean")
-        .when((seen.bitwiseAND(_FLAG | _TEXT) == 0) & (seen.bitwiseAND(_FRACTION) > 0), "double")
-        .otherwise("string")
-    )
+    return F.when(col.isNull(), 0).when(flag, _FLAG).when(col.rlike(values.NUMBER_PATTERN), number).otherwise(_TEXT)
 
 
-def type_array(columns: list[str]) -> Column:
-    """Aggregate giving the types of columns whose null tokens are nulls already, in order."""
-    return F.array(*[_type_of(_name(c)) for c in columns])
+def mask_array(columns: list[str]) -> Column:
+    """Aggregate: one bit mask per column, or-ed over values whose null tokens are nulls already."""
+    return F.array(*[F.coalesce(F.bit_or(_look(_name(c))), F.lit(0)) for c in columns])
 
 
-def type_report(df: DataFrame, columns: list[str], keys: list[str] | None = None) -> DataFrame:
-    """One scan: ``types``, an array aligned with ``columns``, overall or per key (such as the file)."""
+def type_of_mask(mask: int) -> str:
+    """Integers beyond 64 bits stay text, as do columns without any value."""
+    if mask == _WHOLE:
+        return "bigint"
+    if mask == _FLAG:
+        return "boolean"
+    return "double" if mask & _FRACTION and not mask & (_FLAG | _TEXT) else "string"
+
+
+def mask_report(df: DataFrame, columns: list[str], keys: list[str] | None = None, **more: Column) -> DataFrame:
+    """One scan: ``masks`` aligned with ``columns`` and ``row_count``, overall or per key (such as the file)."""
     # Cleaned in a step of its own, so that each value is looked up once and not per reference.
-    return clean_nulls(df, columns).groupBy(*(keys or [])).agg(type_array(columns).alias("types"), F.count(F.lit(1)).alias("row_count"))
+    return (
+        clean_nulls(df, columns)
+        .groupBy(*(keys or []))
+        .agg(mask_array(columns).alias("masks"), F.count(F.lit(1)).alias("row_count"), *[c.alias(n) for n, c in more.items()])
+    )
 
 
 def cast_columns(df: DataFrame, types: dict[str, str]) -> DataFrame:
@@ -75,5 +76,5 @@ def cast_columns(df: DataFrame, types: dict[str, str]) -> DataFrame:
 def infer_types(df: DataFrame, columns: list[str] | None = None) -> DataFrame:
     """Typed frame; a column with one odd value stays text instead of losing that value."""
     columns = columns or df.columns
-    types = type_report(df, columns).first()["types"]
-    return cast_columns(df, dict(zip(columns, types)))
+    masks = mask_report(df, columns).first()["masks"]
+    return cast_columns(df, dict(zip(columns, map(type_of_mask, masks))))

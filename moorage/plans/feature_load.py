@@ -6,8 +6,10 @@ passes is promoted by moving its folder.
 
 from __future__ import annotations
 
+import math
 import uuid
 from collections.abc import Mapping, Sequence
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
@@ -37,6 +39,7 @@ class LoadOptions:
     baseline: str = "same_year"
     row_count_tolerance: float = gate.DEFAULT_TOLERANCE
     publish_geometry: bool = True
+    parallel_datasets: int = 4
     projjson: Mapping[str, dict] = field(default_factory=dict)
 
 
@@ -65,13 +68,17 @@ def _baseline_path(spark: SparkSession, options: LoadOptions, target: str) -> st
 
 def _feature_rows(landed: DataFrame, crs: int | None, options: LoadOptions, attributes: T.StructType | None) -> DataFrame:
     key = "attributes" if crs else "properties"
-    kept = pages.stop_rule(pages.page_profile(landed), options.page_size)
+    # A light pass finds the end; the reading pass then parses each body once, and pages that are
+    # empty or carry an error have no features to give.
+    stops = pages.stop_offsets(pages.page_profile(landed), options.page_size)
+    kept = pages.until_stop(landed, stops)
     schema = attributes if attributes is not None else pages.infer_attributes(landed, key)
     read = pages.esri_rows if crs else pages.geojson_rows
-    rows = read(kept, schema, keep=["offset"] if options.max_records is not None else None)
-    if options.max_records is not None:
-        rows = first_rows(rows, [], ["offset"], options.max_records).drop("offset")
-    return rows
+    if options.max_records is None:
+        return read(kept, schema)
+    # All pages but the last are full, so these hold the first rows.
+    first = kept.orderBy("offset").limit(math.ceil(options.max_records / options.page_size))
+    return first_rows(read(first, schema, keep=["offset"]), [], ["offset"], options.max_records).drop("offset")
 
 
 def load_dataset(
@@ -154,14 +161,19 @@ def run(
         chosen = [d for d in body.get("datasets") or [] if not only or d["name"] in only]
         if not chosen:
             continue
-        for dataset in chosen:
+
+        def load(dataset: Mapping, jurisdiction: str = jurisdiction, crs: int | None = body.get("crs")) -> str:
             mine = landed.where((F.col("jurisdiction") == jurisdiction) & (F.col("layer") == dataset["name"]))
             try:
-                known = (attributes or {}).get(dataset["name"])
-                load_dataset(spark, mine, jurisdiction, body.get("crs"), dataset, options, known)
-                outcome[f"{jurisdiction}/{dataset['name']}"] = "loaded"
+                load_dataset(spark, mine, jurisdiction, crs, dataset, options, (attributes or {}).get(dataset["name"]))
+                return "loaded"
             except gate.GateError as exc:
-                outcome[f"{jurisdiction}/{dataset['name']}"] = f"failed: {exc}"
+                return f"failed: {exc}"
+
+        # Datasets are independent jobs; several at a time keep the cluster busy.
+        with ThreadPoolExecutor(options.parallel_datasets) as pool:
+            for dataset, status in zip(chosen, pool.map(load, chosen)):
+                outcome[f"{jurisdiction}/{dataset['name']}"] = status
         rows = catalog.explode_datasets(catalog.from_config(spark, {"jurisdictions": {jurisdiction: {**body, "datasets": chosen}}}))
         registered = registry.registry(rows, documents, options.run_time)
         at = _dataset_path(options, jurisdiction, REGISTRY_TABLE)

@@ -3,65 +3,95 @@
 from __future__ import annotations
 
 from collections.abc import Mapping
+from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from moorage.functions.names import normalize_name, suffix_duplicates
 from moorage.operators import headers, history, inference
+from moorage.session import settled
 from moorage.sinks import tables
 from moorage.sources import delimited, files, workbook
 
 ERROR = "path string, error string"
 
 
-def parse_delimited(spark: SparkSession, paths: list[str], separator: str) -> tuple[DataFrame | None, DataFrame]:
-    """Text rows of all good files with normalised names, and ``path, error`` of the bad ones."""
-    good, bad = None, spark.createDataFrame([], ERROR)
-    scan = [delimited.literal_path(p) for p in paths]
-    for group in delimited.file_groups(delimited.profile(spark, scan)):
+@dataclass
+class Parsed:
+    """Rows of the good files, their row counts (``path, row_count``) and the bad files (``path, error``)."""
+
+    rows: DataFrame | None
+    counts: DataFrame
+    bad: DataFrame
+
+
+def _merge(a: DataFrame | None, b: DataFrame) -> DataFrame:
+    return b if a is None else a.unionByName(b, allowMissingColumns=True)
+
+
+def parse_delimited(spark: SparkSession, paths: list[str], separator: str, stored: Mapping[str, str]) -> Parsed:
+    """Delimited files with normalised names and typed columns.
+
+    One pass per group of like files gives the types, the row counts and the files with overlong rows.
+    ``stored`` has the types of the target table.
+    """
+    groups, masks = [], {}
+    for group in delimited.file_groups(delimited.profile(spark, [delimited.literal_path(p) for p in paths])):
         rows = delimited.read_group(spark, group, separator, overflow=True)
-        if delimited.OVERFLOW in rows.columns:
-            long = delimited.overlong_files(rows)
-            rows = rows.join(long, rows["source_file"] == long["path"], "left_anti").drop(delimited.OVERFLOW)
-            bad = bad.unionByName(long.select("path", F.lit("row has more fields than the header").alias("error")))
-        names = suffix_duplicates([c if c == "source_file" else normalize_name(c) for c in rows.columns])
-        rows = rows.toDF(*names)
-        good = rows if good is None else good.unionByName(rows, allowMissingColumns=True)
-    return good, bad
+        data = [c for c in rows.columns if c not in ("source_file", delimited.OVERFLOW)]
+        columns = suffix_duplicates([normalize_name(c) for c in data])
+        rows = rows.withColumnsRenamed(dict(zip(data, columns)))
+        overlong = F.col(delimited.OVERFLOW).isNotNull() if delimited.OVERFLOW in rows.columns else F.lit(False)
+        report = settled(inference.mask_report(rows, columns, ["source_file"], long_rows=F.count_if(overlong)), "file-report")
+        good = report.where("long_rows = 0")
+        overall = good.agg(*[F.bit_or(F.col("masks")[i]) for i in range(len(columns))]).first()
+        for column, mask in zip(columns, overall):
+            masks[column] = masks.get(column, 0) | (mask or 0)
+        rows = rows.drop(delimited.OVERFLOW)
+        if good.count() < report.count():
+            rows = rows.join(report.where("long_rows > 0").select("source_file"), "source_file", "left_anti")
+        groups.append((rows, columns, report))
+    types = _types({c: inference.type_of_mask(m) for c, m in masks.items()}, stored)
+    out, counts, bad = None, spark.createDataFrame([], "path string, row_count bigint"), spark.createDataFrame([], ERROR)
+    for rows, columns, report in groups:
+        out = _merge(out, inference.cast_columns(rows, {c: types[c] for c in columns}))
+        named = report.withColumnRenamed("source_file", "path")
+        counts = counts.unionByName(named.where("long_rows = 0").select("path", "row_count"))
+        bad = bad.unionByName(named.where("long_rows > 0").select("path", F.lit("row has more fields than the header").alias("error")))
+    return Parsed(out, counts, bad)
+
+
+def _types(found: Mapping[str, str], stored: Mapping[str, str]) -> dict[str, str]:
+    """Types from the data; a column the table has as text stays text, one it has as float stays float."""
+    out = {}
+    for column, kind in found.items():
+        old = stored.get(column, kind)
+        if old not in ("string", kind) and (old, kind) != ("double", "bigint"):
+            raise TypeError(f"column {column!r} is {old} in the table but {kind} in the new files")
+        out[column] = old
+    return out
 
 
 def parse_excel(
     spark: SparkSession, paths: list[str], sheet: int | str = 0, header_detection: str | int = "auto"
-) -> tuple[DataFrame | None, DataFrame]:
-    """The same for workbooks; all values stay text."""
+) -> Parsed:
+    """The same for workbooks; all values stay text. Each workbook is unpacked once."""
     explicit = None if header_detection == "auto" else int(header_detection)
     cells = workbook.excel_cells(files.contents(spark, [delimited.literal_path(p) for p in paths]), sheet)
-    rows = headers.sheet_rows(cells.where(F.col("error").isNull()))
-    missing = headers.header_rows(rows, explicit=explicit)
+    cells = settled(cells, "cells")
+    good = cells.where(F.col("error").isNull())
+    missing = headers.header_rows(headers.sheet_rows(good), explicit=explicit)
     bad = cells.where(F.col("error").isNotNull()).select(F.col("file").alias("path"), "error").unionByName(
         missing.where(F.col("error").isNotNull()).select(F.col("file").alias("path"), "error")
     )
-    good = None
-    for table in headers.tables(cells.where(F.col("error").isNull()), explicit=explicit):
-        table = table.withColumnRenamed("file", "source_file").drop("sheet", "r")
-        good = table if good is None else good.unionByName(table, allowMissingColumns=True)
-    return good, bad
-
-
-def _typed(rows: DataFrame, spark: SparkSession, path: str) -> DataFrame:
-    """Column types from the data; a column the table already has as text stays text."""
-    columns = [c for c in rows.columns if c != "source_file"]
-    types = dict(zip(columns, inference.type_report(rows, columns).first()["types"]))
-    if files.has_data(spark, path):
-        stored = {f.name: f.dataType.simpleString() for f in spark.read.parquet(path).schema}
-        for column, kind in types.items():
-            old = stored.get(column, kind)
-            if old in ("string", kind) or (old == "double" and kind == "bigint"):
-                types[column] = old
-            else:
-                raise TypeError(f"column {column!r} is {old} in {path} but {kind} in the new files")
-    return inference.cast_columns(rows, types)
+    rows = None
+    for table in headers.tables(good, explicit=explicit):
+        rows = _merge(rows, table.withColumnRenamed("file", "source_file").drop("sheet", "r"))
+    counts = spark.createDataFrame([], "path string, row_count bigint")
+    if rows is not None:
+        counts = rows.groupBy(F.col("source_file").alias("path")).agg(F.count(F.lit(1)).alias("row_count"))
+    return Parsed(rows, counts, bad)
 
 
 def load_files(
@@ -84,28 +114,34 @@ def load_files(
     paths = [r.path for r in todo.select("path").distinct().toLocalIterator()]
     if not paths:
         return spark.createDataFrame([], ERROR)
+    base = f"{root.rstrip('/')}/{jurisdiction}"
+    target = tables.table_path(base, dataset)
     if file_type in ("xlsx", "xls"):
         options = excel or {}
-        rows, bad = parse_excel(spark, paths, options.get("sheet", 0), options.get("header_detection", "auto"))
+        parsed = parse_excel(spark, paths, options.get("sheet", 0), options.get("header_detection", "auto"))
     else:
-        rows, bad = parse_delimited(spark, paths, delimited.SEPARATORS[file_type])
-    base = f"{root.rstrip('/')}/{jurisdiction}"
-    target = tables.table_path(base, dataset)
-    if rows is not None:
-        typed = _typed(rows, spark, target) if file_type not in ("xlsx", "xls") else rows
-        tagged = tables.partitions_from_file_name(typed, fields)
-        tables.append(tagged.drop("source_file"), target, list(fields))
-        counts = rows.groupBy(F.col("source_file").alias("path")).agg(F.count(F.lit(1)).alias("row_count"))
-        contents = files.fingerprint(files.contents(spark, [delimited.literal_path(p) for p in paths]))
-        local = F.regexp_replace("path", "^file:/+", "/")
-        loaded = (
-            todo.withColumn("_at", local)
-            .join(counts.select(local.alias("_at"), "row_count"), "_at")
-            .join(contents.select(local.alias("_at"), "file_hash"), "_at", "left")
-            .select(F.lit(dataset).alias("dataset_name"), F.lit(jurisdiction).alias("jurisdiction"), "url", "filename", "partition_values", "row_count", "file_hash")
+        stored = {}
+        if files.has_data(spark, target):
+            stored = {f.name: f.dataType.simpleString() for f in spark.read.parquet(target).schema}
+        parsed = parse_delimited(spark, paths, delimited.SEPARATORS[file_type], stored)
+    if parsed.rows is None:
+        return parsed.bad
+    tagged = tables.partitions_from_file_name(parsed.rows, fields)
+    tables.append(tagged.drop("source_file"), target, list(fields))
+    listed = files.listing(spark, [delimited.literal_path(p) for p in paths])
+    # Listed paths carry a scheme that the given ones may lack.
+    plain = F.regexp_replace("path", "^file:/+", "/").alias("_at")
+    loaded = (
+        todo.select("*", plain)
+        .join(parsed.counts.select(plain, "row_count"), "_at")
+        .join(files.fingerprint_files(listed).select(plain, "file_hash"), "_at", "left")
+        .select(
+            F.lit(dataset).alias("dataset_name"), F.lit(jurisdiction).alias("jurisdiction"),
+            "url", "filename", "partition_values", "row_count", "file_hash",
         )
-        history.append(history.records(loaded, run_time), base)
-    return bad
+    )
+    history.append(history.records(loaded, run_time), base)
+    return parsed.bad
 
 
 def run(

@@ -6,7 +6,7 @@ import os
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Skew and size decisions are left to adaptive execution, so nothing is hinted by hand.
 SETTINGS = {
@@ -16,6 +16,8 @@ SETTINGS = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.optimizeSkewsInRebalancePartitions.enabled": "true",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
+    # Rows with large geometries or pages go to Python in batches of bounded size.
+    "spark.sql.execution.arrow.maxBytesPerBatch": str(64 << 20),
 }
 
 
@@ -43,3 +45,15 @@ def shared_root(spark: SparkSession) -> str:
 def workspace(spark: SparkSession, label: str) -> str:
     """A path for a new intermediate table, used by no other run."""
     return os.path.join(shared_root(spark), "moorage", f"{label}-{uuid.uuid4().hex}")
+
+
+def settled(df: DataFrame, label: str) -> DataFrame:
+    """The frame written to a table and read back.
+
+    Used for results that are reused or joined to something large: they are computed once, survive
+    lost executors, and their real size is known, so Spark broadcasts them if they are below its
+    threshold and shuffles otherwise.
+    """
+    path = workspace(df.sparkSession, label)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -16,7 +16,7 @@ from pyspark.sql import types as T
 
 from moorage.functions.names import extension, parquet_target
 from moorage.operators import headers, inference
-from moorage.session import workspace
+from moorage.session import settled, workspace
 from moorage.sinks.finalize import OUTCOME as PUBLISHED
 from moorage.sinks.finalize import publish_batches
 from moorage.sources import delimited, files, geojson, pages, workbook
@@ -87,9 +87,7 @@ def _delimited(spark: SparkSession, paths: list[str], separator: str) -> Iterato
         raw = delimited.read_group(spark, group, separator, overflow=True)
         columns = [c for c in raw.columns if c not in (delimited.OVERFLOW, "source_file")]
         overlong = F.col(delimited.OVERFLOW).isNotNull() if delimited.OVERFLOW in raw.columns else F.lit(False)
-        report = inference.clean_nulls(raw, columns).groupBy("source_file").agg(
-            inference.type_array(columns).alias("types"), F.count_if(overlong).alias("long_rows")
-        )
+        report = inference.mask_report(raw, columns, ["source_file"], long_rows=F.count_if(overlong))
         by_types: dict[tuple[str, ...], list[str]] = {}
         seen: set[str] = set()
         for row in report.toLocalIterator():
@@ -97,7 +95,7 @@ def _delimited(spark: SparkSession, paths: list[str], separator: str) -> Iterato
             if row.long_rows:
                 yield row.source_file, f"{row.long_rows} row(s) have more fields than the header"
             else:
-                by_types.setdefault(tuple(row.types), []).append(row.source_file)
+                by_types.setdefault(tuple(map(inference.type_of_mask, row.masks)), []).append(row.source_file)
         for types, members in by_types.items():
             part = delimited.FileGroup(group.header, group.encoding, group.multi_line, tuple(members))
             typed = inference.cast_columns(delimited.read_group(spark, part, separator), dict(zip(columns, types)))
@@ -110,7 +108,7 @@ def _delimited(spark: SparkSession, paths: list[str], separator: str) -> Iterato
 
 def _excel(spark: SparkSession, paths: list[str]) -> Iterator[_Batch | tuple[str, str]]:
     content = files.contents(spark, [delimited.literal_path(p) for p in paths])
-    cells = spark.read.schema(workbook.CELLS).parquet(_kept(workbook.excel_cells(content), "cells"))
+    cells = settled(workbook.excel_cells(content), "cells")
     good = cells.where(F.col("error").isNull())
     rows = headers.sheet_rows(good)
     failed = cells.where(F.col("error").isNotNull()).select("file", "error").unionByName(
@@ -141,12 +139,6 @@ def _geojson(spark: SparkSession, paths: list[str]) -> Iterator[_Batch | tuple[s
         yield _Batch(pages.geojson_rows(part, schema, ["layer"]).drop("geometry_error"), "layer", members, spatial=True)
 
 
-def _kept(df: DataFrame, label: str) -> str:
-    path = workspace(df.sparkSession, label)
-    df.write.parquet(path)
-    return path
-
-
 def _write(spark: SparkSession, batch: _Batch, target_of: dict[str, str]) -> None:
     """One job for all files of the batch, then one rename per file."""
     staged = workspace(spark, "convert")
@@ -158,8 +150,8 @@ def _write(spark: SparkSession, batch: _Batch, target_of: dict[str, str]) -> Non
             F.lit(None).cast("string").alias("dataset_name"), "path", F.lit("lonlat").alias("crs"),
             F.lit("geometry").alias("geometry_column"), F.lit("ready").alias("status"), F.lit(None).cast("string").alias("error"),
         )
-        done = found.repartition("path").mapInArrow(publish_batches({"lonlat": CRS84}, staged, published), PUBLISHED)
-        log = spark.read.schema(PUBLISHED).parquet(_kept(done, "convert-log"))
+        done = found.mapInArrow(publish_batches({"lonlat": CRS84}, staged, published), PUBLISHED)
+        log = settled(done, "convert-log")
         broken = log.where("status = 'error'").select("error").first()
         if broken:
             raise RuntimeError(broken.error)
@@ -179,7 +171,7 @@ def convert_directory(spark: SparkSession, root: str, outcomes: str, force: bool
     Status is ``converted``, ``skipped`` (the target exists) or ``errored``.
     """
     planned = plan(spark, root, force)
-    kept = spark.read.parquet(_kept(planned, "plan"))
+    kept = settled(planned, "plan")
     target_of = {r.path: r.target for r in kept.where("status = 'ready'").toLocalIterator()}
     ready = {k: [] for k in ("csv", "tsv", "txt", "geojson", "xlsx")}
     for row in kept.where("status = 'ready'").select("path", "ext").toLocalIterator():

@@ -101,8 +101,6 @@ def finalize(
     listed = files.listing(spark, root, "*.parquet")
     work = plan(registry, listed, root, requested_crs)
     run = publish_batches(dict(projjson or {}), root.rstrip("/"), (target or root).rstrip("/"))
-    # One file per batch keeps a slow file from holding back others of its task.
-    spread = work.repartition(F.coalesce("path", "dataset_name"))
-    spread.mapInArrow(run, OUTCOME).write.mode("append").parquet(outcomes)
+    files.spread(work).mapInArrow(run, OUTCOME).write.mode("append").parquet(outcomes)
     return spark.read.schema(OUTCOME).parquet(outcomes)
 

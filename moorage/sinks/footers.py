@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from moorage.sinks.geoparquet import open_input
+from moorage.sources.files import open_input
 
 VALUE_LIMIT = 200
 _S, _L = T.StringType(), T.LongType()
@@ -85,9 +85,8 @@ def _audit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def footer_audit(files: DataFrame) -> DataFrame:
-    """Footer facts of every listed file; each task opens its own files and reads only the footers."""
-    spread = files.select("path").hint("rebalance")
-    return spread.mapInArrow(_audit, AUDIT)
+    """Footer facts of every listed file, read by the tasks the listing is split into."""
+    return files.select("path").mapInArrow(_audit, AUDIT)
 
 
 def totals(audit: DataFrame) -> DataFrame:

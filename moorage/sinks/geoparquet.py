@@ -7,7 +7,6 @@ Spark's own Parquet writer cannot add footer keys, so tasks write through Arrow.
 from __future__ import annotations
 
 import json
-import re
 import uuid
 from collections.abc import Iterator
 from concurrent.futures import ThreadPoolExecutor
@@ -20,6 +19,7 @@ from pyspark.sql import SparkSession
 from pyspark.sql.datasource import DataSource, DataSourceArrowWriter, WriterCommitMessage
 
 from moorage.functions import wkb
+from moorage.sources.files import filesystem, open_input
 
 ROW_GROUP_BYTES = 64 << 20
 # Footer format version, and the codec of published files.
@@ -27,21 +27,6 @@ VERSION = "1.1.0"
 CODEC = "snappy"
 
 
-def filesystem(path: str) -> tuple[pafs.FileSystem, str]:
-    """Arrow file system of a Hadoop-style path or URI."""
-    scheme, authority, name = re.match(r"(?:([a-zA-Z][\w+.-]*):)?(?://([^/]*))?(.*)", path, re.S).groups()
-    if scheme in (None, "file"):
-        return pafs.LocalFileSystem(), name
-    scheme = {"s3a": "s3", "s3n": "s3"}.get(scheme, scheme)
-    fs, base = pafs.FileSystem.from_uri(f"{scheme}://{authority or ''}/")
-    return fs, base.rstrip("/") + name
-
-
-def open_input(path: str):
-    fs, name = filesystem(path)
-    return fs.open_input_file(name)
-
-
 class GeoFile:
     """One GeoParquet file: batches in, WKB and footer out."""
 

@@ -12,10 +12,9 @@ from pyspark.sql import types as T
 
 from moorage.functions.names import below
 from moorage.functions.paths import relayout_path
-from moorage.sinks.geoparquet import filesystem, open_input
 from moorage.sources import files
+from moorage.sources.files import CHUNK, filesystem, open_input
 
-CHUNK = 8 << 20
 OUTCOME = (
     T.StructType().add("path", T.StringType()).add("target", T.StringType()).add("status", T.StringType()).add("error", T.StringType())
 )
@@ -55,8 +54,7 @@ def relayout(mapped: DataFrame, outcomes: str) -> DataFrame:
     """
     clash = mapped.groupBy("target").agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > 1).select("target")
     clear = mapped.join(clash, "target", "left_anti").select("path", "target")
-    spread = clear.repartition("path")
-    copied = spread.mapInArrow(_copy, OUTCOME)
+    copied = files.spread(clear).mapInArrow(_copy, OUTCOME)
     clashing = mapped.join(clash, "target", "left_semi").select(
         "path", "target", F.lit("error").alias("status"), F.lit("several files have this target").alias("error")
     )

@@ -2,16 +2,41 @@
 
 from __future__ import annotations
 
+import hashlib
 import os
+import re
 
+import pyarrow as pa
+from pyarrow import fs as pafs
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from moorage.functions.names import scanned_file
 
 
+CHUNK = 8 << 20
+
+
+def filesystem(path: str) -> tuple[pafs.FileSystem, str]:
+    """Arrow file system of a Hadoop-style path, for tasks that handle files themselves."""
+    scheme, authority, name = re.match(r"(?:([a-zA-Z][\w+.-]*):)?(?://([^/]*))?(.*)", path, re.S).groups()
+    if scheme in (None, "file"):
+        return pafs.LocalFileSystem(), name
+    scheme = {"s3a": "s3", "s3n": "s3"}.get(scheme, scheme)
+    fs, base = pafs.FileSystem.from_uri(f"{scheme}://{authority or ''}/")
+    return fs, base.rstrip("/") + name
+
+
+def open_input(path: str):
+    fs, name = filesystem(path)
+    return fs.open_input_file(name)
+
+
 def listing(spark: SparkSession, root: str | list[str], pattern: str | None = None) -> DataFrame:
-    """One row per file below ``root``: path, length, modification time. No content is read."""
+    """One row per file below ``root``: path, length, modification time. No content is read.
+
+    Tasks get files by their total size, so work on the listed files is spread without a shuffle.
+    """
     reader = spark.read.format("binaryFile").option("recursiveFileLookup", True)
     if pattern:
         reader = reader.option("pathGlobFilter", pattern)
@@ -30,6 +55,29 @@ def fingerprint(files: DataFrame) -> DataFrame:
     return files.withColumn("file_hash", F.md5("content")).drop("content")
 
 
+def _md5(batches):
+    for batch in batches:
+        for path in batch.column("path").to_pylist():
+            digest = hashlib.md5()
+            with open_input(path) as source:
+                while chunk := source.read(CHUNK):
+                    digest.update(chunk)
+            yield pa.RecordBatch.from_pydict({"path": [path], "file_hash": [digest.hexdigest()]})
+
+
+def fingerprint_files(listed: DataFrame) -> DataFrame:
+    """``path, file_hash`` of listed files, read in pieces so that their size does not matter."""
+    return listed.select("path").mapInArrow(_md5, "path string, file_hash string")
+
+
+def spread(df: DataFrame, column: str = "path") -> DataFrame:
+    """Rows that each stand for a file, over many tasks.
+
+    The number is given outright: sized by bytes, a list of paths would end up in a single task.
+    """
+    return df.repartition(4 * df.sparkSession.sparkContext.defaultParallelism, column)
+
+
 def rows_per_file(df: DataFrame) -> DataFrame:
     """Row count of every file behind a file-based frame."""
     return df.groupBy(scanned_file().alias("path")).agg(F.count(F.lit(1)).alias("row_count"))

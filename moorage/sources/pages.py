@@ -12,11 +12,12 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from moorage.operators import geometry
+from moorage.session import settled
 
 PAGE_SIZE = 1000
 
-# Only these members of a page are read besides the features; unknown ones are not parsed.
-PROBE = "features array<string>, exceededTransferLimit boolean, error string"
+# What the stop rule needs of a page: features are counted, not read.
+PROBE = "features array<struct<_count: int>>, exceededTransferLimit boolean, error string"
 GEOJSON_GEOMETRY = "struct<type: string, coordinates: string, geometries: array<string>>"
 ESRI_GEOMETRY = (
     "struct<x: double, y: double, rings: array<array<array<double>>>, paths: array<array<array<double>>>>"
@@ -34,24 +35,34 @@ def page_profile(pages: DataFrame) -> DataFrame:
     )
 
 
-def stop_rule(profiled: DataFrame, page_size: int = PAGE_SIZE) -> DataFrame:
-    """Pages up to the end of each layer.
+def stop_offsets(profiled: DataFrame, page_size: int = PAGE_SIZE) -> DataFrame:
+    """``layer, stop``: where each layer ends, its first page shorter than ``page_size``.
 
-    The end is the first page shorter than ``page_size``: kept if it has features, dropped if empty.
-    A page that carries a service error is kept out of the rule and out of the result. The stop
-    offset is one partial aggregate per layer, so a layer that holds most pages is no hot spot.
+    Pages with a service error do not count. One partial aggregate, so a layer that holds most pages
+    is no hot spot.
     """
     usable = profiled.where(F.col("page_error").isNull()) if "page_error" in profiled.columns else profiled
-    stops = (
-        usable.where(F.col("n_features") < page_size)
-        .groupBy("layer")
-        .agg(F.min("offset").alias("_stop"))
-    )
-    return (
-        usable.join(stops, "layer", "left")
-        .where((F.col("_stop").isNull() | (F.col("offset") <= F.col("_stop"))) & (F.col("n_features") > 0))
-        .drop("_stop")
-    )
+    return usable.where(F.col("n_features") < page_size).groupBy("layer").agg(F.min("offset").alias("stop"))
+
+
+def until_stop(pages: DataFrame, stops: DataFrame) -> DataFrame:
+    """Pages up to the end of their layer.
+
+    ``stops`` has a row per layer; its size is settled before the join, so that page bodies are
+    shuffled only if it is too large to broadcast.
+    """
+    known = settled(stops, "page-stops")
+    joined = pages.join(known, "layer", "left").where(F.col("stop").isNull() | (F.col("offset") <= F.col("stop")))
+    return joined.drop("stop")
+
+
+def stop_rule(profiled: DataFrame, page_size: int = PAGE_SIZE) -> DataFrame:
+    """Profiled pages that count: up to the stop, with features, without an error.
+
+    The first short page is kept if it has features and dropped if it is empty.
+    """
+    kept = until_stop(profiled, stop_offsets(profiled, page_size)).where(F.col("n_features") > 0)
+    return kept.where(F.col("page_error").isNull()) if "page_error" in profiled.columns else kept
 
 
 def page_warnings(profiled: DataFrame, page_size: int = PAGE_SIZE) -> DataFrame:

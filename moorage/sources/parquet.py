@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from moorage.sources.files import listing
+from moorage.sources.files import listing, open_input
 
 # Numeric types from narrow to wide.
 _WIDTH = ["tinyint", "smallint", "int", "bigint", "float", "double"]
@@ -38,8 +38,6 @@ def _schema_text(batches):
     import pyarrow.parquet as pq
     from pyspark.sql.pandas.types import from_arrow_schema
 
-    from moorage.sinks.geoparquet import open_input
-
     for batch in batches:
         paths, schemas = batch.column("path").to_pylist(), []
         for path in paths:

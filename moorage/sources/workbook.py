@@ -95,11 +95,12 @@ def _value(cell, shared: list[str]) -> str | None:
     return raw
 
 
-def _cells(content: bytes, sheet: int | str) -> Iterator[tuple[str, int, int, str]]:
+def _cells(content: bytes, sheet: int | str) -> Iterator[tuple[str, int, int | None, str | None]]:
+    """Non-empty cells in order; an empty row that lies between others is one cell without column."""
     with zipfile.ZipFile(io.BytesIO(content)) as book:
         shared = _shared_strings(book)
         name, part_name = _sheet_part(book, sheet)
-        r = -1
+        r = last = -1
         with book.open(part_name) as part:
             for _, row in iterparse(part):
                 if _local(row.tag) != "row":
@@ -110,6 +111,8 @@ def _cells(content: bytes, sheet: int | str) -> Iterator[tuple[str, int, int, st
                     c = _column(cell.get("r")) if cell.get("r") else c + 1
                     value = _value(cell, shared)
                     if value is not None and value != "":
+                        yield from ((name, gap, None, None) for gap in range(last + 1, r))
+                        last = r
                         yield name, r, c, value
                 row.clear()
 
@@ -140,7 +143,8 @@ def _batch(rows: list[tuple]) -> pa.RecordBatch:
 def excel_cells(files: DataFrame, sheet: int | str = 0) -> DataFrame:
     """Non-empty cells of one sheet of every workbook in a ``path, content`` frame.
 
-    Row and column numbers start at 0 and every value is text. A workbook that cannot be read
+    Row and column numbers start at 0 and every value is text; an empty row between others is a cell
+    without column and value. A workbook that cannot be read
     gives one row with ``error`` set; cells stream out in batches, so a large sheet is never held whole.
     """
     return files.select("path", "content").mapInArrow(_unpack(sheet), CELLS)

@@ -35,7 +35,9 @@ def test_cell_kinds_and_sparse_rows(spark):
         '<row r="5"><c r="A5"><v>42</v></c><c r="B5"><v>1.5</v></c><c r="C5" t="b"><v>1</v></c><c r="D5" t="str"><v>f</v></c><c r="E5"/>'
         '<c t="inlineStr"><is><t>next</t></is></c></row>'
     )
-    got = sorted((r.r, r.c, r.v) for r in cells(spark, book(xml, strings)).collect())
+    got = [(r.r, r.c, r.v) for r in cells(spark, book(xml, strings)).collect()]
+    assert [g[0] for g in got if g[1] is None] == [0, 2, 3]
+    got = [g for g in got if g[1] is not None]
     assert got == [(1, 1, "plain"), (1, 26, "rich text"), (4, 0, "42"), (4, 1, "1.5"), (4, 2, "True"), (4, 3, "f"), (4, 5, "next")]
 
 
@@ -48,7 +50,7 @@ def test_sheet_by_name_and_errors(spark):
 
 def test_header_detection(spark, folder):
     for name, lines in {
-        "good": [["title"], ["a", "b"], ["X Col", "y", "y"], [1, None, 3], ["NA", 5]],
+        "good": [["title"], ["a", "b"], ["X Col", "y", "y"], [1, None, 3], ["NA", 5], [], ["7"]],
         "none": [["a", "b"], ["c", "d"]],
     }.items():
         with open(f"{folder}/{name}.xlsx", "wb") as out:
@@ -59,9 +61,9 @@ def test_header_detection(spark, folder):
     assert found["good.xlsx"].header_row == 2 and "not found" in found["none.xlsx"].error
     (table,) = headers.tables(long)
     assert table.columns == ["file", "sheet", "r", "x_col", "y", "y_1"]
-    assert [(r.x_col, r.y, r.y_1) for r in table.orderBy("r").collect()] == [("1", None, "3"), (None, "5", None)]
+    assert [(r.x_col, r.y, r.y_1) for r in table.orderBy("r").collect()] == [("1", None, "3"), (None, "5", None), (None,) * 3, ("7", None, None)]
     explicit = headers.tables(long, explicit=0)
-    assert sorted(t.columns[3] for t in explicit) == ["a", "title"]
+    assert sorted(t.columns[3:] for t in explicit) == [["a", "b"], ["title", "nan", "nan_1"]]
 
 
 @pytest.mark.parametrize("number, text", [("3", "3"), ("3.0", "3"), ("0.1", "0.1"), ("1E3", "1000"), ("-2.50", "-2.5")])
