@@ -54,6 +54,10 @@ def _urljoin(base: pa.Array, link: pa.Array) -> pa.Array:
     return pa.array([join(b, u) for b, u in zip(base.to_pylist(), link.to_pylist())], pa.string())
 
 
+# So declared, a filter on the result is not moved below the call, where it would call it again.
+_urljoin = _urljoin.asNondeterministic()
+
+
 def resolve(base: Column, link: Column) -> Column:
     """Absolute form of ``link`` on page ``base``.
 

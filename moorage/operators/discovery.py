@@ -117,6 +117,4 @@ def by_partition(files: DataFrame) -> DataFrame:
 
     The files stay rows: a partitioned write brings them together, not an array in one task.
     """
-    return files.groupBy("partition_values").agg(
-        F.count(F.lit(1)).alias("n_files"), F.min("url").alias("first_url"), F.max("url").alias("last_url")
-    )
+    return files.groupBy("partition_values").agg(F.count(F.lit(1)).alias("n_files"))

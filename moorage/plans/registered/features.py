@@ -4,8 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from moorage.functions import wkb
-from moorage.operators import registry, sampling
+from moorage.operators import geometry, registry, sampling
 from moorage.plans.registered import query
 from moorage.sources import catalog, pages
 
@@ -33,8 +32,8 @@ def feature_pages_geojson(spark, t):
     body = F.to_json(F.struct(F.array(feature(0), feature(1)).alias("features")))
     landed = t.customer.select(F.lit("customer").alias("layer"), F.col("c_custkey").alias("offset"), body.alias("body"))
     rows = pages.geojson_rows(landed, "c_custkey bigint, copy int, c_name string, c_acctbal double, geometry string")
-    at = wkb.decode_wkb(F.unhex("geometry"))["geometry"]["members"][0]["coords"][0][0][0]
-    return rows.select("c_custkey", "copy", "c_name", "c_acctbal", at[0].alias("x"), at[1].alias("y"))
+    at = F.col("decoded.members")[0]["coords"][0][0][0]
+    return geometry.decode_hex(rows).select("c_custkey", "copy", "c_name", "c_acctbal", at[0].alias("x"), at[1].alias("y"))
 
 
 @query(
@@ -58,8 +57,8 @@ def feature_pages_esri(spark, t):
         .select(F.to_json(F.struct(F.col("kind").alias("geometryType"), features.alias("features"))).alias("body"))
     )
     rows = pages.esri_rows(landed, "s_suppkey bigint, s_name string, s_acctbal double")
-    at = wkb.decode_wkb(F.unhex("geometry"))["geometry"]["members"][0]["coords"][0][0][0]
-    return rows.select("s_suppkey", "s_name", "s_acctbal", at[0].alias("x"), at[1].alias("y"), "geometry_error")
+    at = F.col("decoded.members")[0]["coords"][0][0][0]
+    return geometry.decode_hex(rows).select("s_suppkey", "s_name", "s_acctbal", at[0].alias("x"), at[1].alias("y"), "geometry_error")
 
 
 @query(

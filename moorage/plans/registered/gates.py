@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from moorage.operators import gate, metrics
 from moorage.operators.metrics import Metric
 from moorage.plans.registered import query
-from moorage.session import workspace
+from moorage.session import settled, workspace
 from moorage.sinks import tables
 
 KEYS = ["dataset_name"]
@@ -36,9 +36,10 @@ def _snapshots(t):
 
 def gate_parts(t, wanted=METRICS):
     old, new = _snapshots(t)
-    baseline = metrics.grouped_metrics(old, KEYS, wanted, incoming=False)
-    incoming = metrics.grouped_metrics(new, KEYS, wanted, incoming=True)
-    datasets = new.select(*KEYS).distinct()
+    # Metric rows are few and used several times; settled, each snapshot is scanned once.
+    baseline = settled(metrics.grouped_metrics(old, KEYS, wanted, incoming=False), "baseline")
+    incoming = settled(metrics.grouped_metrics(new, KEYS, wanted, incoming=True), "incoming")
+    datasets = incoming.where(F.col("metric_name") == metrics.ROW_COUNT).select(*KEYS)
     datasets = datasets.withColumn("dataset_tolerance", F.when(F.col("dataset_name") == "2-HIGH", F.lit(1.0)))
     expected = gate.checks(datasets, KEYS, wanted)
     return datasets, gate.compare(expected, baseline, incoming, KEYS)

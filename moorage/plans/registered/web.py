@@ -83,7 +83,7 @@ def explicit_file(spark, t):
 @query(
     "files_by_partition",
     r"""SELECT regexp_extract(url, '^[^:]+://([^/?#]+)', 1) AS host, regexp_extract(url, '^[^:]+://[^/]+/([a-z]{2})/', 1) AS lang,
-               count(*) AS n_files, min(url) AS first_url, max(url) AS last_url FROM pages GROUP BY 1, 2""",
+               count(*) AS n_files FROM pages GROUP BY 1, 2""",
 )
 def files_by_partition(spark, t):
     host = F.try_parse_url("url", F.lit("HOST"))
@@ -94,8 +94,7 @@ def files_by_partition(spark, t):
     tagged = t.pages.select("url", F.when(F.col("page_id") % 2 == 0, forward).otherwise(backward).alias("partition_values"))
     grouped = discovery.by_partition(tagged)
     return grouped.select(
-        F.col("partition_values")["host"].alias("host"), F.col("partition_values")["lang"].alias("lang"),
-        "n_files", "first_url", "last_url",
+        F.col("partition_values")["host"].alias("host"), F.col("partition_values")["lang"].alias("lang"), "n_files"
     )
 
 

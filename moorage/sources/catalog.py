@@ -35,7 +35,9 @@ def parse_documents(texts: DataFrame, body: str = "body") -> DataFrame:
 
 def explode_datasets(documents: DataFrame) -> DataFrame:
     """One row per dataset, with the jurisdiction's name and CRS."""
-    return documents.select("jurisdiction", "crs", F.explode("datasets").alias("d")).select("jurisdiction", "crs", "d.*")
+    # The outer form keeps Spark from parsing each document a second time to test the array.
+    rows = documents.select("jurisdiction", "crs", F.explode_outer("datasets").alias("d")).where(F.col("d").isNotNull())
+    return rows.select("jurisdiction", "crs", "d.*")
 
 
 def only(datasets: DataFrame, names: Sequence[str] | None) -> DataFrame:

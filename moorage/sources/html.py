@@ -20,6 +20,10 @@ def _unescape(texts: pa.Array) -> pa.Array:
     return pa.array([None if t is None else html.unescape(t) for t in texts.to_pylist()], pa.string())
 
 
+# So declared, a filter on the result is not moved below the call, where it would call it again.
+_unescape = _unescape.asNondeterministic()
+
+
 def anchor_hrefs(page: Column) -> Column:
     """Array of the raw ``href`` values of all anchors in document order."""
     tags = F.regexp_extract_all(F.regexp_replace(page, _IGNORED, ""), F.lit(_ANCHOR), F.lit(1))
@@ -41,7 +45,8 @@ def links(pages: DataFrame, key: list[str], page: str = "html") -> DataFrame:
 
     Character references are decoded; only values that contain one are passed to Python.
     """
-    found = pages.select(*key, F.posexplode(anchor_hrefs(F.col(page))).alias("pos", "raw"))
+    # The outer form keeps Spark from running the patterns a second time to test the array.
+    found = pages.select(*key, F.posexplode_outer(anchor_hrefs(F.col(page))).alias("pos", "raw")).where(F.col("pos").isNotNull())
     escaped = F.col("raw").contains("&")
     href = F.when(escaped, _unescape(F.when(escaped, F.col("raw")))).otherwise(F.col("raw"))
     return found.select(*key, "pos", href.alias("href")).where(F.col("href") != "")

@@ -41,8 +41,12 @@ def stop_offsets(profiled: DataFrame, page_size: int = PAGE_SIZE) -> DataFrame:
     Pages with a service error do not count. One partial aggregate, so a layer that holds most pages
     is no hot spot.
     """
-    usable = profiled.where(F.col("page_error").isNull()) if "page_error" in profiled.columns else profiled
-    return usable.where(F.col("n_features") < page_size).groupBy("layer").agg(F.min("offset").alias("stop"))
+    short = F.col("n_features") < page_size
+    if "page_error" in profiled.columns:
+        short = short & F.col("page_error").isNull()
+    # Tested inside the aggregate: as a filter the test would repeat the parsing behind it.
+    found = profiled.groupBy("layer").agg(F.min(F.when(short, F.col("offset"))).alias("stop"))
+    return found.where(F.col("stop").isNotNull())
 
 
 def until_stop(pages: DataFrame, stops: DataFrame) -> DataFrame:
@@ -83,7 +87,9 @@ def _features(pages: DataFrame, key: str, attributes: T.StructType | str, geomet
     )
     return (
         pages.select(*keep, F.from_json("body", schema).alias("_page"))
-        .select(*keep, F.col("_page.geometryType").alias("_type"), F.explode("_page.features").alias("_f"))
+        # The outer form keeps Spark from testing the array first, which would parse every page twice.
+        .select(*keep, F.col("_page.geometryType").alias("_type"), F.explode_outer("_page.features").alias("_f"))
+        .where(F.col("_f").isNotNull())
     )
 
 
