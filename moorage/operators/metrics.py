@@ -69,13 +69,16 @@ def baseline_aggregates(df: DataFrame, metrics: Sequence[Metric]) -> list[Column
     ]
 
 
-def observed(df: DataFrame, metrics: Sequence[Metric], name: str, source: bool = False) -> tuple[DataFrame, Observation]:
+def observed(
+    df: DataFrame, metrics: Sequence[Metric], name: str, source: bool = False, **more: Column
+) -> tuple[DataFrame, Observation]:
     """The frame with its metrics collected while it is written; no second pass over the data.
 
     Write the result directly: rows are then counted once per finished write task, also after retries.
     """
     observation = Observation(name)
-    return df.observe(observation, *incoming_aggregates(df, metrics, source)), observation
+    extra = [c.alias(n) for n, c in more.items()]
+    return df.observe(observation, *incoming_aggregates(df, metrics, source), *extra), observation
 
 
 def long_form(aggregated: DataFrame, keys: Sequence[str], names: Sequence[str]) -> DataFrame:

@@ -11,6 +11,7 @@ import uuid
 from collections.abc import Mapping, Sequence
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
+from urllib.parse import quote
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -20,12 +21,14 @@ from moorage.functions.names import snake_case
 from moorage.operators import gate, registry
 from moorage.operators.metrics import ROW_COUNT, Metric, baseline_aggregates, long_form, metric_names, observed
 from moorage.operators.sampling import first_rows
+from moorage.session import settled
 from moorage.sinks import finalize, tables
 from moorage.sources import catalog, files, pages
 
 KEYS = ["jurisdiction", "dataset_name"]
 LONG = "jurisdiction string, dataset_name string, metric_name string, value double"
-AUDIT_TABLE, REGISTRY_TABLE = "validation_results", "spatial_metadata_registry"
+AUDIT_TABLE, REGISTRY_TABLE, WARNING_TABLE = "validation_results", "spatial_metadata_registry", "load_warnings"
+BROKEN = "_broken_geometries"
 
 
 @dataclass(frozen=True)
@@ -47,6 +50,11 @@ def _dataset_path(options: LoadOptions, jurisdiction: str, name: str) -> str:
     return f"{options.root.rstrip('/')}/{jurisdiction}/{name}"
 
 
+def _log_path(options: LoadOptions, jurisdiction: str, table: str, name: str) -> str:
+    """A dataset's own partition of a log table: loads at the same time must not share an output folder."""
+    return f"{_dataset_path(options, jurisdiction, table)}/dataset_name={quote(name, safe='')}"
+
+
 def _metrics(dataset: Mapping) -> list[Metric]:
     listed = (dataset.get("validation") or {}).get("metrics") or []
     return [
@@ -66,12 +74,12 @@ def _baseline_path(spark: SparkSession, options: LoadOptions, target: str) -> st
     return f"{target}/year={options.year}"
 
 
-def _feature_rows(landed: DataFrame, crs: int | None, options: LoadOptions, attributes: T.StructType | None) -> DataFrame:
+def _feature_rows(
+    landed: DataFrame, profile: DataFrame, crs: int | None, options: LoadOptions, attributes: T.StructType | None
+) -> DataFrame:
     key = "attributes" if crs else "properties"
-    # A light pass finds the end; the reading pass then parses each body once, and pages that are
-    # empty or carry an error have no features to give.
-    stops = pages.stop_offsets(pages.page_profile(landed), options.page_size)
-    kept = pages.until_stop(landed, stops)
+    # The reading pass parses each body once; pages that are empty or carry an error have no features.
+    kept = pages.until_stop(landed, pages.stop_offsets(profile, options.page_size))
     schema = attributes if attributes is not None else pages.infer_attributes(landed, key)
     read = pages.esri_rows if crs else pages.geojson_rows
     if options.max_records is None:
@@ -92,15 +100,31 @@ def load_dataset(
 ) -> DataFrame:
     """Load one dataset's pages and return its gate results (none when not gated or without baseline).
 
-    Raises ``GateError`` on failure, after the audit row is written; the stored snapshot is then untouched.
+    Pages with errors, pages the service cut short and geometries that could not be converted are noted in
+    the table ``load_warnings``. Raises ``GateError`` on failure, after the audit row is written; the stored
+    snapshot is then untouched.
     """
     name, metrics = dataset["name"], _metrics(dataset)
     target = _dataset_path(options, jurisdiction, name)
     staged = f"{options.root.rstrip('/')}/_staging/{name}-{uuid.uuid4().hex}"
-    rows = _feature_rows(landed, crs, options, attributes)
-    rows, seen = observed(rows, metrics, f"{jurisdiction}.{name}", source=True)
+    # A light pass counts features per page; what it finds is small and used twice.
+    profile = settled(pages.page_profile(landed).drop("body"), "page-profile")
+    rows = _feature_rows(landed, profile, crs, options, attributes)
+    rows, seen = observed(
+        rows, metrics, f"{jurisdiction}.{name}", source=True, **{BROKEN: F.count("geometry_error")}
+    )
     rows.toDF(*[snake_case(c) for c in rows.columns]).drop("geometry_error").write.parquet(staged)
 
+    values = dict(seen.get)
+    broken = values.pop(BROKEN)
+    warned = pages.page_warnings(profile, options.page_size).select(
+        F.concat(F.lit("page at offset "), F.col("offset"), F.lit(": "), "reason").alias("warning")
+    )
+    if broken:
+        warned = warned.unionByName(spark.createDataFrame([(f"{broken} geometries could not be converted",)], "warning string"))
+    warned = warned.select(F.lit(jurisdiction).alias("jurisdiction"), F.lit(options.run_time).alias("loaded_at"), "warning")
+    tables.append(warned, _log_path(options, jurisdiction, WARNING_TABLE, name))
+
     datasets = spark.createDataFrame(
         [(jurisdiction, name, _tolerance(dataset))], "jurisdiction string, dataset_name string, dataset_tolerance double"
     )
@@ -108,7 +132,7 @@ def load_dataset(
     if _gated(dataset, options):
         at = _baseline_path(spark, options, target)
         incoming = spark.createDataFrame(
-            [(jurisdiction, name, k, float(v)) for k, v in seen.get.items() if v is not None], LONG
+            [(jurisdiction, name, k, float(v)) for k, v in values.items() if v is not None], LONG
         )
         stored = spark.createDataFrame([], LONG)
         if files.has_data(spark, at):
@@ -125,7 +149,7 @@ def load_dataset(
         # A handful of rows, fixed here so that the baseline is scanned once.
         results = spark.createDataFrame(compared.collect(), compared.schema)
         record = gate.audit(datasets, results, KEYS, options.run_time)
-        tables.append(record, _dataset_path(options, jurisdiction, AUDIT_TABLE))
+        tables.append(record.drop("dataset_name"), _log_path(options, jurisdiction, AUDIT_TABLE, name))
         failed = [r for r in results.where(~F.col("passed")).collect()]
         if failed:
             files.delete(spark, staged)
@@ -153,7 +177,7 @@ def run(
     """Load every configured dataset; returns ``jurisdiction/dataset -> status``.
 
     ``landed`` holds the pages of all datasets (``jurisdiction, layer, offset, body``; the layer is the
-    dataset's name), ``documents`` the service metadata (``service_url, body``). One dataset's failure
+    dataset's name; stored partitioned by the first two, each dataset's load reads only its own pages), ``documents`` the service metadata (``service_url, body``). One dataset's failure
     does not keep the others from loading.
     """
     outcome: dict[str, str] = {}

@@ -104,12 +104,14 @@ def load_files(
     fields: Mapping[str, str],
     run_time: str,
     excel: Mapping | None = None,
+    replace: bool = False,
 ) -> DataFrame:
     """Load landed files (``url, filename, partition_values, path``) in one job per kind of step.
 
     Rows are tagged with the partition values of their file and appended below
     ``root/jurisdiction/dataset/field=value/...`` in the order of ``fields``. Bad files are returned as
-    ``path, error`` and do not stop the rest; history is written after the data.
+    ``path, error`` and do not stop the rest; history is written after the data. With ``replace`` the
+    partitions of the new files replace the stored ones instead of adding to them.
     """
     paths = [r.path for r in todo.select("path").distinct().toLocalIterator()]
     if not paths:
@@ -127,7 +129,8 @@ def load_files(
     if parsed.rows is None:
         return parsed.bad
     tagged = tables.partitions_from_file_name(parsed.rows, fields)
-    tables.append(tagged.drop("source_file"), target, list(fields))
+    publish = tables.snapshot if replace else tables.append
+    publish(tagged.drop("source_file"), target, list(fields))
     listed = files.listing(spark, [delimited.literal_path(p) for p in paths])
     # Listed paths carry a scheme that the given ones may lack.
     plain = F.regexp_replace("path", "^file:/+", "/").alias("_at")
@@ -156,6 +159,7 @@ def run(
     run_time: str,
     force: bool = False,
     excel: Mapping | None = None,
+    replace: bool = False,
 ) -> DataFrame:
     """Load what is discovered and not in the history; files lie in ``landing`` under their own names."""
     known = history.select_history(
@@ -163,4 +167,4 @@ def run(
     )
     todo = history.unloaded(discovered, known, force)
     located = todo.withColumn("path", F.concat(F.lit(landing.rstrip("/") + "/"), "filename"))
-    return load_files(spark, located, root, dataset, jurisdiction, file_type, fields, run_time, excel)
+    return load_files(spark, located, root, dataset, jurisdiction, file_type, fields, run_time, excel, replace)

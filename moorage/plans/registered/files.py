@@ -142,12 +142,13 @@ def header_detect(spark, t):
     "SELECT s_suppkey, s_name, s_nationkey, length(s_name) > 0 AS has_geometry FROM supplier",
 )
 def geojson_file_scan(spark, t):
-    # Collections of at most 100 features (keys are unique), each in a file of its own.
+    # Collections of at most 100 features, each in a file of its own: neighbours of one input
+    # partition, so that no key can make a collection large.
     feature = F.struct(
         F.struct("s_suppkey", "s_name", "s_nationkey").alias("properties"),
         F.struct(F.lit("Point").alias("type"), F.array("s_acctbal", "s_acctbal").alias("coordinates")).alias("geometry"),
     )
-    collections = t.supplier.groupBy(F.floor(F.col("s_suppkey") / 100).alias("block")).agg(
+    collections = t.supplier.withColumn("block", F.floor(F.monotonically_increasing_id() / 100)).groupBy("block").agg(
         F.to_json(F.struct(F.lit("FeatureCollection").alias("type"), F.collect_list(feature).alias("features"))).alias("value")
     )
     root = workspace(spark, "geojson_file_scan")

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from moorage.functions.names import header_names, scanned_file
+from moorage.session import settled
 
 UTF8, LATIN1 = "UTF-8", "ISO-8859-1"
 OVERFLOW = "_overflow"
@@ -54,18 +55,21 @@ def profile(spark: SparkSession, paths: str | list[str]) -> DataFrame:
 
 
 def file_groups(profiled: DataFrame) -> list[FileGroup]:
-    """Scan plan. Only file names reach the driver, as they do in any Spark file index."""
+    """Scan plan: which files can be read together.
+
+    Only file names, as in any Spark file index, and the distinct headers reach the driver, row by row.
+    """
     decoded = F.when(F.col("encoding") == UTF8, F.col("header")).otherwise(
         F.decode(F.col("header").cast("binary"), LATIN1)
     )
-    rows = (
-        profiled.where(F.col("header").isNotNull())
-        .groupBy(decoded.alias("header"), "encoding", "multi_line")
-        .agg(F.array_sort(F.collect_list("path")).alias("paths"))
-        .orderBy("header", "encoding", "multi_line")
-        .toLocalIterator()
-    )
-    return [FileGroup(r.header, r.encoding, r.multi_line, tuple(r.paths)) for r in rows]
+    known = profiled.where(F.col("header").isNotNull()).withColumn("header", decoded)
+    known = settled(known.withColumn("key", F.md5("header")).drop("lines"), "file-profile")
+    headers = {r.key: r.header for r in known.groupBy("key").agg(F.first("header").alias("header")).toLocalIterator()}
+    members: dict[tuple[str, str, bool], list[str]] = {}
+    for r in known.select("key", "encoding", "multi_line", "path").toLocalIterator():
+        members.setdefault((r.key, r.encoding, r.multi_line), []).append(r.path)
+    found = [FileGroup(headers[k], e, m, tuple(sorted(paths))) for (k, e, m), paths in members.items()]
+    return sorted(found, key=lambda g: (g.header, g.encoding, g.multi_line))
 
 
 def read_group(spark: SparkSession, group: FileGroup, separator: str, overflow: bool = False) -> DataFrame:

@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from moorage.session import settled
 from moorage.sources.files import listing, open_input
 
 # Numeric types from narrow to wide.
@@ -51,16 +52,15 @@ def _schema_text(batches):
 
 
 def schema_groups(spark: SparkSession, root: str) -> list[tuple[T.StructType, list[str]]]:
-    """Files grouped by footer schema; footers are read on the executors, only names come back."""
-    files = listing(spark, root, "*.parquet").select("path")
-    found = (
-        files.mapInArrow(_schema_text, "path string, schema string")
-        .groupBy("schema")
-        .agg(F.array_sort(F.collect_list("path")).alias("paths"))
-        .orderBy("schema")
-        .toLocalIterator()
-    )
-    return [(T.StructType.fromJson(json.loads(r.schema)), r.paths) for r in found]
+    """Files grouped by footer schema. Footers are read on the executors; file names and the distinct
+    schemas come back."""
+    footers = listing(spark, root, "*.parquet").select("path").mapInArrow(_schema_text, "path string, schema string")
+    known = settled(footers.withColumn("key", F.md5("schema")), "file-schemas")
+    schemas = {r.key: r.schema for r in known.groupBy("key").agg(F.first("schema").alias("schema")).toLocalIterator()}
+    members: dict[str, list[str]] = {}
+    for r in known.select("key", "path").toLocalIterator():
+        members.setdefault(r.key, []).append(r.path)
+    return [(T.StructType.fromJson(json.loads(schemas[k])), sorted(members[k])) for k in sorted(members)]
 
 
 def read_normalized(spark: SparkSession, root: str) -> DataFrame:

@@ -79,6 +79,17 @@ def test_feature_load(spark, folder):
     assert spark.read.parquet(f"{folder}/town/parcels").agg(F.max("total_taxes")).first()[0] == 20.0
 
 
+def test_load_warnings(spark, folder):
+    dataset = {"name": "parcels", "layer_url": "https://h/s/0/query"}
+    bad = json.dumps({"geometryType": "esriGeometryMultipoint", "features": [{"attributes": {"OBJECTID": 1}, "geometry": {"x": 1}}]})
+    rows = [("town", "parcels", 0, json.dumps({"error": {"message": "busy"}})), ("town", "parcels", 10, bad)]
+    pages = spark.createDataFrame(rows, "jurisdiction string, layer string, offset bigint, body string")
+    feature_load.load_dataset(spark, pages, "town", 8193, dataset, options(folder))
+    assert spark.read.parquet(f"{folder}/town/parcels").count() == 1
+    noted = sorted(r.warning for r in spark.read.parquet(f"{folder}/town/load_warnings").collect())
+    assert len(noted) == 2 and noted[0].startswith("1 geometries") and "busy" in noted[1]
+
+
 def test_sampling_load(spark, folder):
     load(spark, folder, 95, 1.0, max_records=7)
     assert spark.read.parquet(f"{folder}/town/parcels").count() == 7
@@ -134,6 +145,8 @@ def test_file_load_is_incremental_and_skips_bad_files(spark, tmp_path):
     assert spark.read.parquet(f"{root}/town/tax_roll").count() == 5
     run_files(spark, landing, root, ["2025taxroll.csv"], "csv", force=True)
     assert spark.read.parquet(f"{root}/town/tax_roll").count() == 6
+    run_files(spark, landing, root, ["2025taxroll.csv"], "csv", force=True, replace=True)
+    assert spark.read.parquet(f"{root}/town/tax_roll").count() == 5
     put(landing, "2026taxroll.csv", "Parcel ID,Tax-Total\nabc,9\n")
     with pytest.raises(TypeError):
         run_files(spark, landing, root, ["2026taxroll.csv"], "csv")
