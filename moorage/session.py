@@ -5,6 +5,7 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+import zipfile
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -27,7 +28,26 @@ def build_session(app: str = "moorage", master: str | None = None, **extra: str)
         builder = builder.master(master)
     for key, value in {**SETTINGS, **extra}.items():
         builder = builder.config(key, value)
-    return builder.getOrCreate()
+    spark = builder.getOrCreate()
+    ship(spark)
+    return spark
+
+
+def ship(spark: SparkSession) -> None:
+    """Send this package to the Python workers of the session, once."""
+    context = spark.sparkContext
+    if getattr(context, "_moorage_shipped", False):
+        return
+    package = os.path.dirname(os.path.abspath(__file__))
+    archive = os.path.join(tempfile.mkdtemp(prefix="moorage-"), "moorage.zip")
+    with zipfile.ZipFile(archive, "w") as bundle:
+        for folder, _, names in os.walk(package):
+            for name in names:
+                if name.endswith(".py"):
+                    full = os.path.join(folder, name)
+                    bundle.write(full, os.path.relpath(full, os.path.dirname(package)))
+    context.addPyFile(archive)
+    context._moorage_shipped = True
 
 
 def shared_root(spark: SparkSession) -> str:

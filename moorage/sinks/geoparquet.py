@@ -19,6 +19,7 @@ from pyspark.sql import SparkSession
 from pyspark.sql.datasource import DataSource, DataSourceArrowWriter, WriterCommitMessage
 
 from moorage.functions import wkb
+from moorage.session import ship
 from moorage.sources.files import filesystem, open_input
 
 ROW_GROUP_BYTES = 64 << 20
@@ -176,6 +177,7 @@ class GeoParquetSource(DataSource):
 
 
 def register(spark: SparkSession) -> None:
+    ship(spark)
     spark.dataSource.register(GeoParquetSource)
 
 

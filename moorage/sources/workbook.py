@@ -6,6 +6,7 @@ import io
 import re
 import zipfile
 from collections.abc import Iterator
+from datetime import datetime, timedelta
 from xml.etree.ElementTree import iterparse
 
 import pyarrow as pa
@@ -25,7 +26,8 @@ _ARROW = pa.schema(
     [("file", pa.string()), ("sheet", pa.string()), ("r", pa.int32()), ("c", pa.int32()), ("v", pa.string()), ("error", pa.string())]
 )
 _BATCH = 50_000
-# The texts a sheet may use for "no value" are those of delimited files.
+# Built-in number formats that show dates or times.
+_DATE_FORMATS = {14, 15, 16, 17, 18, 19, 20, 21, 22, *range(27, 37), 45, 46, 47, *range(50, 59)}
 _REL = "{http://schemas.openxmlformats.org/officeDocument/2006/relationships}id"
 
 
@@ -71,6 +73,39 @@ def _sheet_part(book: zipfile.ZipFile, sheet: int | str) -> tuple[str, str]:
     return name, target.lstrip("/") if target.startswith("/") else f"xl/{target}"
 
 
+def _date_styles(book: zipfile.ZipFile) -> set[int]:
+    """Indexes of the cell styles that show a number as a date or time."""
+    if "xl/styles.xml" not in book.namelist():
+        return set()
+    custom, styles = {}, []
+    with book.open("xl/styles.xml") as part:
+        for _, node in iterparse(part):
+            if _local(node.tag) == "numFmt":
+                # Literal text, colours and locales say nothing about the kind of value.
+                code = re.sub(r'"[^"]*"|\\.|\[(?!h+\]|m+\]|s+\])[^\]]*\]', "", node.get("formatCode", ""), flags=re.I)
+                custom[int(node.get("numFmtId"))] = bool(re.search("[dmhys]", code.split(";")[0], re.I))
+            elif _local(node.tag) == "cellXfs":
+                styles = [int(xf.get("numFmtId", 0)) for xf in node]
+    return {i for i, fmt in enumerate(styles) if custom.get(fmt, fmt in _DATE_FORMATS)}
+
+
+def _starts_1904(book: zipfile.ZipFile) -> bool:
+    with book.open("xl/workbook.xml") as part:
+        return any(n.get("date1904") in ("1", "true") for _, n in iterparse(part) if _local(n.tag) == "workbookPr")
+
+
+def _date_text(serial: float, from_1904: bool) -> str:
+    """Text of a day number: a time of day below 1, else a date with time."""
+    days, part = divmod(serial, 1)
+    time = timedelta(milliseconds=round(part * 86_400_000))
+    if 0 <= serial < 1 and time < timedelta(days=1):
+        return str((datetime(1900, 1, 1) + time).time())
+    # Day 60 of the 1900 calendar does not exist.
+    shift = 1 if not from_1904 and 0 < serial < 60 else 0
+    first = datetime(1904, 1, 1) if from_1904 else datetime(1899, 12, 30)
+    return str(first + timedelta(days=days + shift) + time)
+
+
 def _column(ref: str) -> int:
     n = 0
     for ch in re.match("[A-Z]+", ref).group():
@@ -78,12 +113,12 @@ def _column(ref: str) -> int:
     return n - 1
 
 
-def _value(cell, shared: list[str]) -> str | None:
+def _value(cell, shared: list[str], dates: set[int], from_1904: bool) -> str | None:
     kind = cell.get("t", "n")
     if kind == "inlineStr":
         return "".join(_text(n) for n in cell if _local(n.tag) == "is")
     raw = next((n.text for n in cell if _local(n.tag) == "v"), None)
-    if raw is None:
+    if raw is None or kind == "e":
         return None
     if kind == "s":
         return shared[int(raw)]
@@ -91,6 +126,8 @@ def _value(cell, shared: list[str]) -> str | None:
         return "True" if raw == "1" else "False"
     if kind == "n":
         number = float(raw)
+        if int(cell.get("s", 0)) in dates:
+            return _date_text(number, from_1904)
         return str(int(number)) if number.is_integer() and abs(number) < 1e15 else repr(number)
     return raw
 
@@ -98,7 +135,7 @@ def _value(cell, shared: list[str]) -> str | None:
 def _cells(content: bytes, sheet: int | str) -> Iterator[tuple[str, int, int | None, str | None]]:
     """Non-empty cells in order; an empty row that lies between others is one cell without column."""
     with zipfile.ZipFile(io.BytesIO(content)) as book:
-        shared = _shared_strings(book)
+        shared, dates, from_1904 = _shared_strings(book), _date_styles(book), _starts_1904(book)
         name, part_name = _sheet_part(book, sheet)
         r = last = -1
         with book.open(part_name) as part:
@@ -109,7 +146,7 @@ def _cells(content: bytes, sheet: int | str) -> Iterator[tuple[str, int, int | N
                 c = -1
                 for cell in row:
                     c = _column(cell.get("r")) if cell.get("r") else c + 1
-                    value = _value(cell, shared)
+                    value = _value(cell, shared, dates, from_1904)
                     if value is not None and value != "":
                         yield from ((name, gap, None, None) for gap in range(last + 1, r))
                         last = r
@@ -128,7 +165,7 @@ def _unpack(sheet: int | str):
                         if len(rows) == _BATCH:
                             yield _batch(rows)
                             rows = []
-                except (zipfile.BadZipFile, KeyError, ValueError, IndexError, SyntaxError) as exc:
+                except (zipfile.BadZipFile, KeyError, ValueError, IndexError, SyntaxError, OverflowError) as exc:
                     rows.append((path, None, None, None, None, f"{type(exc).__name__}: {exc}"))
                 if rows:
                     yield _batch(rows)
@@ -143,7 +180,8 @@ def _batch(rows: list[tuple]) -> pa.RecordBatch:
 def excel_cells(files: DataFrame, sheet: int | str = 0) -> DataFrame:
     """Non-empty cells of one sheet of every workbook in a ``path, content`` frame.
 
-    Row and column numbers start at 0 and every value is text; an empty row between others is a cell
+    Row and column numbers start at 0 and every value is text (dates as ISO text, error cells as
+    empty); an empty row between others is a cell
     without column and value. A workbook that cannot be read
     gives one row with ``error`` set; cells stream out in batches, so a large sheet is never held whole.
     """

@@ -11,13 +11,15 @@ NS = 'xmlns="http://schemas.openxmlformats.org/spreadsheetml/2006/main"'
 REL = 'xmlns:r="http://schemas.openxmlformats.org/officeDocument/2006/relationships"'
 
 
-def book(sheet_xml, strings=None, second=None):
+def book(sheet_xml, strings=None, second=None, styles=None):
     out = io.BytesIO()
     with zipfile.ZipFile(out, "w", zipfile.ZIP_DEFLATED) as z:
         z.writestr("xl/workbook.xml", f'<workbook {NS} {REL}><sheets><sheet name="One" sheetId="1" r:id="a"/><sheet name="Two" sheetId="2" r:id="b"/></sheets></workbook>')
         z.writestr("xl/_rels/workbook.xml.rels", '<Relationships><Relationship Id="a" Target="worksheets/s1.xml"/><Relationship Id="b" Target="/xl/worksheets/s2.xml"/></Relationships>')
         z.writestr("xl/worksheets/s1.xml", f"<worksheet {NS}><sheetData>{sheet_xml}</sheetData></worksheet>")
         z.writestr("xl/worksheets/s2.xml", f"<worksheet {NS}><sheetData>{second or ''}</sheetData></worksheet>")
+        if styles:
+            z.writestr("xl/styles.xml", f"<styleSheet {NS}>{styles}</styleSheet>")
         if strings:
             z.writestr("xl/sharedStrings.xml", f"<sst {NS}>{strings}</sst>")
     return out.getvalue()
@@ -69,3 +71,14 @@ def test_header_detection(spark, folder):
 @pytest.mark.parametrize("number, text", [("3", "3"), ("3.0", "3"), ("0.1", "0.1"), ("1E3", "1000"), ("-2.50", "-2.5")])
 def test_numbers_as_text(spark, number, text):
     assert cells(spark, book(f'<row r="1"><c r="A1"><v>{number}</v></c></row>')).first().v == text
+
+
+def test_dates_and_errors(spark):
+    styles = (
+        '<numFmts><numFmt numFmtId="164" formatCode="yyyy\\-mm"/><numFmt numFmtId="165" formatCode="[Red]0.00&quot;days&quot;"/></numFmts>'
+        '<cellXfs><xf numFmtId="0"/><xf numFmtId="14"/><xf numFmtId="164"/><xf numFmtId="165"/></cellXfs>'
+    )
+    values = [("1", "45306"), ("2", "45306.75"), ("3", "45306"), ("0", "45306"), ("1", "0.5"), ("1", "1"), ("1", "61")]
+    row = "".join(f'<c s="{s}"><v>{v}</v></c>' for s, v in values) + '<c t="e"><v>#DIV/0!</v></c>'
+    got = [r.v for r in cells(spark, book(f'<row r="1">{row}</row>', styles=styles)).orderBy("c").collect()]
+    assert got == ["2024-01-15 00:00:00", "2024-01-15 18:00:00", "45306", "45306", "12:00:00", "1900-01-01 00:00:00", "1900-03-01 00:00:00"]
