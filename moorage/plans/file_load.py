@@ -78,7 +78,7 @@ def parse_excel(
 ) -> Parsed:
     """The same for workbooks; all values stay text. Each workbook is unpacked once."""
     explicit = None if header_detection == "auto" else int(header_detection)
-    cells = workbook.excel_cells(files.contents(spark, [delimited.literal_path(p) for p in paths]), sheet)
+    cells = workbook.excel_cells(files.listing(spark, [delimited.literal_path(p) for p in paths]), sheet)
     cells = settled(cells, "cells")
     good = cells.where(F.col("error").isNull())
     missing = headers.header_rows(headers.sheet_rows(good), explicit=explicit)

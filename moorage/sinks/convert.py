@@ -107,8 +107,8 @@ def _delimited(spark: SparkSession, paths: list[str], separator: str) -> Iterato
 
 
 def _excel(spark: SparkSession, paths: list[str]) -> Iterator[_Batch | tuple[str, str]]:
-    content = files.contents(spark, [delimited.literal_path(p) for p in paths])
-    cells = settled(workbook.excel_cells(content), "cells")
+    listed = files.listing(spark, [delimited.literal_path(p) for p in paths])
+    cells = settled(workbook.excel_cells(listed), "cells")
     good = cells.where(F.col("error").isNull())
     rows = headers.sheet_rows(good)
     failed = cells.where(F.col("error").isNotNull()).select("file", "error").unionByName(

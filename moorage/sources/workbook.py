@@ -13,6 +13,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
+from moorage.sources.files import open_input
+
 CELLS = (
     T.StructType()
     .add("file", T.StringType())
@@ -132,14 +134,18 @@ def _value(cell, shared: list[str], dates: set[int], from_1904: bool) -> str | N
     return raw
 
 
-def _cells(content: bytes, sheet: int | str) -> Iterator[tuple[str, int, int | None, str | None]]:
+def _cells(source, sheet: int | str) -> Iterator[tuple[str, int, int | None, str | None]]:
     """Non-empty cells in order; an empty row that lies between others is one cell without column."""
-    with zipfile.ZipFile(io.BytesIO(content)) as book:
+    with zipfile.ZipFile(source) as book:
         shared, dates, from_1904 = _shared_strings(book), _date_styles(book), _starts_1904(book)
         name, part_name = _sheet_part(book, sheet)
         r = last = -1
         with book.open(part_name) as part:
-            for _, row in iterparse(part):
+            table = None
+            for event, row in iterparse(part, events=("start", "end")):
+                if event == "start":
+                    table = row if _local(row.tag) == "sheetData" else table
+                    continue
                 if _local(row.tag) != "row":
                     continue
                 r = int(row.get("r")) - 1 if row.get("r") else r + 1
@@ -151,21 +157,29 @@ def _cells(content: bytes, sheet: int | str) -> Iterator[tuple[str, int, int | N
                         yield from ((name, gap, None, None) for gap in range(last + 1, r))
                         last = r
                         yield name, r, c, value
-                row.clear()
+                # Rows that are done leave memory.
+                table.clear()
+
+
+def _open(batch: pa.RecordBatch, at: int, path: str):
+    if "content" in batch.schema.names:
+        return io.BytesIO(batch.column("content")[at].as_py())
+    return open_input(path)
 
 
 def _unpack(sheet: int | str):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for path, content in zip(batch.column("path").to_pylist(), batch.column("content")):
+            for at, path in enumerate(batch.column("path").to_pylist()):
                 rows = []
                 try:
-                    for name, r, c, v in _cells(content.as_py(), sheet):
-                        rows.append((path, name, r, c, v, None))
-                        if len(rows) == _BATCH:
-                            yield _batch(rows)
-                            rows = []
-                except (zipfile.BadZipFile, KeyError, ValueError, IndexError, SyntaxError, OverflowError) as exc:
+                    with _open(batch, at, path) as source:
+                        for name, r, c, v in _cells(source, sheet):
+                            rows.append((path, name, r, c, v, None))
+                            if len(rows) == _BATCH:
+                                yield _batch(rows)
+                                rows = []
+                except (OSError, zipfile.BadZipFile, KeyError, ValueError, IndexError, SyntaxError, OverflowError) as exc:
                     rows.append((path, None, None, None, None, f"{type(exc).__name__}: {exc}"))
                 if rows:
                     yield _batch(rows)
@@ -178,11 +192,14 @@ def _batch(rows: list[tuple]) -> pa.RecordBatch:
 
 
 def excel_cells(files: DataFrame, sheet: int | str = 0) -> DataFrame:
-    """Non-empty cells of one sheet of every workbook in a ``path, content`` frame.
+    """Non-empty cells of one sheet of every workbook in a frame of ``path`` and maybe ``content``.
+
+    Listed files are opened by the tasks themselves, so no workbook travels through Spark as a value.
 
     Row and column numbers start at 0 and every value is text (dates as ISO text, error cells as
     empty); an empty row between others is a cell
     without column and value. A workbook that cannot be read
     gives one row with ``error`` set; cells stream out in batches, so a large sheet is never held whole.
     """
-    return files.select("path", "content").mapInArrow(_unpack(sheet), CELLS)
+    columns = [c for c in ("path", "content") if c in files.columns]
+    return files.select(*columns).mapInArrow(_unpack(sheet), CELLS)

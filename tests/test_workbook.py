@@ -57,7 +57,9 @@ def test_header_detection(spark, folder):
     }.items():
         with open(f"{folder}/{name}.xlsx", "wb") as out:
             out.write(_workbook(lines))
-    long = workbook.excel_cells(files.contents(spark, folder, "*.xlsx"))
+    long = workbook.excel_cells(files.listing(spark, folder, "*.xlsx"))
+    same = workbook.excel_cells(files.contents(spark, folder, "*.xlsx"))
+    assert sorted(map(str, long.collect())) == sorted(map(str, same.collect()))
     rows = headers.sheet_rows(long)
     found = {r.file.rsplit("/", 1)[1]: r for r in headers.header_rows(rows).collect()}
     assert found["good.xlsx"].header_row == 2 and "not found" in found["none.xlsx"].error
