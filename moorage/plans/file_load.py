@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Mapping
 from dataclasses import dataclass
 
@@ -26,6 +27,11 @@ class Parsed:
     bad: DataFrame
 
 
+def _local(path: str) -> str:
+    """Listed local paths carry a scheme that given ones may lack."""
+    return re.sub("^file:/+", "/", path)
+
+
 def _merge(a: DataFrame | None, b: DataFrame) -> DataFrame:
     return b if a is None else a.unionByName(b, allowMissingColumns=True)
 
@@ -37,7 +43,9 @@ def parse_delimited(spark: SparkSession, paths: list[str], separator: str, store
     ``stored`` has the types of the target table.
     """
     groups, masks = [], {}
-    for group in delimited.file_groups(delimited.profile(spark, [delimited.literal_path(p) for p in paths])):
+    scans = delimited.file_groups(delimited.profile(spark, [delimited.literal_path(p) for p in paths]))
+    seen = {_local(p) for group in scans for p in group.paths}
+    for group in scans:
         rows = delimited.read_group(spark, group, separator, overflow=True)
         data = [c for c in rows.columns if c not in ("source_file", delimited.OVERFLOW)]
         columns = suffix_duplicates([normalize_name(c) for c in data])
@@ -53,7 +61,8 @@ def parse_delimited(spark: SparkSession, paths: list[str], separator: str, store
             rows = rows.join(report.where("long_rows > 0").select("source_file"), "source_file", "left_anti")
         groups.append((rows, columns, report))
     types = _types({c: inference.type_of_mask(m) for c, m in masks.items()}, stored)
-    out, counts, bad = None, spark.createDataFrame([], "path string, row_count bigint"), spark.createDataFrame([], ERROR)
+    out, counts = None, spark.createDataFrame([], "path string, row_count bigint")
+    bad = spark.createDataFrame([(p, "file has no columns") for p in paths if _local(p) not in seen], ERROR)
     for rows, columns, report in groups:
         out = _merge(out, inference.cast_columns(rows, {c: types[c] for c in columns}))
         named = report.withColumnRenamed("source_file", "path")
@@ -132,7 +141,6 @@ def load_files(
     publish = tables.snapshot if replace else tables.append
     publish(tagged.drop("source_file"), target, list(fields))
     listed = files.listing(spark, [delimited.literal_path(p) for p in paths])
-    # Listed paths carry a scheme that the given ones may lack.
     plain = F.regexp_replace("path", "^file:/+", "/").alias("_at")
     loaded = (
         todo.select("*", plain)

@@ -192,6 +192,7 @@ def convert_directory(spark: SparkSession, root: str, outcomes: str, force: bool
                 except Exception as exc:  # noqa: BLE001 - other files go on
                     results.extend((p, target_of[p], "errored", str(exc)[:500]) for p in item.paths)
                 left.difference_update(item.paths)
+            results.extend((p, target_of[p], "errored", "file has no columns") for p in sorted(left))
         except Exception as exc:  # noqa: BLE001
             results.extend((p, target_of[p], "errored", str(exc)[:500]) for p in left)
 

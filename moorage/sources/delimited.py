@@ -3,14 +3,18 @@
 from __future__ import annotations
 
 import csv
+import re
+from collections.abc import Iterator
 from dataclasses import dataclass
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from moorage.functions.names import header_names, scanned_file
 from moorage.session import settled
+from moorage.sources.files import filesystem, listing
 
 UTF8, LATIN1 = "UTF-8", "ISO-8859-1"
 OVERFLOW = "_overflow"
@@ -28,30 +32,43 @@ class FileGroup:
     paths: tuple[str, ...]
 
 
+def _first_lines(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        for path in batch.column("path").to_pylist():
+            fs, name = filesystem(path)
+            line, rest = b"", b""
+            with fs.open_input_stream(name, compression="detect") as source:
+                while not line:
+                    chunk = source.read(1 << 16)
+                    *lines, rest = re.split(rb"[\r\n]+", rest + chunk)
+                    if not chunk:
+                        lines.append(rest)
+                    line = next((x for x in lines if x.strip()), b"")
+                    if not chunk:
+                        break
+            yield pa.RecordBatch.from_pydict({"path": [path], "header": pa.array([line or None], pa.binary())})
+
+
 def profile(spark: SparkSession, paths: str | list[str]) -> DataFrame:
     """Per file: header line, encoding, whether quoted fields span lines, number of lines.
 
-    The text scan is split like any other, and each file is folded by partial aggregates, so neither
-    a huge file nor a huge number of files meets one task.
+    The text scan is split like any other and folded per file by a hash aggregate of flags and counts,
+    so neither a huge file nor a huge number of files meets one task. Headers are read apart, from the
+    first bytes of each file; carried through the aggregate they would turn it into a sort of all lines.
     """
-    lines = (
-        spark.read.option("recursiveFileLookup", True)
-        .text(paths)
-        .select(
-            "value",
-            scanned_file().alias("path"),
-            F.col("_metadata.file_block_start").alias("block"),
-            F.monotonically_increasing_id().alias("at"),
-        )
-    )
+    lines = spark.read.option("recursiveFileLookup", True).text(paths).select("value", scanned_file().alias("path"))
     quotes = F.length("value") - F.length(F.replace("value", F.lit('"'), F.lit("")))
-    first = F.when((F.col("block") == 0) & (F.trim("value") != ""), F.struct("at", "value"))
-    return lines.groupBy("path").agg(
-        F.min(first)["value"].alias("header"),
-        F.when(F.bool_and(F.is_valid_utf8("value")), UTF8).otherwise(LATIN1).alias("encoding"),
+    facts = lines.groupBy("path").agg(
+        F.bool_and(F.is_valid_utf8("value")).alias("valid"),
         F.bool_or(quotes % 2 == 1).alias("multi_line"),
         F.count(F.lit(1)).alias("lines"),
     )
+    headers = listing(spark, paths).select("path").mapInArrow(_first_lines, "path string, header binary")
+    encoding = F.when(F.col("valid"), UTF8).otherwise(LATIN1)
+    text = F.when(F.col("valid"), F.col("header").cast("string")).otherwise(F.decode("header", LATIN1))
+    return facts.join(headers, "path").select(
+        "path", text.alias("header"), encoding.alias("encoding"), "multi_line", "lines"
+    )
 
 
 def file_groups(profiled: DataFrame) -> list[FileGroup]:
@@ -59,10 +76,7 @@ def file_groups(profiled: DataFrame) -> list[FileGroup]:
 
     Only file names, as in any Spark file index, and the distinct headers reach the driver, row by row.
     """
-    decoded = F.when(F.col("encoding") == UTF8, F.col("header")).otherwise(
-        F.decode(F.col("header").cast("binary"), LATIN1)
-    )
-    known = profiled.where(F.col("header").isNotNull()).withColumn("header", decoded)
+    known = profiled.where(F.col("header").isNotNull())
     known = settled(known.withColumn("key", F.md5("header")).drop("lines"), "file-profile")
     headers = {r.key: r.header for r in known.groupBy("key").agg(F.first("header").alias("header")).toLocalIterator()}
     members: dict[tuple[str, str, bool], list[str]] = {}

@@ -125,7 +125,9 @@ def swap_in(spark: SparkSession, staged: str, target: str) -> None:
     """Put the staged folder in place of ``target``; the old one goes only after the new one is there."""
     fs, new = _hadoop(spark, staged)
     _, final = _hadoop(spark, target)
-    _, old = _hadoop(spark, f"{target.rstrip('/')}.replaced")
+    # Hidden, so that a reader of the parent does not take it for a partition.
+    parent, _, name = target.rstrip("/").rpartition("/")
+    _, old = _hadoop(spark, f"{parent}/.{name}.replaced")
     fs.mkdirs(final.getParent())
     if not fs.exists(final) and fs.exists(old):
         fs.rename(old, final)

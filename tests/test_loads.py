@@ -130,9 +130,10 @@ def test_file_load_is_incremental_and_skips_bad_files(spark, tmp_path):
     put(landing, "2023taxroll.csv", "Parcel ID,Tax-Total\n1,2.5\n2,NA\n")
     put(landing, "2024taxroll.csv", "Parcel ID,Tax-Total\n3,4\n")
     put(landing, "2022taxroll.csv", "Parcel ID,Tax-Total\n3,4,5\n")
-    names = ["2022taxroll.csv", "2023taxroll.csv", "2024taxroll.csv"]
+    put(landing, "2021taxroll.csv", "")
+    names = ["2021taxroll.csv", "2022taxroll.csv", "2023taxroll.csv", "2024taxroll.csv"]
     bad = run_files(spark, landing, root, names, "csv").collect()
-    assert [r.path.rsplit("/", 1)[1] for r in bad] == ["2022taxroll.csv"]
+    assert sorted(r.path.rsplit("/", 1)[1] for r in bad) == ["2021taxroll.csv", "2022taxroll.csv"]
     stored = spark.read.parquet(f"{root}/town/tax_roll")
     assert sorted(map(tuple, stored.collect())) == [(1, 2.5, 2023), (2, None, 2023), (3, 4.0, 2024)]
     past = {r.filename: r for r in history.read_history(spark, f"{root}/town").collect()}

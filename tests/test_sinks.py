@@ -185,7 +185,7 @@ def test_convert_directory(spark, folder):
     collection = {"type": "FeatureCollection", "features": [feature(1, {"type": "Polygon", "coordinates": [ring]}), feature(2, None)]}
     texts = {
         "My Data.csv": "id,amount\n1,2.5\n2,NA\n", "sub/other.csv": "id,amount\n1,x\n", "empty.csv": "a,b\n", "long.csv": "a,b\n1,2,3\n",
-        "tab.txt": "a\tb\n1\tx\n", "shape.geojson": json.dumps(collection), "same.csv": "a\n1\n", "same.txt": "a\n1\n", "note.md": "no",
+        "tab.txt": "a\tb\n1\tx\n", "shape.geojson": json.dumps(collection), "same.csv": "a\n1\n", "same.txt": "a\n1\n", "note.md": "no", "blank.csv": "",
     }
     for name, text in texts.items():
         with open(f"{root}/{name}", "w") as out:
@@ -199,7 +199,7 @@ def test_convert_directory(spark, folder):
     status = {k: v[0] for k, v in got.items()}
     assert status == {
         "My Data.csv": "converted", "sub/other.csv": "converted", "empty.csv": "converted", "long.csv": "errored", "tab.txt": "converted",
-        "shape.geojson": "converted", "same.csv": "errored", "same.txt": "errored", "sheet.xlsx": "converted", "bad.xlsx": "errored",
+        "shape.geojson": "converted", "same.csv": "errored", "same.txt": "errored", "sheet.xlsx": "converted", "bad.xlsx": "errored", "blank.csv": "errored",
     }, got
     typed = spark.read.parquet(root + "/my_data.parquet")
     assert dict(typed.dtypes) == {"id": "bigint", "amount": "double"} and typed.count() == 2
@@ -209,6 +209,6 @@ def test_convert_directory(spark, folder):
     shape = spark.read.parquet(root + "/shape.parquet")
     assert shape.where("geometry is not null").count() == 1 and b"geo" in pq.ParquetFile(parts(root + "/shape.parquet")[0]).schema_arrow.metadata
     again = convert.convert_directory(spark, root, folder + "/log2")
-    assert {r.status: r.n for r in convert.summary(again).collect()} == {"skipped": 6, "errored": 4}
+    assert {r.status: r.n for r in convert.summary(again).collect()} == {"skipped": 6, "errored": 5}
     forced = convert.convert_directory(spark, root, folder + "/log3", force=True)
-    assert {r.status: r.n for r in convert.summary(forced).collect()} == {"converted": 6, "errored": 4}
+    assert {r.status: r.n for r in convert.summary(forced).collect()} == {"converted": 6, "errored": 5}
