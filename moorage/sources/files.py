@@ -36,6 +36,7 @@ def listing(spark: SparkSession, root: str | list[str], pattern: str | None = No
     """One row per file below ``root``: path, length, modification time. No content is read.
 
     Tasks get files by their total size, so work on the listed files is spread without a shuffle.
+    Spark leaves out files of zero bytes.
     """
     reader = spark.read.format("binaryFile").option("recursiveFileLookup", True)
     if pattern:

@@ -185,7 +185,7 @@ def test_convert_directory(spark, folder):
     collection = {"type": "FeatureCollection", "features": [feature(1, {"type": "Polygon", "coordinates": [ring]}), feature(2, None)]}
     texts = {
         "My Data.csv": "id,amount\n1,2.5\n2,NA\n", "sub/other.csv": "id,amount\n1,x\n", "empty.csv": "a,b\n", "long.csv": "a,b\n1,2,3\n",
-        "tab.txt": "a\tb\n1\tx\n", "shape.geojson": json.dumps(collection), "same.csv": "a\n1\n", "same.txt": "a\n1\n", "note.md": "no", "blank.csv": "",
+        "tab.txt": "a\tb\n1\tx\n", "shape.geojson": json.dumps(collection), "same.csv": "a\n1\n", "same.txt": "a\n1\n", "note.md": "no", "blank.csv": "\n",
     }
     for name, text in texts.items():
         with open(f"{root}/{name}", "w") as out:
