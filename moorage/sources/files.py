@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import hashlib
-import os
 import re
 
 import pyarrow as pa
@@ -141,7 +140,3 @@ def swap_in(spark: SparkSession, staged: str, target: str) -> None:
             fs.rename(old, final)
         raise OSError(f"could not promote {staged} to {target}")
     fs.delete(old, True)
-
-
-def join_path(*parts: str) -> str:
-    return os.path.join(*parts)

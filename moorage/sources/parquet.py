@@ -3,10 +3,14 @@
 from __future__ import annotations
 
 import json
+from collections.abc import Iterator
 
+import pyarrow as pa
+import pyarrow.parquet as pq
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.pandas.types import from_arrow_schema
 
 from moorage.session import settled
 from moorage.sources.files import listing, open_input
@@ -34,11 +38,7 @@ def _wider(a: T.DataType, b: T.DataType) -> T.DataType:
     return T.StringType()
 
 
-def _schema_text(batches):
-    import pyarrow as pa
-    import pyarrow.parquet as pq
-    from pyspark.sql.pandas.types import from_arrow_schema
-
+def _schema_text(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         paths, schemas = batch.column("path").to_pylist(), []
         for path in paths:

@@ -123,12 +123,12 @@ def test_finalize_in_place_and_again(spark, folder):
 
 
 def test_finalize_to_other_tree(spark, folder):
-    root = folder + "/arcgis"
+    root = folder + "/raw"
     spark.createDataFrame([(1, HEX)], "id int, geometry string").write.parquet(f"{root}/parcels")
     entries = registry_frame(spark, ("parcels", False, None, 102100, None, None))
-    finalize.finalize(spark, root, entries, folder + "/log", target=folder + "/arcgis_geoparquet", datasets=["parcels"])
+    finalize.finalize(spark, root, entries, folder + "/log", target=folder + "/published", datasets=["parcels"])
     assert spark.read.parquet(f"{root}/parcels").first().geometry == HEX
-    assert parts(folder + "/arcgis_geoparquet/parcels")
+    assert parts(folder + "/published/parcels")
 
 
 def test_drifted_and_dictionary_schemas(spark, folder):
