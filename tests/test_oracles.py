@@ -6,6 +6,7 @@ import pytest
 
 import __spark_entry__ as entry
 import check
+from moorage.plans.registered import ORACLES, QUERIES
 
 SF = os.environ.get("MOORAGE_SF_DIR", "/root/testdata/sf0.001")
 
@@ -15,7 +16,7 @@ def con():
     return check.connect(SF)
 
 
-@pytest.mark.parametrize("name", sorted(entry.queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query_matches_sql(spark, con, name):
     verdict, _ = check.compare(spark, con, SF, name)
     assert verdict.startswith(("ok (", "rows only")), verdict
@@ -26,4 +27,9 @@ def test_entry(spark):
 
 
 def test_every_query_has_sql():
-    assert set(entry.oracle_sql()) == set(entry.queries())
+    assert set(ORACLES) == set(QUERIES)
+
+
+def test_entry_has_every_query():
+    assert set(QUERIES) <= set(entry.queries())
+    assert set(entry.oracle_sql()) <= set(entry.queries())
