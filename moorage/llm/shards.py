@@ -65,7 +65,8 @@ def shuffled_shards(
     before = Window.partitionBy("shard").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
     starts = placed.groupBy("shard", "bucket").agg(F.count(F.lit(1)).alias("rows"))
     starts = starts.select("bucket", F.coalesce(F.sum("rows").over(before), F.lit(0)).alias("start"))
-    return placed.join(starts, "bucket").select(
+    # Written, so that its size is known and the records need no third shuffle where it is small.
+    return placed.join(settled(starts, "bucket-starts"), "bucket").select(
         "record",
         "size",
         "shard",
