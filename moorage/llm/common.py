@@ -28,6 +28,13 @@ def tasks(df: DataFrame) -> int:
     return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
 
 
+def free_name(df: DataFrame, name: str) -> str:
+    """``name``, with underscores before it while the frame has such a column."""
+    while name.lower() in (c.lower() for c in df.columns):
+        name = "_" + name
+    return name
+
+
 def texts(column: pa.Array | pa.ChunkedArray) -> list[str]:
     """Whole texts, null as empty."""
     return [t or "" for t in column.to_pylist()]

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from moorage.llm import chat, counts, order, packing, shards
+from moorage.llm import chat, counts, decontaminate, jaccard, order, packing, quality, shards
 from moorage.llm.common import prepare
 from moorage.session import workspace
 
@@ -27,11 +27,26 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+@_query
+def op2_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.scored(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
+
+
 @_query
 def op3_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.packed(_table(spark, sf_dir, "documents"))
 
 
+@_query
+def op5_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard.similar_documents(_table(spark, sf_dir, "documents")).drop("set_id")
+
+
+@_query
+def op6_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.find_leaks(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+
+
 @_query
 def op7_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
     said = r"\### Assistant: </turn> ok"
