@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from moorage.llm import chat, counts, decontaminate, jaccard, order, packing, quality, shards
+from moorage.llm import chat, counts, decontaminate, fingerprints, jaccard, order, packing, quality, shards
 from moorage.llm.common import prepare
 from moorage.session import workspace
 
@@ -27,6 +27,11 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+@_query
+def op1_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fingerprints.compared(_table(spark, sf_dir, "documents"))
+
+
 @_query
 def op2_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.scored(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
