@@ -213,12 +213,15 @@ def item_type(kind: str) -> pa.DataType:
 def without_leaks(docs: DataFrame, benchmark: DataFrame, text: str = "text", **options) -> DataFrame:
     """The documents that repeat no item, with all their columns."""
     for items in item_blocks(benchmark, text=text, **options):
+        docs = docs.where(F.arrow_udf(_clean(items), "boolean")(F.col(text)))
+    return docs
 
-        def clean(arrays: Iterator[pa.Array], items: Items = items) -> Iterator[pa.Array]:
-            for array in arrays:
-                kept = np.ones(len(array), bool)
-                kept[[leak[0] for leak in items.leaks(raw_texts(array))]] = False
-                yield pa.array(kept)
 
-        docs = docs.where(F.arrow_udf(clean, "boolean")(F.col(text)))
-    return docs
+def _clean(items: Items):
+    def run(arrays: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        for array in arrays:
+            kept = np.ones(len(array), bool)
+            kept[[leak[0] for leak in items.leaks(raw_texts(array))]] = False
+            yield pa.array(kept)
+
+    return run

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from moorage.llm import chat, counts, decontaminate, fingerprints, jaccard, order, packing, quality, shards
+from moorage.llm import chat, counts, decontaminate, fingerprints, jaccard, order, packing, quality, shards, webtext
 from moorage.llm.common import prepare
 from moorage.session import workspace
 
@@ -42,6 +42,11 @@ def op3_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.packed(_table(spark, sf_dir, "documents"))
 
 
+@_query
+def op4_web_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return webtext.main_text(_table(spark, sf_dir, "pages"))
+
+
 @_query
 def op5_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard.similar_documents(_table(spark, sf_dir, "documents")).drop("set_id")
