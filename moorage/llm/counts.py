@@ -78,7 +78,7 @@ def spliced(huge: DataFrame, tokenizer: str = TOKENIZER, chunk: int = CHUNK, ove
         a, b = ends.where("not last"), ends.where("k > 0")
         joints = a.select("rid", (F.col("k") + 1).alias("k"), "high").join(b.select("rid", "k", "low"), ["rid", "k"])
         common = F.array_intersect("high.at", "low.at")
-        before = lambda marks: F.filter(marks, lambda m: m["at"] == F.col("splice"))[0]["before"]
+        before = lambda marks: F.get(F.filter(marks, lambda m: m["at"] == F.col("splice")), F.lit(0))["before"]
         joints = joints.withColumn("splice", F.try_element_at(common, F.lit(1)))
         joints = joints.select("rid", F.col("splice").isNull().alias("failed"), (before("high") - before("low")).alias("n"))
         parts = joints.unionByName(ends.where("last").select("rid", F.lit(False).alias("failed"), F.col("total").alias("n")))
