@@ -198,7 +198,9 @@ def fit(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "te
     # A key may be repeated in the documents; the bound holds all the same.
     got = got.orderBy("key", F.xxhash64("slots", "values"), "stats").limit(sample).toArrow()
     if not len(got):
-        return Machine(np.zeros((STATISTICS, BINS - 1)))
+        blank = Machine(np.zeros((STATISTICS, BINS - 1)))
+        blank.vector[:] = 0
+        return blank
     stats = np.frombuffer(b"".join(got.column("stats").to_pylist())).reshape(len(got), STATISTICS)
     slots = [np.frombuffer(b, "<u2") for b in got.column("slots").to_pylist()]
     values = np.frombuffer(b"".join(got.column("values").to_pylist()), np.float32)
