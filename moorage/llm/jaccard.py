@@ -130,14 +130,19 @@ def _bit(bitmap: np.ndarray, tokens: np.ndarray) -> np.ndarray:
     return (bitmap[place >> np.uint64(3)] >> (np.uint8(7) - (place & np.uint64(7)).astype(np.uint8))) & np.uint8(1)
 
 
-def codes_of(tokens: np.ndarray, kind: np.ndarray) -> np.ndarray | None:
-    """Index codes of a token set (kinds 0: of one document, 1: rare, 2: frequent), None if it can have no partner."""
+def codes_of(tokens: np.ndarray, kind: np.ndarray) -> tuple[np.ndarray, np.ndarray] | None:
+    """Index codes of a token set (kinds 0: of one document, 1: rare, 2: frequent), None if it can have no partner.
+
+    With each code comes how many tokens a partner found by it can have in common: a single token need only find those
+    of which it is the first common one, so tokens before it do not count; a pair those whose common tokens are frequent.
+    """
     n = len(tokens)
     spare = n * (100 - SIMILAR) // 100
     single, frequent = int((kind == 0).sum()), tokens[kind == 2]
     if single > spare or n < 2:
         return None
     codes = [tokens[kind == 1][: spare + 1 - single]]
+    most = [n - single - np.arange(len(codes[0]))]
     allowed = spare - (n - len(frequent))
     if allowed >= 0:
         own = int(math.log(n, 1.25))
@@ -153,7 +158,8 @@ def codes_of(tokens: np.ndarray, kind: np.ndarray) -> np.ndarray | None:
                     break
                 pairs = prefix[:-step][same] * np.uint64(0x9E3779B97F4A7C15) + mix(prefix[step:][same] + np.uint64(level))
                 codes.append(mix(pairs))
-    return np.concatenate(codes)
+                most.append(np.full(len(pairs), len(frequent)))
+    return np.concatenate(codes), np.concatenate(most)
 
 
 def indexed_sets(rows: DataFrame, maps: tuple[bytes, bytes]) -> DataFrame:
@@ -169,24 +175,25 @@ def indexed_sets(rows: DataFrame, maps: tuple[bytes, bytes]) -> DataFrame:
             names, starts = set_ids(tokens, counts), run_starts(counts)
             kinds = _bit(shared, tokens) + _bit(frequent, tokens)
             new = _unseen(names, seen)
-            codes, blobs = [None] * len(names), [None] * len(names)
+            codes, most, blobs = [None] * len(names), [None] * len(names), [None] * len(names)
             for i in np.flatnonzero(new).tolist():
                 own = slice(starts[i], starts[i + 1])
                 found = codes_of(tokens[own], kinds[own])
-                if found is not None and len(found):
-                    codes[i], blobs[i] = found.view(np.int64), tokens[own].tobytes()
+                if found is not None and len(found[0]):
+                    codes[i], most[i], blobs[i] = found[0].view(np.int64), found[1], tokens[own].tobytes()
             yield pa.RecordBatch.from_arrays(
                 [
                     batch.column("doc_id"),
                     pa.array(counts.astype(np.int64)),
                     pa.array(names, mask=counts == 0),
                     pa.array(codes, pa.list_(pa.int64())),
+                    pa.array(most, pa.list_(pa.int64())),
                     pa.array(blobs, pa.binary()),
                 ],
-                names=["doc_id", "n_shingles", "set_id", "codes", "tokens"],
+                names=["doc_id", "n_shingles", "set_id", "codes", "most", "tokens"],
             )
 
-    return rows.mapInArrow(run, f"doc_id {kind}, n_shingles long, set_id long, codes array<long>, tokens binary")
+    return rows.mapInArrow(run, f"doc_id {kind}, n_shingles long, set_id long, codes array<long>, most array<long>, tokens binary")
 
 
 def similar(a: np.ndarray, b: np.ndarray) -> bool:
@@ -220,27 +227,29 @@ def similar_documents(docs: DataFrame, key: str = "doc_id", text: str = "text")
     rows = docs.select(F.col(key).alias("doc_id"), F.col(text).alias("text"))
     own = settled(indexed_sets(rows, shared_maps(rows.select("text"))), "token-sets")
 
-    sets = own.where("codes is not null").groupBy("set_id").agg(F.first("n_shingles").alias("n"), F.first("tokens").alias("tokens"))
+    sets = own.where("codes is not null").groupBy("set_id").agg(F.first("tokens").alias("tokens"))
     sets = settled(sets, "sets")
-    entries = own.where("codes is not null").select("set_id", F.col("n_shingles").alias("n"), F.explode("codes").alias("code")).distinct()
-    # Codes of one set join nothing.
-    groups = entries.groupBy("code").agg(F.min("set_id").alias("pivot"), F.max("set_id").alias("other")).where("pivot <> other")
+    zipped = F.inline(F.arrays_zip(F.col("codes").alias("code"), F.col("most").alias("most")))
+    entries = own.where("codes is not null").select("set_id", F.col("n_shingles").alias("n"), zipped).distinct()
+    # Codes of one set join nothing. The pivot of a code is the set with the least that others lack.
+    lone = F.struct((F.col("n") - F.col("most")).alias("lack"), "set_id", "n", "most")
+    groups = entries.groupBy("code").agg(F.min(lone).alias("pivot"), F.min("set_id").alias("x"), F.max("set_id").alias("y")).where("x <> y")
     entries = settled(entries.join(groups.select("code", "pivot"), "code"), "entries")
 
-    sized = sets.select("set_id", "n")
-    star = entries.where("set_id <> pivot").select(F.col("pivot").alias("a"), F.col("set_id").alias("b"), "n").distinct()
-    star = star.join(sized.select(F.col("set_id").alias("a"), F.col("n").alias("m")), "a")
-    star = settled(star.where(_sizes("n", "m")).select("a", "b"), "stars")
+    star = entries.where((F.col("set_id") != F.col("pivot.set_id")) & _possible("n", "most", "pivot.n", "pivot.most"))
+    star = star.select(F.least("set_id", "pivot.set_id").alias("a"), F.greatest("set_id", "pivot.set_id").alias("b")).distinct()
+    star = settled(star, "stars")
     links = settled(verified(star, sets), "star-links")
 
     joined = components(links)
     placed = entries.join(joined.withColumnRenamed("id", "set_id"), "set_id", "left")
-    placed = placed.select("code", "set_id", "n", F.coalesce("component", "set_id").alias("component"))
+    placed = placed.select("code", "set_id", "n", "most", F.coalesce("component", "set_id").alias("component"))
     split = placed.groupBy("code").agg(F.min("component").alias("x"), F.max("component").alias("y")).where("x <> y")
     placed = settled(placed.join(split.select("code"), "code"), "unlinked")
     a, b = placed.alias("a"), placed.alias("b")
     apart = (F.col("a.code") == F.col("b.code")) & (F.col("a.set_id") < F.col("b.set_id")) & (F.col("a.component") != F.col("b.component"))
-    pairs = a.join(b, apart & _sizes("a.n", "b.n")).select(F.col("a.set_id").alias("a"), F.col("b.set_id").alias("b")).distinct()
+    pairs = a.join(b, apart & _possible("a.n", "a.most", "b.n", "b.most"))
+    pairs = pairs.select(F.col("a.set_id").alias("a"), F.col("b.set_id").alias("b")).distinct()
     pairs = settled(pairs.join(star, ["a", "b"], "left_anti"), "pairs")
     links = links.unionByName(settled(verified(pairs, sets), "pair-links"))
 
@@ -252,9 +261,10 @@ def similar_documents(docs: DataFrame, key: str = "doc_id", text: str = "text")
     return own.join(labels, "set_id", "left").select("doc_id", "n_shingles", F.coalesce("component_id", "doc_id").alias("component_id"), "set_id")
 
 
-def _sizes(n: str, m: str):
-    """Sets of these sizes can be similar."""
-    return 100 * F.least(n, m) >= SIMILAR * F.greatest(n, m)
+def _possible(n: str, most: str, m: str, other: str):
+    """Sets of these sizes can be similar if they have no more in common than either allows."""
+    shared = F.least(most, other)
+    return 100 * shared >= SIMILAR * (F.col(n) + F.col(m) - shared)
 
 
 def distinct_documents(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
