@@ -30,7 +30,7 @@ def header_rows(rows: DataFrame, min_columns: int = 3, explicit: int | None = No
     else:
         found = F.min(F.when(F.size("cells") >= min_columns, F.col("r")))
     grouped = rows.groupBy(*KEYS).agg(found.cast("int").alias("header_row"))
-    missing = F.lit(f"Header row not found (no row with >={min_columns} non-empty cells)")
+    missing = F.lit(f"no header: every row has fewer than {min_columns} filled cells")
     return grouped.withColumn("error", F.when(F.col("header_row").isNull(), missing))
 
 
@@ -56,7 +56,11 @@ def tables(cells: DataFrame, min_columns: int = 3, explicit: int | None = None,
     with values but no name are called ``nan``; names used twice get a numeric suffix.
     """
     rows = settled(sheet_rows(cells), "sheet-rows")
-    headers = settled(header_rows(rows, min_columns, explicit), "sheet-headers")
+    return sheet_tables(rows, settled(header_rows(rows, min_columns, explicit), "sheet-headers"), normalize)
+
+
+def sheet_tables(rows: DataFrame, headers: DataFrame, normalize: bool = True) -> list[DataFrame]:
+    """The same from sheet rows and header rows that are written already."""
     # One row per sheet: settled, so that its size decides how the many body rows are joined.
     found = settled(header_cells(rows, headers), "sheet-names")
     body = body_rows(rows, found)

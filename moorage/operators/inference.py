@@ -51,6 +51,18 @@ def type_of_mask(mask: int) -> str:
     return "double" if mask & _FRACTION and not mask & (_FLAG | _TEXT) else "string"
 
 
+def fits(mask: Column, kind: str) -> Column:
+    """Whether values with this mask can be stored as ``kind``; a column without values fits everywhere."""
+    numbers = mask.bitwiseAND(_FLAG | _TEXT) == 0
+    allowed = {
+        "string": F.lit(True),
+        "bigint": mask == _WHOLE,
+        "double": (mask == _WHOLE) | (mask.bitwiseAND(_FRACTION) > 0) & numbers,
+        "boolean": mask == _FLAG,
+    }
+    return (mask == 0) | allowed.get(kind, F.lit(False))
+
+
 def mask_report(df: DataFrame, columns: list[str], keys: list[str] | None = None, **more: Column) -> DataFrame:
     """One scan: ``masks`` aligned with ``columns`` and ``row_count``, overall or per key (such as the file)."""
     # Cleaned in a step of its own, so that each value is looked up once and not per reference.

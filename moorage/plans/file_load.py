@@ -6,7 +6,7 @@ import re
 from collections.abc import Mapping
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from moorage.functions.names import normalize_name, suffix_duplicates
@@ -51,35 +51,49 @@ def parse_delimited(spark: SparkSession, paths: list[str], separator: str, store
         columns = suffix_duplicates([normalize_name(c) for c in data])
         rows = rows.withColumnsRenamed(dict(zip(data, columns)))
         overlong = F.col(delimited.OVERFLOW).isNotNull() if delimited.OVERFLOW in rows.columns else F.lit(False)
-        report = settled(inference.mask_report(rows, columns, ["source_file"], long_rows=F.count_if(overlong)), "file-report")
-        good = report.where("long_rows = 0")
+        report = inference.mask_report(rows, columns, ["source_file"], long_rows=F.count_if(overlong))
+        # A file of a header alone has no rows to report.
+        named = spark.createDataFrame([(p,) for p in group.paths], "path string")
+        report = named.join(report.withColumnRenamed("source_file", "path"), "path", "left").withColumns(
+            {
+                "masks": F.coalesce("masks", F.array(*[F.lit(0)] * len(columns))),
+                "row_count": F.coalesce("row_count", F.lit(0).cast("bigint")),
+            }
+        )
+        long = F.when(F.col("long_rows") > 0, F.lit("row has more fields than the header"))
+        report = settled(report.withColumn("error", F.coalesce(long, _conflict(columns, stored))), "file-report")
+        good = report.where("error is null")
         overall = good.agg(*[F.bit_or(F.col("masks")[i]) for i in range(len(columns))]).first()
         for column, mask in zip(columns, overall):
             masks[column] = masks.get(column, 0) | (mask or 0)
         rows = rows.drop(delimited.OVERFLOW)
         if good.count() < report.count():
-            rows = rows.join(report.where("long_rows > 0").select("source_file"), "source_file", "left_anti")
+            wrong = report.where("error is not null").select(F.col("path").alias("source_file"))
+            rows = rows.join(wrong, "source_file", "left_anti")
         groups.append((rows, columns, report))
-    types = _types({c: inference.type_of_mask(m) for c, m in masks.items()}, stored)
+    types = _types(masks, stored)
     out, counts = None, spark.createDataFrame([], "path string, row_count bigint")
     bad = spark.createDataFrame([(p, "file has no columns") for p in paths if _local(p) not in seen], ERROR)
     for rows, columns, report in groups:
         out = _merge(out, inference.cast_columns(rows, {c: types[c] for c in columns}))
-        named = report.withColumnRenamed("source_file", "path")
-        counts = counts.unionByName(named.where("long_rows = 0").select("path", "row_count"))
-        bad = bad.unionByName(named.where("long_rows > 0").select("path", F.lit("row has more fields than the header").alias("error")))
+        counts = counts.unionByName(report.where("error is null").select("path", "row_count"))
+        bad = bad.unionByName(report.where("error is not null").select("path", "error"))
     return Parsed(out, counts, bad)
 
 
-def _types(found: Mapping[str, str], stored: Mapping[str, str]) -> dict[str, str]:
-    """Types from the data; a column the table has as text stays text, one it has as float stays float."""
-    out = {}
-    for column, kind in found.items():
-        old = stored.get(column, kind)
-        if old not in ("string", kind) and (old, kind) != ("double", "bigint"):
-            raise TypeError(f"column {column!r} is {old} in the table but {kind} in the new files")
-        out[column] = old
-    return out
+def _types(masks: Mapping[str, int], stored: Mapping[str, str]) -> dict[str, str]:
+    """The stored type of a column, else the type of its values."""
+    return {c: stored.get(c) or inference.type_of_mask(m) for c, m in masks.items()}
+
+
+def _conflict(columns: list[str], stored: Mapping[str, str]):
+    """Why the values of a file do not fit the table, null if they do."""
+    checks = [
+        F.when(~inference.fits(F.col("masks")[i], stored[c]), F.lit(f"column {c!r} is {stored[c]} in the table but not in the file"))
+        for i, c in enumerate(columns)
+        if c in stored
+    ]
+    return F.coalesce(*checks) if checks else F.lit(None).cast("string")
 
 
 def parse_excel(
@@ -89,18 +103,16 @@ def parse_excel(
     explicit = None if header_detection == "auto" else int(header_detection)
     cells = workbook.excel_cells(files.listing(spark, [delimited.literal_path(p) for p in paths]), sheet)
     cells = settled(cells, "cells")
-    good = cells.where(F.col("error").isNull())
-    missing = headers.header_rows(headers.sheet_rows(good), explicit=explicit)
-    bad = cells.where(F.col("error").isNotNull()).select(F.col("file").alias("path"), "error").unionByName(
-        missing.where(F.col("error").isNotNull()).select(F.col("file").alias("path"), "error")
-    )
-    rows = None
-    for table in headers.tables(good, explicit=explicit):
-        rows = _merge(rows, table.withColumnRenamed("file", "source_file").drop("sheet", "r"))
-    counts = spark.createDataFrame([], "path string, row_count bigint")
-    if rows is not None:
-        counts = rows.groupBy(F.col("source_file").alias("path")).agg(F.count(F.lit(1)).alias("row_count"))
-    return Parsed(rows, counts, bad)
+    rows = settled(headers.sheet_rows(cells.where(F.col("error").isNull())), "sheet-rows")
+    found = settled(headers.header_rows(rows, explicit=explicit), "sheet-headers")
+    failed = [df.where(F.col("error").isNotNull()).select(F.col("file").alias("path"), "error") for df in (cells, found)]
+    out = None
+    for table in headers.sheet_tables(rows, found):
+        out = _merge(out, table.withColumnRenamed("file", "source_file").drop("sheet", "r"))
+    named = found.where(F.col("error").isNull()).select(*headers.KEYS, "header_row")
+    below = rows.join(named, headers.KEYS).groupBy(F.col("file").alias("path"))
+    counts = below.agg(F.count_if(F.col("r") > F.col("header_row")).alias("row_count"))
+    return Parsed(out, counts, failed[0].unionByName(failed[1]))
 
 
 def load_files(
@@ -117,16 +129,17 @@ def load_files(
 ) -> DataFrame:
     """Load landed files (``url, filename, partition_values, path``) in one job per kind of step.
 
-    Rows are tagged with the partition values of their file and appended below
+    Rows are tagged with the partition values discovered for their file and appended below
     ``root/jurisdiction/dataset/field=value/...`` in the order of ``fields``. Bad files are returned as
     ``path, error`` and do not stop the rest; history is written after the data. With ``replace`` the
     partitions of the new files replace the stored ones instead of adding to them.
     """
-    paths = [r.path for r in todo.select("path").distinct().toLocalIterator()]
-    if not paths:
-        return spark.createDataFrame([], ERROR)
     base = f"{root.rstrip('/')}/{jurisdiction}"
     target = tables.table_path(base, dataset)
+    todo, refused = _usable(todo)
+    paths = [r.path for r in todo.select("path").toLocalIterator()]
+    if not paths:
+        return refused
     if file_type in ("xlsx", "xls"):
         options = excel or {}
         parsed = parse_excel(spark, paths, options.get("sheet", 0), options.get("header_detection", "auto"))
@@ -135,24 +148,46 @@ def load_files(
         if files.has_data(spark, target):
             stored = {f.name: f.dataType.simpleString() for f in spark.read.parquet(target).schema}
         parsed = parse_delimited(spark, paths, delimited.SEPARATORS[file_type], stored)
+    at = _plain("path")
+    counts, failed = settled(parsed.counts.select(at, "row_count"), "file-counts"), settled(parsed.bad, "file-errors")
+    todo = todo.select("*", at)
+    silent = todo.join(counts, "_at", "left_anti").join(failed.select(at), "_at", "left_anti")
+    bad = refused.unionByName(failed).unionByName(silent.select("path", F.lit("file has no table").alias("error")))
     if parsed.rows is None:
-        return parsed.bad
-    tagged = tables.partitions_from_file_name(parsed.rows, fields)
+        return bad
+    values = todo.select("_at", *[F.col("partition_values")[f].alias(f) for f in fields])
+    rows = parsed.rows.select(*[F.col(c) for c in parsed.rows.columns if c not in fields and c != "source_file"], _plain("source_file"))
     publish = tables.snapshot if replace else tables.append
-    publish(tagged.drop("source_file"), target, list(fields))
+    publish(rows.join(values, "_at").drop("_at"), target, list(fields))
     listed = files.listing(spark, [delimited.literal_path(p) for p in paths])
-    plain = F.regexp_replace("path", "^file:/+", "/").alias("_at")
     loaded = (
-        todo.select("*", plain)
-        .join(parsed.counts.select(plain, "row_count"), "_at")
-        .join(files.fingerprint_files(listed).select(plain, "file_hash"), "_at", "left")
+        todo.join(counts, "_at")
+        .join(files.fingerprint_files(listed).select(at, "file_hash"), "_at", "left")
         .select(
             F.lit(dataset).alias("dataset_name"), F.lit(jurisdiction).alias("jurisdiction"),
             "url", "filename", "partition_values", "row_count", "file_hash",
         )
     )
     history.append(history.records(loaded, run_time), base)
-    return parsed.bad
+    return bad
+
+
+def _plain(column: str):
+    return F.regexp_replace(column, "^file:/+", "/").alias("_at")
+
+
+def _usable(todo: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Files that can be read, and the rest with a reason: not landed, empty, or landed for several addresses."""
+    sized = todo.join(files.sizes(todo), "path", "left")
+    shared = F.size(F.collect_set("url").over(Window.partitionBy("path"))) > 1
+    # The several addresses of one landed file are few; the set holds no more than them.
+    reason = (
+        F.when(shared, F.lit("several addresses have this file name"))
+        .when(F.col("length").isNull(), F.lit("file is not landed"))
+        .when(F.col("length") == 0, F.lit("file has no columns"))
+    )
+    judged = settled(sized.withColumn("error", reason).dropDuplicates(["path", "url"]), "landed-files")
+    return judged.where("error is null").drop("error", "length"), judged.where("error is not null").select("path", "error").distinct()
 
 
 def run(
@@ -168,11 +203,20 @@ def run(
     force: bool = False,
     excel: Mapping | None = None,
     replace: bool = False,
+    landed: DataFrame | None = None,
 ) -> DataFrame:
-    """Load what is discovered and not in the history; files lie in ``landing`` under their own names."""
+    """Load what is discovered and not in the history.
+
+    ``landed`` (``url, path``) says where each address was put; without it, files lie in ``landing`` under their own
+    names, and addresses that share one are refused.
+    """
     known = history.select_history(
         history.read_history(spark, f"{root.rstrip('/')}/{jurisdiction}"), jurisdiction, dataset
     )
     todo = history.unloaded(discovered, known, force)
-    located = todo.withColumn("path", F.concat(F.lit(landing.rstrip("/") + "/"), "filename"))
+    own = F.concat(F.lit(landing.rstrip("/") + "/"), "filename")
+    if landed is None:
+        located = todo.withColumn("path", own)
+    else:
+        located = todo.join(landed.select("url", "path"), "url", "left").withColumn("path", F.coalesce("path", own))
     return load_files(spark, located, root, dataset, jurisdiction, file_type, fields, run_time, excel, replace)

@@ -43,6 +43,19 @@ def listing(spark: SparkSession, root: str | list[str], pattern: str | None = No
     return reader.load(root).select("path", "length", "modificationTime")
 
 
+def _sizes(batches):
+    for batch in batches:
+        paths = batch.column("path").to_pylist()
+        infos = [fs.get_file_info(name) for fs, name in map(filesystem, paths)]
+        sizes = [i.size if i.type == pafs.FileType.File else None for i in infos]
+        yield pa.RecordBatch.from_pydict({"path": paths, "length": pa.array(sizes, pa.int64())})
+
+
+def sizes(paths: DataFrame) -> DataFrame:
+    """``path, length`` of each given path, asked for in tasks: 0 for empty files, null where no file lies."""
+    return spread(paths.select("path").distinct()).mapInArrow(_sizes, "path string, length bigint")
+
+
 def contents(spark: SparkSession, root: str | list[str], pattern: str | None = None) -> DataFrame:
     reader = spark.read.format("binaryFile").option("recursiveFileLookup", True)
     if pattern:

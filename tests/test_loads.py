@@ -149,8 +149,42 @@ def test_file_load_is_incremental_and_skips_bad_files(spark, tmp_path):
     run_files(spark, landing, root, ["2025taxroll.csv"], "csv", force=True, replace=True)
     assert spark.read.parquet(f"{root}/town/tax_roll").count() == 5
     put(landing, "2026taxroll.csv", "Parcel ID,Tax-Total\nabc,9\n")
-    with pytest.raises(TypeError):
-        run_files(spark, landing, root, ["2026taxroll.csv"], "csv")
+    put(landing, "2027taxroll.csv", "Parcel ID,Tax-Total\n11,\n")
+    bad = run_files(spark, landing, root, ["2026taxroll.csv", "2027taxroll.csv"], "csv").collect()
+    assert [(r.path.rsplit("/", 1)[1], "parcel_id" in r.error) for r in bad] == [("2026taxroll.csv", True)]
+    assert spark.read.parquet(f"{root}/town/tax_roll").where("year = 2027").first().tax_total is None
+
+
+def test_files_are_neither_lost_nor_in_the_way(spark, tmp_path):
+    landing, root = str(tmp_path / "in"), str(tmp_path / "out")
+    (tmp_path / "in").mkdir()
+    put(landing, "2023r.csv", "a,b\n1,2\n")
+    put(landing, "2024r.csv", "a,b\n")
+    put(landing, "2025r.csv", "a,b\n5,6\n")
+    put(landing, "2026r.csv", "")
+    names = ["2023r.csv", "2024r.csv", "north/2025r.csv", "south/2025r.csv", "2026r.csv", "2027r.csv"]
+    bad = {r.path.rsplit("/", 1)[1]: r.error for r in run_files(spark, landing, root, names, "csv").collect()}
+    assert bad == {"2025r.csv": "several addresses have this file name", "2026r.csv": "file has no columns", "2027r.csv": "file is not landed"}
+    assert [tuple(r) for r in spark.read.parquet(f"{root}/town/tax_roll").collect()] == [(1, 2, 2023)]
+    past = {r.filename: r.row_count for r in history.read_history(spark, f"{root}/town").collect()}
+    assert past == {"2023r.csv": 1, "2024r.csv": 0}
+    (tmp_path / "in" / "s").mkdir()
+    put(landing, "s/2025r.csv", "a,b\n7,8\n")
+    landed = spark.createDataFrame([("https://h/north/2025r.csv", f"{landing}/2025r.csv"), ("https://h/south/2025r.csv", f"{landing}/s/2025r.csv")], "url string, path string")
+    assert run_files(spark, landing, root, names[2:4], "csv", landed=landed).count() == 0
+    assert sorted(map(tuple, spark.read.parquet(f"{root}/town/tax_roll").where("year = 2025").collect())) == [(5, 6, 2025), (7, 8, 2025)]
+
+
+def test_empty_and_headed_workbooks(spark, tmp_path):
+    landing, root = str(tmp_path / "in"), str(tmp_path / "out")
+    (tmp_path / "in").mkdir()
+    put(landing, "2022taxroll.xlsx", _workbook([["A", "B", "C"]]))
+    put(landing, "2023taxroll.xlsx", _workbook([]))
+    put(landing, "2024taxroll.xlsx", _workbook([["A", "B", "C"], ["1", "2", "3"]]))
+    bad = run_files(spark, landing, root, [f"{y}taxroll.xlsx" for y in (2022, 2023, 2024)], "xlsx").collect()
+    assert [(r.path.rsplit("/", 1)[1], r.error) for r in bad] == [("2023taxroll.xlsx", "file has no table")]
+    past = {r.filename: r.row_count for r in history.read_history(spark, f"{root}/town").collect()}
+    assert past == {"2022taxroll.xlsx": 0, "2024taxroll.xlsx": 1}
 
 
 def test_excel_file_load(spark, tmp_path):

@@ -62,7 +62,7 @@ def test_header_detection(spark, folder):
     assert sorted(map(str, long.collect())) == sorted(map(str, same.collect()))
     rows = headers.sheet_rows(long)
     found = {r.file.rsplit("/", 1)[1]: r for r in headers.header_rows(rows).collect()}
-    assert found["good.xlsx"].header_row == 2 and "not found" in found["none.xlsx"].error
+    assert found["good.xlsx"].header_row == 2 and "no header" in found["none.xlsx"].error
     (table,) = headers.tables(long)
     assert table.columns == ["file", "sheet", "r", "x_col", "y", "y_1"]
     assert [(r.x_col, r.y, r.y_1) for r in table.orderBy("r").collect()] == [("1", None, "3"), (None, "5", None), (None,) * 3, ("7", None, None)]
