@@ -12,9 +12,9 @@ from pyspark.sql import DataFrame, SparkSession
 from moorage.session import ship
 
 # Bytes of one Arrow batch sent to Python: bounds a task's memory whatever the length of the texts.
-BATCH_BYTES = 8 << 20
+BATCH_BYTES = 4 << 20
 # Words that one worker remembers before it starts anew.
-WORD_LIMIT = 600_000
+WORD_LIMIT = 200_000
 
 
 def prepare(spark: SparkSession) -> SparkSession:
@@ -70,6 +70,10 @@ class WordCodes(dict):
         )
 
 
+# One memory for all operators that take words as they are.
+WORDS = WordCodes()
+
+
 def mix(x: np.ndarray) -> np.ndarray:
     """SplitMix64 finaliser: a bijection of 64-bit words."""
     x = x ^ (x >> np.uint64(30))

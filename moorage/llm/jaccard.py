@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from moorage.llm.common import WordCodes, free_name, mix, raw_texts, run_starts, shingles
+from moorage.llm.common import WORDS, free_name, mix, raw_texts, run_starts, shingles
 from moorage.llm.components import components
 from moorage.session import settled
 
@@ -38,12 +38,10 @@ MAP_BITS = 27
 # Text whose tokens one task counts.
 RANGE_BYTES = 16 << 20
 
-_codes = WordCodes()
-
 
 def token_sets(raw: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     """Distinct tokens of each text in falling or rising code order, one text after another, and how many each has."""
-    codes, words = _codes.of(t.lower().split() for t in raw)
+    codes, words = WORDS.of(t.lower().split() for t in raw)
     tokens, many = shingles(codes, words)
     starts = run_starts(many)
     for a, b in zip(starts.tolist(), starts[1:].tolist()):

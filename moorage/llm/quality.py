@@ -14,7 +14,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from moorage.llm.common import WordCodes, raw_texts, run_starts, shingles
+from moorage.llm.common import WORDS, raw_texts, run_starts, shingles
 
 SLOTS, BINS, RANK = 1 << 14, 8, 8
 # Labelled rows to learn from at most: those with the smallest hashes.
@@ -32,8 +32,6 @@ for _i, _members in enumerate(_CLASSES):
     _CLASS[list(_members)] = _i
 STATISTICS = len(_CLASSES) + 1 + 11
 
-_codes = WordCodes()
-
 
 def _share(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return a / np.maximum(b, 1)
@@ -51,7 +49,7 @@ def describe(raw: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.n
     kinds = _CLASS[np.frombuffer(b"".join(raw), np.uint8)]
     shares = [_share(_per_text(kinds == k, starts), n) for k in range(len(_CLASSES) + 1)]
 
-    codes, words = _codes.of(t.split() for t in raw)
+    codes, words = WORDS.of(t.split() for t in raw)
     first = run_starts(words)
     text = np.repeat(np.arange(len(raw)), words)
     grams, many = shingles(codes, words)

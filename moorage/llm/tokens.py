@@ -16,8 +16,9 @@ import public_tokenizers
 import tiktoken
 from tokenizers import Tokenizer
 
-from moorage.llm.common import WORD_LIMIT
 
+# Words whose counts one worker remembers before it starts anew; each costs more to encode than to keep.
+WORD_LIMIT = 600_000
 # Separators to Python that are symbols to the tokenizers.
 _ODD_SEPARATOR = re.compile("[\x1c-\x1f]")
 
