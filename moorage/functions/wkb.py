@@ -328,6 +328,14 @@ def point_grid(blobs: pa.Array) -> np.ndarray | None:
     return np.ascontiguousarray(raw[:, 5:]).view("<f8")
 
 
+def _spread(values: pa.Array, blobs: pa.Array) -> pa.Array:
+    """Values of the blobs that are not null, in their places."""
+    if not blobs.null_count:
+        return values
+    there = blobs.is_valid().to_numpy(zero_copy_only=False)
+    return values.take(pa.array(np.cumsum(there) - 1, mask=~there))
+
+
 def _each(blobs: pa.Array, fn):
     """Apply ``fn`` per blob; ``(value, error)`` lists."""
     values, errors = [], []
@@ -353,7 +361,7 @@ def decode_wkb(blobs: pa.Array) -> pa.Array:
     nested = pa.list_(pa.list_(pa.list_(pa.list_(pa.float64()))))
     member = pa.struct([("kind", pa.int32()), ("coords", nested)])
     kind = pa.struct([("collection", pa.bool_()), ("members", pa.list_(member))])
-    grid = point_grid(blobs)
+    grid = point_grid(blobs.drop_null())
     if grid is None:
         values, errors = _each(blobs, decode)
         return pa.StructArray.from_arrays([pa.array(values, kind), pa.array(errors, pa.string())], ["geometry", "error"])
@@ -366,17 +374,18 @@ def decode_wkb(blobs: pa.Array) -> pa.Array:
     geometry = pa.StructArray.from_arrays(
         [pa.array(np.zeros(n, bool)), pa.ListArray.from_arrays(one, members)], ["collection", "members"]
     )
-    return pa.StructArray.from_arrays([geometry, pa.nulls(n, pa.string())], ["geometry", "error"])
+    return pa.StructArray.from_arrays([_spread(geometry, blobs), pa.nulls(len(blobs), pa.string())], ["geometry", "error"])
 
 
 @F.arrow_udf(T.StructType().add("box", BOUNDS).add("error", T.StringType()))
 def wkb_bounds(blobs: pa.Array) -> pa.Array:
     names = ["geometry_type", "xmin", "ymin", "xmax", "ymax"]
-    grid = point_grid(blobs)
+    grid = point_grid(blobs.drop_null())
     if grid is not None:
-        x, y = pa.array(grid[:, 0]), pa.array(grid[:, 1])
+        empty = np.isnan(grid).any(axis=1)
+        x, y = (pa.array(grid[:, i], mask=empty) for i in (0, 1))
         box = pa.StructArray.from_arrays([pa.array(np.full(len(grid), KIND_NAMES[POINT])), x, y, x, y], names)
-        return pa.StructArray.from_arrays([box, pa.nulls(len(grid), pa.string())], ["box", "error"])
+        return pa.StructArray.from_arrays([_spread(box, blobs), pa.nulls(len(blobs), pa.string())], ["box", "error"])
     values, errors = _each(blobs, bounds)
     box = pa.array(
         [v and dict(zip(names, v)) for v in values],

@@ -16,7 +16,8 @@ MAX_MISSES = 3
 
 
 def newest_first(files: DataFrame) -> DataFrame:
-    return files.orderBy(F.map_values("partition_values").desc())
+    """Latest partition values first; the address settles ties, so equal values spread over tasks."""
+    return files.orderBy(F.map_values("partition_values").desc(), "url")
 
 
 def from_links(

@@ -15,6 +15,11 @@ RESULT_COLUMNS = [
     "error_message",
 ]
 
+# Texts that are stored with the results.
+NO_ROWS, NO_VALUE = "Baseline has 0 rows", "Baseline value is 0"
+MISSING_VALUE = ("Missing metric value (baseline: ", ", incoming: ", ")")
+FIRST_LOAD = "No baseline data found - first load"
+
 
 class GateError(Exception):
     """A dataset failed its gate."""
@@ -70,14 +75,12 @@ def compare(expected: DataFrame, baseline: DataFrame, incoming: DataFrame, keys:
     missing = base.isNull() | new.isNull()
     percent = F.when(~missing & (base != 0), F.abs(new - base) / F.abs(base) * 100)
     message = (
-        F.when(is_count & (base == 0), F.lit("Baseline has 0 rows"))
+        F.when(is_count & (base == 0), F.lit(NO_ROWS))
         .when(
             missing,
-            F.concat(
-                F.lit("Missing metric value (baseline: "), _as_text(base), F.lit(", incoming: "), _as_text(new), F.lit(")")
-            ),
+            F.concat(F.lit(MISSING_VALUE[0]), _as_text(base), F.lit(MISSING_VALUE[1]), _as_text(new), F.lit(MISSING_VALUE[2])),
         )
-        .when(base == 0, F.lit("Baseline value is 0"))
+        .when(base == 0, F.lit(NO_VALUE))
     )
     within = ~F.isnan(percent) & (percent <= F.col("tolerance_percent"))
     return joined.select(
@@ -115,7 +118,7 @@ def audit(datasets: DataFrame, results: DataFrame, keys: Sequence[str], run_time
     )
     listed = F.transform(F.col("_entries"), lambda e: e.dropFields("position"))
     text = F.when(
-        F.col("_all").isNull(), F.to_json(F.struct(F.lit("No baseline data found - first load").alias("message")))
+        F.col("_all").isNull(), F.to_json(F.struct(F.lit(FIRST_LOAD).alias("message")))
     ).otherwise(F.to_json(listed, {"ignoreNullFields": "false"}))
     status = F.when(F.col("_all").isNull(), "no_baseline").when(F.col("_all"), "passed").otherwise("failed")
     return (

@@ -49,7 +49,7 @@ def loaded_urls(history: DataFrame) -> DataFrame:
 
 
 def newest_first(history: DataFrame) -> DataFrame:
-    return history.orderBy(F.desc("loaded_at"))
+    return history.orderBy(F.desc("loaded_at"), "source_url")
 
 
 def unloaded(discovered: DataFrame, history: DataFrame, force: bool = False, match_hash: bool = False) -> DataFrame:

@@ -37,7 +37,10 @@ def metric_names(metrics: Sequence[Metric]) -> list[str]:
 
 
 def _values(df: DataFrame, name: str) -> Column:
-    return numeric(F.col(f"`{name}`"), isinstance(df.schema[name].dataType, T.StringType))
+    kind = df.schema[name].dataType
+    if isinstance(kind, (T.StructType, T.ArrayType, T.MapType, T.BinaryType)):
+        return F.lit(None).cast("double")
+    return numeric(F.col(f"`{name}`"), isinstance(kind, T.StringType))
 
 
 def incoming_aggregates(df: DataFrame, metrics: Sequence[Metric], source: bool = False) -> list[Column]:

@@ -6,18 +6,17 @@ passes is promoted by moving its folder.
 
 from __future__ import annotations
 
-import math
 import uuid
 from collections.abc import Mapping, Sequence
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 from urllib.parse import quote
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from moorage.functions.names import snake_case
+from moorage.functions.names import snake_case, suffix_duplicates
 from moorage.operators import gate, registry
 from moorage.operators.metrics import ROW_COUNT, Metric, baseline_aggregates, long_form, metric_names, observed
 from moorage.operators.sampling import first_rows
@@ -42,10 +41,15 @@ class LoadOptions:
     baseline: str = "same_year"
     row_count_tolerance: float = gate.DEFAULT_TOLERANCE
     publish_geometry: bool = True
+    allow_incomplete: bool = False
     parallel_datasets: int = 4
     projjson: Mapping[str, dict] = field(default_factory=dict)
 
 
+class IncompleteError(Exception):
+    """A dataset's pages show errors or gaps."""
+
+
 def _dataset_path(options: LoadOptions, jurisdiction: str, name: str) -> str:
     return f"{options.root.rstrip('/')}/{jurisdiction}/{name}"
 
@@ -84,9 +88,14 @@ def _feature_rows(
     read = pages.esri_rows if crs else pages.geojson_rows
     if options.max_records is None:
         return read(kept, schema)
-    # All pages but the last are full, so these hold the first rows.
-    first = kept.orderBy("offset").limit(math.ceil(options.max_records / options.page_size))
-    return first_rows(read(first, schema, keep=["offset"]), [], ["offset"], options.max_records).drop("offset")
+    # The profile has a row a page: pages whose predecessors do not hold enough features yet.
+    before = F.sum("n_features").over(Window.orderBy("offset").rowsBetween(Window.unboundedPreceding, -1))
+    needed = profile.where("n_features > 0").withColumn("_before", F.coalesce(before, F.lit(0)))
+    needed = settled(needed.where(F.col("_before") < options.max_records).select("offset"), "sample-pages")
+    rows = read(kept.join(needed, "offset", "left_semi"), schema, keep=["offset"])
+    # Rows of a page are unnested in one task and in order.
+    rows = rows.withColumn("_place", F.monotonically_increasing_id())
+    return first_rows(rows, [], ["offset", "_place"], options.max_records).drop("offset", "_place")
 
 
 def load_dataset(
@@ -101,8 +110,8 @@ def load_dataset(
     """Load one dataset's pages and return its gate results (none when not gated or without baseline).
 
     Pages with errors, pages the service cut short and geometries that could not be converted are noted in
-    the table ``load_warnings``. Raises ``GateError`` on failure, after the audit row is written; the stored
-    snapshot is then untouched.
+    the table ``load_warnings``. Pages with errors or gaps raise ``IncompleteError`` unless ``allow_incomplete`` is
+    set; a failed gate raises ``GateError`` after the audit row is written. The stored snapshot is then untouched.
     """
     name, metrics = dataset["name"], _metrics(dataset)
     target = _dataset_path(options, jurisdiction, name)
@@ -113,17 +122,24 @@ def load_dataset(
     rows, seen = observed(
         rows, metrics, f"{jurisdiction}.{name}", source=True, **{BROKEN: F.count("geometry_error")}
     )
-    rows.toDF(*[snake_case(c) for c in rows.columns]).drop("geometry_error").write.parquet(staged)
+    rows.drop("geometry_error").toDF(*suffix_duplicates([snake_case(c) for c in rows.columns if c != "geometry_error"])).write.parquet(staged)
 
     values = dict(seen.get)
     broken = values.pop(BROKEN)
-    warned = pages.page_warnings(profile, options.page_size).select(
-        F.concat(F.lit("page at offset "), F.col("offset"), F.lit(": "), "reason").alias("warning")
+    warned = settled(
+        pages.page_warnings(profile, options.page_size).select(
+            F.concat(F.lit("page at offset "), F.col("offset"), F.lit(": "), "reason").alias("warning")
+        ),
+        "page-warnings",
     )
+    incomplete = None if options.allow_incomplete or options.max_records is not None else warned.first()
     if broken:
         warned = warned.unionByName(spark.createDataFrame([(f"{broken} geometries could not be converted",)], "warning string"))
     warned = warned.select(F.lit(jurisdiction).alias("jurisdiction"), F.lit(options.run_time).alias("loaded_at"), "warning")
     tables.append(warned, _log_path(options, jurisdiction, WARNING_TABLE, name))
+    if incomplete:
+        files.delete(spark, staged)
+        raise IncompleteError(f"{jurisdiction}/{name}: {incomplete.warning}")
 
     datasets = spark.createDataFrame(
         [(jurisdiction, name, _tolerance(dataset))], "jurisdiction string, dataset_name string, dataset_tolerance double"
@@ -191,8 +207,10 @@ def run(
             try:
                 load_dataset(spark, mine, jurisdiction, crs, dataset, options, (attributes or {}).get(dataset["name"]))
                 return "loaded"
-            except gate.GateError as exc:
+            except (gate.GateError, IncompleteError) as exc:
                 return f"failed: {exc}"
+            except Exception as exc:  # noqa: BLE001 - the other datasets go on
+                return f"errored: {type(exc).__name__}: {exc}"
 
         # Datasets are independent jobs; several at a time keep the cluster busy.
         with ThreadPoolExecutor(options.parallel_datasets) as pool:

@@ -49,6 +49,10 @@ CRS84 = {
 }
 
 
+# Formats that are read, and those that are reported as errors.
+READ, UNREAD = ("csv", "tsv", "txt", "geojson", "xlsx"), ("xls", "shp")
+
+
 @dataclass
 class _Batch:
     """Rows of several files with one schema, and the files they stand for."""
@@ -61,20 +65,25 @@ class _Batch:
 
 def plan(spark: SparkSession, root: str, force: bool = False) -> DataFrame:
     """``path, ext, target, status, error`` of every convertible file below ``root``."""
-    listed = files.listing(spark, root).select("path")
+    listed = files.every_file(spark, root)
     done = listed.select(F.regexp_extract("path", r"^(.*?\.parquet)(/|$)", 1).alias("target")).where("target != ''").distinct()
     sources = listed.where(~F.col("path").rlike(r"\.parquet(/|$)")).select(
-        "path", extension(F.col("path")).alias("ext"), parquet_target(F.col("path")).alias("target")
+        "path", "length", extension(F.col("path")).alias("ext"), parquet_target(F.col("path")).alias("target")
     )
-    sources = sources.where(F.col("ext").isin("csv", "tsv", "txt", "geojson", "xlsx"))
+    sources = sources.where(F.col("ext").isin(*READ, *UNREAD))
     shared = sources.groupBy("target").agg((F.count(F.lit(1)) > 1).alias("clash"))
     joined = sources.join(shared, "target").join(done.withColumn("exists", F.lit(True)), "target", "left")
     status = (
-        F.when(F.col("clash"), "errored")
+        F.when(F.col("clash") | F.col("ext").isin(*UNREAD), "errored")
         .when(F.coalesce("exists", F.lit(False)) & F.lit(not force), "skipped")
         .otherwise("ready")
     )
-    error = F.when(F.col("clash"), "several files have this target")
+    status = F.when((status == "ready") & (F.col("length") == 0), "errored").otherwise(status)
+    error = (
+        F.when(F.col("clash"), "several files have this target")
+        .when(F.col("ext").isin(*UNREAD), "unsupported format")
+        .when(status == "errored", "file is empty")
+    )
     return joined.select("path", "ext", "target", status.alias("status"), error.alias("error"))
 
 
@@ -173,7 +182,7 @@ def convert_directory(spark: SparkSession, root: str, outcomes: str, force: bool
     planned = plan(spark, root, force)
     kept = settled(planned, "plan")
     target_of = {r.path: r.target for r in kept.where("status = 'ready'").toLocalIterator()}
-    ready = {k: [] for k in ("csv", "tsv", "txt", "geojson", "xlsx")}
+    ready = {k: [] for k in READ}
     for row in kept.where("status = 'ready'").select("path", "ext").toLocalIterator():
         ready[row.ext].append(row.path)
     results: list[tuple] = []
@@ -190,11 +199,11 @@ def convert_directory(spark: SparkSession, root: str, outcomes: str, force: bool
                     _write(spark, item, target_of)
                     results.extend((p, target_of[p], "converted", None) for p in item.paths)
                 except Exception as exc:  # noqa: BLE001 - other files go on
-                    results.extend((p, target_of[p], "errored", str(exc)[:500]) for p in item.paths)
+                    results.extend((p, target_of[p], "errored", str(exc)) for p in item.paths)
                 left.difference_update(item.paths)
             results.extend((p, target_of[p], "errored", "file has no columns") for p in sorted(left))
         except Exception as exc:  # noqa: BLE001
-            results.extend((p, target_of[p], "errored", str(exc)[:500]) for p in left)
+            results.extend((p, target_of[p], "errored", str(exc)) for p in left)
 
     for ext, separator in delimited.SEPARATORS.items():
         if ready[ext]:

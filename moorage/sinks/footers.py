@@ -13,7 +13,6 @@ from pyspark.sql import types as T
 
 from moorage.sources.files import open_input
 
-VALUE_LIMIT = 200
 _S, _L = T.StringType(), T.LongType()
 AUDIT = T.StructType()
 for _name, _kind in {
@@ -30,10 +29,6 @@ _ARROW = {
 _SCHEMA = pa.schema([(f.name, _ARROW[f.dataType.simpleString()]) for f in AUDIT])
 
 
-def _shorten(text: str) -> str:
-    return text if len(text) <= VALUE_LIMIT else text[:VALUE_LIMIT] + "... (truncated)"
-
-
 def _crs(crs: dict | None) -> dict:
     if not crs:
         return {}
@@ -60,7 +55,7 @@ def _rows(path: str) -> list[dict]:
     base = {
         "path": path, "num_rows": meta.num_rows, "num_columns": meta.num_columns, "row_groups": meta.num_row_groups,
         "footer_bytes": meta.serialized_size, "file_bytes": size, "has_geo": geo is not None,
-        "other_keys": {k: _shorten(v) for k, v in keys.items()},
+        "other_keys": keys,
     }
     out = []
     for column, info in ((geo or {}).get("columns") or {}).items():

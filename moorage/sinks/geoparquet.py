@@ -12,6 +12,7 @@ from collections.abc import Iterator
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
+import numpy as np
 import pyarrow as pa
 import pyarrow.parquet as pq
 from pyarrow import fs as pafs
@@ -51,10 +52,12 @@ class GeoFile:
             blobs = values.cast(pa.binary())
         else:
             blobs = pa.array([bytes.fromhex(v) if v else None for v in values.to_pylist()], pa.binary())
-        grid = wkb.point_grid(blobs)
+        grid = wkb.point_grid(blobs.drop_null())
         if grid is not None:
             self.types.add("Point")
-            self._grow(*grid.min(axis=0), *grid.max(axis=0))
+            filled = grid[~np.isnan(grid).any(axis=1)]
+            if len(filled):
+                self._grow(*filled.min(axis=0), *filled.max(axis=0))
             return blobs
         out = []
         for blob in blobs.to_pylist():
@@ -98,7 +101,7 @@ class GeoFile:
         if self.box:
             info["bbox"] = self.box
         geo = {"version": VERSION, "primary_column": self.column, "columns": {self.column: info}}
-        self.writer.add_key_value_metadata({"geo": json.dumps(geo)})
+        self.writer.add_key_value_metadata({"geo": json.dumps(geo, allow_nan=False)})
         self.writer.close()
 
 
@@ -190,6 +193,12 @@ def write(df, path: str, crs: dict | None = None, column: str = "geometry", mode
     writer.save(path)
 
 
+def is_published(path: str) -> bool:
+    """Whether a Parquet file has a GeoParquet footer."""
+    with open_input(path) as stream:
+        return b"geo" in (pq.read_metadata(stream).metadata or {})
+
+
 def publish_file(source: str, target: str, column: str, crs: dict | None) -> int:
     """Rewrite one Parquet file as GeoParquet at ``target``, batch by batch; returns its rows.
 
@@ -207,7 +216,7 @@ def publish_file(source: str, target: str, column: str, crs: dict | None) -> int
                 [f.with_type(f.type.value_type) if pa.types.is_dictionary(f.type) else f for f in parquet.schema_arrow]
             )
             if schema.get_field_index(column) < 0:
-                raise ValueError(f"No geometry column found in {source}")
+                raise ValueError(f"{source} has no column {column!r}")
             with fs.open_output_stream(temp) as sink:
                 geo = GeoFile(sink, schema, column, crs)
                 try:

@@ -56,6 +56,28 @@ def sizes(paths: DataFrame) -> DataFrame:
     return spread(paths.select("path").distinct()).mapInArrow(_sizes, "path string, length bigint")
 
 
+def _below(batches):
+    for batch in batches:
+        for path in batch.column("path").to_pylist():
+            fs, name = filesystem(path)
+            prefix = path[: len(path) - len(name)]
+            info = fs.get_file_info(name)
+            found = [info] if info.type == pafs.FileType.File else fs.get_file_info(pafs.FileSelector(name, recursive=True))
+            inner = [(i.path[len(name) :].split("/"), i) for i in found if i.type == pafs.FileType.File]
+            # Hidden files and folders are not data, as in any scan.
+            shown = [i for parts, i in inner if not any(p.startswith((".", "_")) for p in parts)]
+            yield pa.RecordBatch.from_pydict({"path": [prefix + i.path for i in shown], "length": pa.array([i.size for i in shown], pa.int64())})
+
+
+def every_file(spark: SparkSession, root: str) -> DataFrame:
+    """``path, length`` of every file below ``root``, empty ones too; each first-level entry is listed by a task."""
+    fs, target = _hadoop(spark, root)
+    base = fs.makeQualified(target).toString().rstrip("/")
+    names = [n for n in child_names(spark, root) if not n.startswith((".", "_"))]
+    entries = spark.createDataFrame([(f"{base}/{n}",) for n in names], "path string")
+    return spread(entries).mapInArrow(_below, "path string, length bigint")
+
+
 def contents(spark: SparkSession, root: str | list[str], pattern: str | None = None) -> DataFrame:
     reader = spark.read.format("binaryFile").option("recursiveFileLookup", True)
     if pattern:

@@ -7,7 +7,7 @@ from __future__ import annotations
 
 import re
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -74,7 +74,12 @@ def page_warnings(profiled: DataFrame, page_size: int = PAGE_SIZE) -> DataFrame:
     reason = F.when(F.col("page_error").isNotNull(), F.concat(F.lit("service error: "), "page_error")).when(
         F.col("limit_exceeded") & (F.col("n_features") < page_size), F.lit("short page, but the service has more")
     )
-    return profiled.select("layer", "offset", reason.alias("reason")).where(F.col("reason").isNotNull())
+    told = profiled.select("layer", "offset", reason.alias("reason")).where(F.col("reason").isNotNull())
+    # Offsets run in steps of a page from 0 to the stop; the profile has a row a page.
+    before = F.lag("offset").over(Window.partitionBy("layer").orderBy("offset"))
+    steps = until_stop(profiled, stop_offsets(profiled, page_size)).select("layer", "offset").distinct()
+    gaps = steps.withColumn("_gap", F.col("offset") - F.coalesce(before, F.lit(-page_size))).where(F.col("_gap") > page_size)
+    return told.unionByName(gaps.select("layer", "offset", F.lit("pages before it are missing").alias("reason")))
 
 
 def _ddl(schema: T.StructType | str) -> str:

@@ -13,6 +13,7 @@ from pyspark.sql import types as T
 from pyspark.sql.pandas.types import from_arrow_schema
 
 from moorage.session import settled
+from moorage.sources.delimited import literal_path
 from moorage.sources.files import listing, open_input
 
 # Numeric types from narrow to wide.
@@ -35,9 +36,26 @@ def _wider(a: T.DataType, b: T.DataType) -> T.DataType:
         if wide == "float" and {x, y} & {"int", "bigint"}:
             wide = "double"
         return T.DoubleType() if wide == "double" else {x: a, y: b}[wide]
+    if isinstance(a, T.DecimalType) and isinstance(b, T.DecimalType):
+        scale = max(a.scale, b.scale)
+        digits = max(a.precision - a.scale, b.precision - b.scale) + scale
+        return T.DecimalType(digits, scale) if digits <= 38 else T.StringType()
     return T.StringType()
 
 
+# Fixed value: integers up to here are exact as doubles.
+_EXACT = 1 << 53
+
+
+def _cast(name: str, found: T.DataType, target: T.DataType) -> Column:
+    """The column in its target type; an integer that a double cannot hold raises instead of changing."""
+    col = F.col(f"`{name}`")
+    if found == T.LongType() and target == T.DoubleType():
+        lost = F.raise_error(F.concat(F.lit(f"column {name!r} has an integer that a double cannot hold: "), col))
+        return F.when(~col.between(-_EXACT, _EXACT), lost.cast("double")).otherwise(col.cast("double"))
+    return col.cast(target)
+
+
 def _schema_text(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         paths, schemas = batch.column("path").to_pylist(), []
@@ -77,7 +95,7 @@ def read_normalized(spark: SparkSession, root: str) -> DataFrame:
             target[field.name] = _wider(target.get(field.name, field.dataType), field.dataType)
     merged = None
     for schema, paths in groups:
-        part = spark.read.schema(schema).option("recursiveFileLookup", True).parquet(*paths)
-        part = part.select(*[F.col(f"`{n}`").cast(target[n]).alias(n) for n in schema.names])
+        part = spark.read.schema(schema).option("recursiveFileLookup", True).parquet(*map(literal_path, paths))
+        part = part.select(*[_cast(f.name, f.dataType, target[f.name]).alias(f.name) for f in schema])
         merged = part if merged is None else merged.unionByName(part, allowMissingColumns=True)
     return merged

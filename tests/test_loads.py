@@ -84,7 +84,9 @@ def test_load_warnings(spark, folder):
     bad = json.dumps({"geometryType": "esriGeometryMultipoint", "features": [{"attributes": {"OBJECTID": 1}, "geometry": {"x": 1}}]})
     rows = [("town", "parcels", 0, json.dumps({"error": {"message": "busy"}})), ("town", "parcels", 10, bad)]
     pages = spark.createDataFrame(rows, "jurisdiction string, layer string, offset bigint, body string")
-    feature_load.load_dataset(spark, pages, "town", 8193, dataset, options(folder))
+    with pytest.raises(feature_load.IncompleteError):
+        feature_load.load_dataset(spark, pages, "town", 8193, dataset, options(folder + "/refused"))
+    feature_load.load_dataset(spark, pages, "town", 8193, dataset, options(folder, allow_incomplete=True))
     assert spark.read.parquet(f"{folder}/town/parcels").count() == 1
     noted = sorted(r.warning for r in spark.read.parquet(f"{folder}/town/load_warnings").collect())
     assert len(noted) == 2 and noted[0].startswith("1 geometries") and "busy" in noted[1]
@@ -95,6 +97,29 @@ def test_sampling_load(spark, folder):
     assert spark.read.parquet(f"{folder}/town/parcels").count() == 7
 
 
+def test_sampling_behind_an_error_page(spark, folder):
+    def body(at):
+        return json.dumps({"features": [{"attributes": {"OBJECTID": i}, "geometry": None} for i in range(at, at + 10)]})
+
+    rows = [("town", "roll", 0, json.dumps({"error": {"message": "busy"}})), ("town", "roll", 10, body(10)), ("town", "roll", 20, body(20))]
+    pages = spark.createDataFrame(rows, "jurisdiction string, layer string, offset bigint, body string")
+    dataset = CONFIG["jurisdictions"]["town"]["datasets"][1]
+    feature_load.load_dataset(spark, pages, "town", 8193, dataset, options(folder, max_records=10))
+    assert sorted(r.objectid for r in spark.read.parquet(f"{folder}/town/roll").collect()) == list(range(10, 20))
+
+
+def test_gaps_and_other_errors_do_not_stop_the_rest(spark, folder):
+    pages = landed(spark, 95, 1.0)
+    gap = pages.where("layer = 'roll' or offset <> 30")
+    found = feature_load.run(spark, CONFIG, gap, documents(spark), options(folder))
+    assert "missing" in found["town/parcels"] and found["town/roll"] == "loaded"
+    twice = json.dumps({"features": [{"attributes": {"AbId": 1, "ab_id": 2, "TotalTaxes": 1.0}, "geometry": None}]})
+    rows = spark.createDataFrame([("town", "parcels", 0, twice)], pages.schema)
+    found = feature_load.run(spark, CONFIG, rows.unionByName(pages.where("layer = 'roll'")), documents(spark), options(folder + "/b"))
+    assert found == {"town/parcels": "loaded", "town/roll": "loaded"}
+    assert spark.read.parquet(f"{folder}/b/town/parcels").columns[:2] != ["ab_id", "ab_id"]
+
+
 def test_latest_baseline(spark, folder):
     load(spark, folder, 50, 1.0)
     later = feature_load.LoadOptions(root=folder, year=2026, run_time="t", page_size=10, baseline="latest")
