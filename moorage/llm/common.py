@@ -11,8 +11,8 @@ from pyspark.sql import DataFrame, SparkSession
 
 from moorage.session import ship
 
-# Bytes of one Arrow batch sent to Python: bounds a task's memory whatever the length of the texts.
-BATCH_BYTES = 4 << 20
+# Bytes and rows of one Arrow batch sent to Python: they bound a task's memory whatever the length of the texts.
+BATCH_BYTES, BATCH_ROWS = 4 << 20, 1000
 # Words that one worker remembers before it starts anew.
 WORD_LIMIT = 200_000
 
@@ -20,6 +20,7 @@ WORD_LIMIT = 200_000
 def prepare(spark: SparkSession) -> SparkSession:
     ship(spark)
     spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
     return spark
 
 
