@@ -98,11 +98,14 @@ def discover(
     fields: Mapping[str, str],
     start_year: int,
     base: str = "base_url",
+    min_year: int = MIN_YEAR,
+    max_misses: int = MAX_MISSES,
 ) -> DataFrame:
     """Files of all datasets: from index pages, or by probing where a dataset's index shows none."""
     indexed = from_pages(pages, keys, url_templates, fields, base)
     silent = datasets.join(indexed.select(*keys).distinct(), list(keys), "left_anti")
-    probed = probe_years(candidates(silent, keys, url_templates, start_year), existing, keys, start_year)
+    tried = candidates(silent, keys, url_templates, start_year, min_year)
+    probed = probe_years(tried, existing, keys, start_year, max_misses)
     probed = probed.withColumn("partition_values", urls.partition_values(F.col("filename"), fields)).drop("year")
     return newest_first(indexed.unionByName(probed))
 

@@ -6,6 +6,8 @@ from pyspark.sql import functions as F
 
 from moorage.operators import geometry, registry, sampling
 from moorage.plans.registered import query
+from moorage.session import workspace
+from moorage.sinks import tables
 from moorage.sources import catalog, pages
 
 
@@ -195,7 +197,12 @@ _REGISTRY_SQL = """
 
 @query("metadata_registry", _REGISTRY_SQL)
 def metadata_registry(spark, t):
-    return _registry(t).select(
+    # Written in full each run: what an earlier run had is gone.
+    at = workspace(spark, "metadata_registry")
+    rows = _registry(t)
+    tables.replace(rows.where("has_z"), at)
+    tables.replace(rows, at)
+    return spark.read.parquet(at).select(
         "dataset_name", "source_url", "non_spatial", "crs_epsg", "crs_wkid", "crs_wkt", "geometry_type",
         "xmin", "ymin", "xmax", "ymax", "has_z", "has_m",
     )

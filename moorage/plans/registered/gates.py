@@ -113,7 +113,7 @@ def gate_row_count_only(spark, t):
 @query(
     "gate_audit",
     _GATE_SQL
-    + """SELECT i.dataset_name, CASE WHEN min(q.dataset_name) IS NULL THEN 'no_baseline'
+    + """SELECT i.dataset_name, '2025-01-01T00:00:00' AS validation_timestamp, CASE WHEN min(q.dataset_name) IS NULL THEN 'no_baseline'
               WHEN bool_and(coalesce(pct <= tol, false)) THEN 'passed' ELSE 'failed' END AS status,
               CASE WHEN min(q.dataset_name) IS NULL THEN '{"message":"No baseline data found - first load"}'
               ELSE '[{"metric":"row_count","baseline":' || CAST(min(b.n) AS VARCHAR) || ',"incoming":' || CAST(min(i.n) AS VARCHAR)
@@ -127,7 +127,7 @@ def gate_audit(spark, t):
     results = results.withColumn("percent_difference", F.round("percent_difference", 2))
     path = workspace(spark, "gate_audit")
     tables.append(gate.audit(datasets, results, KEYS, "2025-01-01T00:00:00"), path)
-    return spark.read.parquet(path).select("dataset_name", "status", "results")
+    return spark.read.parquet(path).select("dataset_name", "validation_timestamp", "status", "results")
 
 
 INFLIGHT = [

@@ -42,6 +42,20 @@ def discover_files(spark, t):
     return discovery.newest_first(found).select("url", "filename", F.col("partition_values")["part"].alias("part"))
 
 
+@query(
+    "discover_newest",
+    f"""SELECT url, part FROM (
+          SELECT {_BASE_SQL} || href AS url, nullif(regexp_extract(split_part(href, '/', -1), '[a-m]+', 0), '') AS part, page_id
+          FROM ({_LINKS_SQL}) WHERE regexp_matches(href, '(?i)(the|tion)'))
+        WHERE part IS NOT NULL GROUP BY url, part, page_id ORDER BY part DESC, url LIMIT 10""",
+)
+def discover_newest(spark, t):
+    # The limit shows the order.
+    pages = t.pages.select("page_id", F.col("url").alias("base_url"), "html")
+    found = discovery.from_pages(pages, ["page_id"], ["the", "tion"], {"part": "[a-m]+"})
+    return discovery.newest_first(found).limit(10).select("url", F.col("partition_values")["part"].alias("part"))
+
+
 _TEMPLATES = ["{year}taxroll.xlsx", "TaxRoll{year}.xlsx"]
 
 
@@ -137,6 +151,67 @@ def history_lookup(spark, t):
     return history.loaded_urls(history.newest_first(mine))
 
 
+@query(
+    "history_newest",
+    f"SELECT source_url, loaded_at FROM ({_HISTORY_SQL}) ORDER BY loaded_at DESC, source_url LIMIT 40",
+)
+def history_newest(spark, t):
+    # The limit shows the order.
+    root = workspace(spark, "history_newest")
+    history.append(_history(t), root)
+    return history.newest_first(history.read_history(spark, root)).limit(40).select("source_url", "loaded_at")
+
+
+_WEB_SQL = """
+  WITH o AS (SELECT year(o_orderdate) AS y, o_orderkey, o_totalprice, o_orderpriority FROM orders)
+  SELECT 'indexed' AS dataset_name, y AS year, 'loaded' AS status, count(*) AS n FROM o WHERE o_orderpriority = '1-URGENT' GROUP BY y
+  UNION ALL SELECT 'probed', y, 'loaded', count(*) FROM o WHERE o_orderpriority = '5-LOW' AND y >= 1999 GROUP BY y
+  UNION ALL SELECT 'absent', 2001, 'errored', NULL
+"""
+
+
+@query("web_file_load", _WEB_SQL)
+def web_file_load(spark, t):
+    """Three datasets from one configuration: linked in an index, found by probing, and linked but not landed."""
+    from moorage.plans import web_load
+
+    root, raw = workspace(spark, "web_load"), workspace(spark, "web_files")
+    name = F.when(F.col("o_orderpriority") == "1-URGENT", F.lit("indexed")).when(F.col("o_orderpriority") == "5-LOW", F.lit("probed"))
+    rows = t.orders.select("o_orderkey", F.col("o_totalprice").alias("Total Price"), name.alias("name"), F.year("o_orderdate").alias("y"))
+    rows.where("name is not null").hint("rebalance", "name", "y").write.partitionBy("name", "y").option("header", True).csv(raw)
+    parts = files.listing(spark, raw, "*.csv").select(
+        "path", F.regexp_extract("path", "/name=([a-z]+)/y=([0-9]{4})/", 1).alias("name"), F.regexp_extract("path", "/y=([0-9]{4})/", 1).alias("y")
+    )
+    at = F.concat(F.lit("https://files.example.org/"), "name", F.lit("/"))
+    landed = parts.select(
+        F.concat(at, F.when(F.col("name") == "indexed", F.concat(F.lit("sales"), "y", F.lit(".csv"))).otherwise(F.concat("y", F.lit("low.csv")))).alias("url"),
+        "path", "name",
+    )
+    # Two probed years in a row do not answer, so the years before them are not looked for.
+    existing = landed.where("name = 'probed' and not url rlike '/199[78]low'")
+    links = landed.where("name = 'indexed'").agg(F.sort_array(F.collect_list(F.concat(F.lit('<a href="'), F.regexp_extract("url", "[^/]+$", 0), F.lit('">x</a>')))).alias("l"))
+    indexed = links.select(F.lit("indexed").alias("dataset_name"), F.lit("https://files.example.org/indexed/").alias("base_url"), F.array_join("l", "").alias("html"))
+    absent = spark.createDataFrame([("absent", "https://files.example.org/absent/", "<a href='gone2001.csv'>x</a>")], "dataset_name string, base_url string, html string")
+    field = [{"field": "year", "source": "filename", "pattern": r"\d{4}"}]
+    dataset = lambda name, *patterns: {
+        "name": name, "base_url": f"https://files.example.org/{name}/", "file_type": "csv", "url_patterns": list(patterns), "partition": field,
+    }
+    config = {"jurisdictions": {"j": {"datasets": [dataset("indexed", "sales{year}.csv"), dataset("probed", "{year}low.csv"), dataset("absent", "gone{year}.csv")]}}}
+    options = web_load.WebOptions(root=root, run_time="2025-01-01T00:00:00", start_year=2002, min_year=1990, max_misses=2)
+    for _ in range(2):
+        # Nothing that is loaded is loaded again; what is not landed comes back.
+        told = web_load.run(spark, config, indexed.unionByName(absent), existing.unionByName(landed.where("name = 'indexed'")), landed.select("url", "path"), options)
+    errors = told.where("status = 'errored'").select(
+        "dataset_name", F.regexp_extract("url", "([0-9]{4})", 1).cast("bigint").alias("year"), "status", F.lit(None).cast("bigint").alias("n")
+    )
+    stored = [
+        spark.read.parquet(f"{root}/j/{d}").groupBy(F.lit(d).alias("dataset_name"), F.col("year").cast("bigint").alias("year")).agg(F.count(F.lit(1)).alias("n"))
+        for d in ("indexed", "probed")
+    ]
+    loaded = stored[0].unionByName(stored[1]).withColumn("status", F.lit("loaded"))
+    return loaded.unionByName(errors).select("dataset_name", "year", "status", "n")
+
+
 @query(
     "incremental_antijoin",
     f"SELECT page_id, url FROM pages p WHERE NOT EXISTS (SELECT 1 FROM ({_HISTORY_SQL}) h WHERE h.source_url = p.url)",

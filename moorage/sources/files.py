@@ -43,11 +43,19 @@ def listing(spark: SparkSession, root: str | list[str], pattern: str | None = No
     return reader.load(root).select("path", "length", "modificationTime")
 
 
+def _size(path: str) -> int | None:
+    try:
+        fs, name = filesystem(path)
+    except pa.ArrowInvalid:  # no place of files, such as a web address
+        return None
+    info = fs.get_file_info(name)
+    return info.size if info.type == pafs.FileType.File else None
+
+
 def _sizes(batches):
     for batch in batches:
         paths = batch.column("path").to_pylist()
-        infos = [fs.get_file_info(name) for fs, name in map(filesystem, paths)]
-        sizes = [i.size if i.type == pafs.FileType.File else None for i in infos]
+        sizes = [_size(path) for path in paths]
         yield pa.RecordBatch.from_pydict({"path": paths, "length": pa.array(sizes, pa.int64())})
 
 
