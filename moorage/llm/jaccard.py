@@ -131,8 +131,11 @@ def _bit(bitmap: np.ndarray, tokens: np.ndarray) -> np.ndarray:
 def codes_of(tokens: np.ndarray, kind: np.ndarray) -> tuple[np.ndarray, np.ndarray] | None:
     """Index codes of a token set (kinds 0: of one document, 1: rare, 2: frequent), None if it can have no partner.
 
-    With each code comes how many tokens a partner found by it can have in common: a single token need only find those
-    of which it is the first common one, so tokens before it do not count; a pair those whose common tokens are frequent.
+    With each code comes how many tokens a partner found by it can have in common. A single token need only find those
+    of which it is the first common one, so tokens before it do not count. A pair need only find those whose common
+    tokens are frequent, and of which it is the first common pair of a group, so that at most ``groups + 1`` common
+    tokens stand up to its later one. The number is negative in the size class that is not the document's own: two
+    documents of one class need not meet in the next as well.
     """
     n = len(tokens)
     spare = n * (100 - SIMILAR) // 100
@@ -150,13 +153,15 @@ def codes_of(tokens: np.ndarray, kind: np.ndarray) -> tuple[np.ndarray, np.ndarr
             group = mix(prefix ^ np.uint64(0xD1B54A32D192ED03)) % np.uint64(groups)
             order = np.argsort(group, kind="stable")
             group, prefix = group[order], prefix[order]
+            left = np.minimum(len(frequent), groups + len(frequent) - order)
             for step in range(1, len(prefix)):
                 same = group[step:] == group[:-step]
                 if not same.any():
                     break
                 pairs = prefix[:-step][same] * np.uint64(0x9E3779B97F4A7C15) + mix(prefix[step:][same] + np.uint64(level))
                 codes.append(mix(pairs))
-                most.append(np.full(len(pairs), len(frequent)))
+                # The order is stable, so the later token of a pair has the higher place.
+                most.append(left[step:][same] * (1 if level == own else -1))
     return np.concatenate(codes), np.concatenate(most)
 
 
@@ -230,7 +235,7 @@ def similar_documents(docs: DataFrame, key: str = "doc_id", text: str = "text")
     zipped = F.inline(F.arrays_zip(F.col("codes").alias("code"), F.col("most").alias("most")))
     entries = own.where("codes is not null").select("set_id", F.col("n_shingles").alias("n"), zipped).distinct()
     # Codes of one set join nothing. The pivot of a code is the set with the least that others lack.
-    lone = F.struct((F.col("n") - F.col("most")).alias("lack"), "set_id", "n", "most")
+    lone = F.struct((F.col("n") - F.abs("most")).alias("lack"), "set_id", "n", "most")
     groups = entries.groupBy("code").agg(F.min(lone).alias("pivot"), F.min("set_id").alias("x"), F.max("set_id").alias("y")).where("x <> y")
     entries = settled(entries.join(groups.select("code", "pivot"), "code"), "entries")
 
@@ -260,9 +265,9 @@ def similar_documents(docs: DataFrame, key: str = "doc_id", text: str = "text")
 
 
 def _possible(n: str, most: str, m: str, other: str):
-    """Sets of these sizes can be similar if they have no more in common than either allows."""
-    shared = F.least(most, other)
-    return 100 * shared >= SIMILAR * (F.col(n) + F.col(m) - shared)
+    """Sets of these sizes can be similar if they have no more in common than either allows, in a class of one of them."""
+    shared = F.least(F.abs(most), F.abs(other))
+    return (100 * shared >= SIMILAR * (F.col(n) + F.col(m) - shared)) & (F.greatest(most, other) > 0)
 
 
 def distinct_documents(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
