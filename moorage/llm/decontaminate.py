@@ -18,7 +18,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from moorage.llm.common import WordCodes, mix, raw_texts, run_starts, shingles
+from moorage.llm.common import WordCodes, mix, raw_texts, run_starts, shingles, tidy
 
 SHINGLE, SIMILARITY = 5, 0.8
 RADIUS = 12
@@ -218,6 +218,7 @@ def without_leaks(docs: DataFrame, benchmark: DataFrame, text: str = "text", **o
 
 
 def _clean(items: Items):
+    @tidy
     def run(arrays: Iterator[pa.Array]) -> Iterator[pa.Array]:
         for array in arrays:
             kept = np.ones(len(array), bool)

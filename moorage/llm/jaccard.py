@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from moorage.llm.common import WORDS, free_name, mix, raw_texts, run_starts, shingles
+from moorage.llm.common import WORDS, free_name, mix, raw_texts, run_starts, shingles, tidy
 from moorage.llm.components import components
 from moorage.session import settled
 
@@ -34,7 +34,7 @@ SIMILAR = 80
 # Documents in which a token may occur and still be rare.
 RARE = 16
 # Bits of each of the two maps of shared and of frequent tokens: their size is fixed, whatever the input.
-MAP_BITS = 27
+MAP_BITS = 26
 # Text whose tokens one task counts.
 RANGE_BYTES = 16 << 20
 
@@ -74,6 +74,7 @@ def shared_maps(texts: DataFrame) -> tuple[bytes, bytes]:
     bits = min(20, max(4, math.ceil(math.log2(total / RANGE_BYTES + 1))))
     low = np.uint64(64 - bits)
 
+    @tidy
     def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: set[int] = set()
         for batch in batches:
@@ -170,6 +171,7 @@ def indexed_sets(rows: DataFrame, maps: tuple[bytes, bytes]) -> DataFrame:
     kind = rows.schema["doc_id"].dataType.simpleString()
     sent = rows.sparkSession.sparkContext.broadcast(maps)
 
+    @tidy
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shared, frequent = (np.frombuffer(m, np.uint8) for m in sent.value)
         seen: set[int] = set()

@@ -14,7 +14,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from moorage.llm.common import WORDS, raw_texts, run_starts, shingles
+from moorage.llm.common import WORDS, raw_texts, run_starts, shingles, tidy
 
 SLOTS, BINS, RANK = 1 << 14, 8, 8
 # Labelled rows to learn from at most: those with the smallest hashes.
@@ -175,6 +175,7 @@ def fit(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "te
     chosen = usable.orderBy(F.xxhash64("key"), "key").limit(sample)
     own = docs.select(F.col(key).alias("key"), F.col(text).alias("text"))
 
+    @tidy
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             stats, slot, value, many = describe(raw_texts(batch.column("text")))
@@ -210,6 +211,7 @@ def fit(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "te
 def quality(machine: Machine, text: Column) -> Column:
     """The score of a text: how likely its label is 1. Null texts are empty."""
 
+    @tidy
     def run(arrays: Iterator[pa.Array]) -> Iterator[pa.Array]:
         for array in arrays:
             yield pa.array(machine.probability(raw_texts(array)))
