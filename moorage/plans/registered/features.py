@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from moorage.operators import geometry, registry, sampling
@@ -225,3 +226,58 @@ def crs_label(spark, t):
 def sample_limit(spark, t):
     rows = t.lineitem.select("l_returnflag", "l_orderkey", "l_linenumber", "l_partkey")
     return sampling.first_rows(rows, ["l_returnflag"], ["l_orderkey", "l_linenumber", "l_partkey"])
+
+
+_LOADED = {"passes": "1-URGENT", "fails": "2-HIGH", "broken": "3-MEDIUM", "first": "5-LOW"}
+
+
+@query(
+    "feature_load",
+    """
+    WITH o AS (SELECT o_orderpriority AS p, count(*) AS n, sum(o_totalprice) AS s, sum(round(o_totalprice * 1.02, 2)) AS more FROM orders GROUP BY 1)
+    SELECT 'passes' AS dataset_name, 'loaded' AS outcome, n, CAST(round(more) AS BIGINT) AS total,
+           '2025-01-01T00:00:00 no_baseline,2025-02-01T00:00:00 passed' AS audits FROM o WHERE p = '1-URGENT'
+    UNION ALL SELECT 'fails', 'failed', n, CAST(round(s) AS BIGINT), '2025-01-01T00:00:00 no_baseline,2025-02-01T00:00:00 failed' FROM o WHERE p = '2-HIGH'
+    UNION ALL SELECT 'broken', 'failed', n, CAST(round(s) AS BIGINT), '2025-01-01T00:00:00 no_baseline' FROM o WHERE p = '3-MEDIUM'
+    UNION ALL SELECT 'first', 'loaded', n, CAST(round(s) AS BIGINT), '2025-02-01T00:00:00 no_baseline' FROM o WHERE p = '5-LOW'
+    """,
+)
+def feature_load(spark, t):
+    """Two whole loads: a dataset within its tolerance, one beyond it, one with an error page, and a new one."""
+    from moorage.plans import feature_load as plan
+
+    root, size = workspace(spark, "feature_load"), 500
+    layer = F.create_map(*[F.lit(x) for name, p in _LOADED.items() for x in (p, name)])[F.col("o_orderpriority")]
+    place = F.row_number().over(Window.partitionBy("layer").orderBy("o_orderkey")) - 1
+    rows = t.orders.select(layer.alias("layer"), "o_orderkey", "o_totalprice").where("layer is not null")
+    rows = rows.withColumn("offset", F.floor(place / size) * size)
+
+    def landed(price):
+        properties = F.struct("o_orderkey", price.alias("Total"))
+        feature = F.struct(properties.alias("properties"), _point(F.col("o_orderkey"), F.lit(0.0)).alias("geometry"))
+        paged = rows.groupBy("layer", "offset").agg(F.to_json(F.struct(F.collect_list(feature).alias("features"))).alias("body"))
+        return paged.select(F.lit("j").alias("jurisdiction"), "layer", "offset", "body")
+
+    check = {"metrics": [{"parquet_column": "total", "aggregate": "sum", "api_field": "Total", "tolerance_percent": 5.0}]}
+    config = {"jurisdictions": {"j": {"datasets": [{"name": n, "layer_url": f"https://maps.example.org/{n}/query", "validation": check} for n in _LOADED]}}}
+    documents = spark.createDataFrame([], "service_url string, body string")
+    price = F.col("o_totalprice")
+    later = F.when(F.col("layer") == "passes", F.round(price * 1.02, 2)).when(F.col("layer") == "fails", price * 1.5).otherwise(price)
+    busy = spark.createDataFrame([("j", "broken", 1 << 40, '{"error": {"message": "busy"}}')], "jurisdiction string, layer string, offset bigint, body string")
+    loads = [
+        ("2025-01-01T00:00:00", landed(price).where("layer <> 'first'"), [n for n in _LOADED if n != "first"]),
+        ("2025-02-01T00:00:00", landed(later).unionByName(busy), None),
+    ]
+    for run_time, pages_of, only in loads:
+        options = plan.LoadOptions(root=root, year=2025, run_time=run_time, page_size=size, publish_geometry=False)
+        outcome = plan.run(spark, config, pages_of, documents, options, only=only)
+    told = spark.createDataFrame([(n.split("/")[1], o.split(":")[0]) for n, o in outcome.items()], "dataset_name string, outcome string")
+    audit = spark.read.schema("validation_timestamp string, status string, dataset_name string").parquet(f"{root}/j/{plan.AUDIT_TABLE}")
+    entry = F.concat_ws(" ", "validation_timestamp", "status")
+    audits = audit.groupBy("dataset_name").agg(F.array_join(F.sort_array(F.collect_list(entry)), ",").alias("audits"))
+    stored = None
+    for name in _LOADED:
+        one = spark.read.schema("o_orderkey bigint, total double").parquet(f"{root}/j/{name}")
+        one = one.agg(F.count(F.lit(1)).alias("n"), F.round(F.sum("total")).cast("bigint").alias("total")).withColumn("dataset_name", F.lit(name))
+        stored = one if stored is None else stored.unionByName(one)
+    return told.join(stored, "dataset_name").join(audits, "dataset_name")

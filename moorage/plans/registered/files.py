@@ -316,6 +316,49 @@ def partition_group_load(spark, t):
     return loaded.join(per_year, "year").select("o_orderkey", cents.alias("cents"), "year", "loads", "history_rows")
 
 
+@query(
+    "file_load_outcomes",
+    """
+    WITH o AS (SELECT year(o_orderdate) AS y, count(*) AS n FROM orders GROUP BY 1)
+    SELECT y AS year, CASE y WHEN 1997 THEN 'column ''total_price'' is double in the table but not in the file'
+             WHEN 1998 THEN 'loaded' WHEN 1999 THEN 'file is not landed' WHEN 2000 THEN 'several addresses have this file name' ELSE 'loaded' END AS outcome,
+           CASE WHEN y IN (1997, 1999, 2000) THEN NULL WHEN y = 1998 THEN 0 ELSE n END AS row_count,
+           CASE WHEN y IN (1997, 1998, 1999, 2000) THEN NULL WHEN y = 1995 THEN 0 ELSE n END AS prices FROM o
+    """,
+)
+def file_load_outcomes(spark, t):
+    """Files with an empty column, a conflicting one, only a header, no content on disk, and one name for two addresses."""
+    from moorage.operators import discovery, history
+    from moorage.plans import file_load
+
+    root, raw = workspace(spark, "load_outcomes"), workspace(spark, "outcome_files")
+    year, price = F.year("o_orderdate"), F.col("o_totalprice").cast("string")
+    price = F.when(year == 1995, F.lit(None)).when(year == 1997, F.lit("unknown")).otherwise(price)
+    rows = t.orders.select("o_orderkey", price.alias("Total Price"), year.alias("y"))
+    rows.where(~year.isin(1998, 1999)).hint("rebalance", "y").write.partitionBy("y").option("header", True).csv(f"{raw}/filled")
+    spark.createDataFrame([("o_orderkey,Total Price",)], "value string").coalesce(1).write.text(f"{raw}/headed/y=1998")
+    listed = files.listing(spark, raw, "part-*").select("path", F.regexp_extract("path", "/y=([0-9]{4})/", 1).alias("y"))
+    landed = workspace(spark, "outcomes_landed")
+    name = F.concat("y", F.lit("-"), F.substring(F.md5("path"), 1, 8), F.lit(".csv"))
+    named = listed.select("path", "y", name.alias("name"))
+    relayout.relayout(named.select("path", F.concat(F.lit(landed + "/"), "name").alias("target")), workspace(spark, "outcomes_log"))
+    sites = F.explode(F.when(F.col("y") == "2000", F.array(F.lit("north"), F.lit("south"))).otherwise(F.array(F.lit("north"))))
+    found = named.select("name", sites.alias("site")).select(F.concat(F.lit("https://files.example.org/"), "site", F.lit("/"), "name").alias("url"))
+    found = found.unionByName(spark.createDataFrame([("https://files.example.org/north/1999-gone.csv",)], "url string"))
+    fields = {"year": r"^\d{4}"}
+    todo = discovery.manifest(found, [], fields)
+    first = todo.where("url rlike '/(1996|2001)-'")
+    # The first load gives the table its types.
+    for part in (first, todo):
+        bad = file_load.run(spark, part, landed, root, "orders", "j", "csv", fields, "2025-01-01T00:00:00")
+    errors = bad.select(F.regexp_extract("path", "/([0-9]{4})-[^/]*$", 1).cast("bigint").alias("year"), F.col("error").alias("outcome")).distinct()
+    past = history.read_history(spark, f"{root}/j").groupBy(F.substring("filename", 1, 4).cast("bigint").alias("year"))
+    loaded = past.agg(F.sum("row_count").alias("row_count")).withColumn("outcome", F.lit("loaded"))
+    stored = spark.read.schema("o_orderkey bigint, total_price double, year string").parquet(f"{root}/j/orders")
+    prices = stored.groupBy(F.col("year").cast("bigint").alias("year")).agg(F.count("total_price").alias("prices"))
+    return loaded.unionByName(errors, allowMissingColumns=True).join(prices, "year", "left").select("year", "outcome", "row_count", "prices")
+
+
 _PATHS_SQL = """
   SELECT o_orderkey, y, m, CASE k WHEN 0 THEN 'sales/' || y || m || 'CSV.parquet' WHEN 1 THEN 'sales/' || y || '/part.parquet'
          WHEN 2 THEN y || '13CSV.parquet' WHEN 3 THEN y || m || '.parquet' ELSE 'a/' || y || '/' || y || m || ' x.parquet' END AS path
