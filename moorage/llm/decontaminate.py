@@ -9,7 +9,7 @@ within the radius agree in a whole block, so none is missed. Items found are the
 from __future__ import annotations
 
 import re
-from collections import defaultdict
+from collections import Counter, defaultdict
 from collections.abc import Iterator
 
 import numpy as np
@@ -19,6 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from moorage.llm.common import WordCodes, mix, raw_texts, run_starts, shingles, tidy
+from moorage.session import settled
 
 SHINGLE, SIMILARITY = 5, 0.8
 RADIUS = 12
@@ -57,10 +58,23 @@ def simhash(windows: np.ndarray, sizes: np.ndarray) -> np.ndarray:
     return np.packbits(bits.sum(1) > 0, axis=1).view(np.uint64).reshape(-1)
 
 
+class ItemBag(dict):
+    """How often an item has each shingle, and their weights, which do not depend on the block of items it is in."""
+
+    def __init__(self, bag: dict[int, int], shared: dict[int, int]):
+        super().__init__(bag)
+        # A shingle that many distinct texts share tells less; one that the item lacks weighs as the item's own on average.
+        self.weight = {code: 1.0 / max(shared.get(code, 1), 1) for code in bag}
+        self.words = sum(bag.values())
+        self.total = sum(many * self.weight[code] for code, many in bag.items())
+        self.other = self.total / self.words if self.words else 1.0
+
+
 class Items:
     """Benchmark items by shingle, and by the blocks of their fingerprints."""
 
-    def __init__(self, ids: list, raw: list[bytes], radius: int = RADIUS, similarity: float = SIMILARITY):
+    def __init__(self, ids: list, raw: list[bytes], radius: int = RADIUS, similarity: float = SIMILARITY, shared: dict[int, int] | None = None):
+        """``shared``: of how many distinct texts of the whole benchmark a shingle is, if of several; without it these are all items."""
         codes, counts = plain_codes(raw)
         keep = counts > 0
         starts = run_starts(counts)
@@ -70,15 +84,14 @@ class Items:
         self.sizes = np.array([len(w) for w in self.words], np.int64)
         own = [shingles(w, np.array([len(w)]))[0] for w in self.words]
         self.places: dict[int, list[tuple[int, int]]] = defaultdict(list)
-        holders: dict[int, set[int]] = defaultdict(set)
         for item, seen in enumerate(own):
             for place, code in enumerate(seen.tolist()):
                 self.places[code].append((item, place))
-                holders[code].add(item)
-        # A shingle that many items share tells less.
-        self.weight = {code: 1.0 / len(held) for code, held in holders.items()}
-        self.bags = [self.bag(seen) for seen in own]
-        self.known = np.array(sorted(holders), np.uint64)
+        if shared is None:
+            distinct = {w.tobytes(): seen for w, seen in zip(self.words, own)}
+            shared = Counter(code for seen in distinct.values() for code in set(seen.tolist()))
+        self.bags = [ItemBag(self.bag(seen), shared) for seen in own]
+        self.known = np.array(sorted(self.places), np.uint64)
         self.hint = np.zeros(1 << 20, bool)
         self.hint[self.known >> np.uint64(44)] = True
         longest = int(self.sizes.max()) if len(self.sizes) else 0
@@ -93,9 +106,9 @@ class Items:
             for item, value in enumerate(((self.prints >> shift) & mask).tolist()):
                 self.index[block, int(self.sizes[item]), value].append(item)
 
-    def bag(self, codes: np.ndarray) -> dict[int, float]:
+    def bag(self, codes: np.ndarray) -> dict[int, int]:
         values, many = np.unique(codes, return_counts=True)
-        return {v: m * self.weight.get(v, 1.0) for v, m in zip(values.tolist(), many.tolist())}
+        return dict(zip(values.tolist(), many.tolist()))
 
     def near(self, size: int, prints: np.ndarray) -> list[list[int]]:
         """For each fingerprint the items of ``size`` words within the radius."""
@@ -144,11 +157,21 @@ class Items:
         return _best(found)
 
 
-def similarity(a: dict[int, float], b: dict[int, float]) -> float:
-    """Weighted Jaccard of two bags."""
-    shared = sum(min(w, b[s]) for s, w in a.items() if s in b)
-    total = sum(a.values()) + sum(b.values()) - shared
-    return shared / total if total else 0.0
+def similarity(window: dict[int, int], item: ItemBag) -> float:
+    """The larger of the weighted and the plain Jaccard similarity of a window and an item."""
+    shared = heavy = own = 0
+    weight = 0.0
+    for code, many in window.items():
+        own += many
+        if code in item:
+            both = min(many, item[code])
+            shared += both
+            heavy += both * item.weight[code]
+            weight += many * item.weight[code]
+        else:
+            weight += many * item.other
+    total, weight = own + item.words - shared, weight + item.total - heavy
+    return max(shared / total, heavy / weight) if total else 0.0
 
 
 def _best(found: list[tuple]) -> list[tuple]:
@@ -169,9 +192,33 @@ def item_blocks(benchmark: DataFrame, key: str = "item_id", text: str = "text",
     rows = benchmark.select(F.col(key).alias("id"), F.col(text).alias("text")).where("text is not null")
     total = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     blocks = max(1, -(-total // most))
+    rows = rows.withColumn("block", F.pmod(F.xxhash64("text"), F.lit(blocks)))
+    held = settled(_shared(rows), "shared-shingles")
     for block in range(blocks):
-        own = rows.where(F.pmod(F.xxhash64("text"), F.lit(blocks)) == block).orderBy("id", "text").toArrow()
-        yield Items(own.column("id").to_pylist(), raw_texts(own.column("text")), **options)
+        own = rows.where(F.col("block") == block).orderBy("id", "text").toArrow()
+        many = held.where(F.col("block") == block).toArrow()
+        codes = many.column("code").to_numpy().astype(np.int64).view(np.uint64).tolist()
+        shared = dict(zip(codes, many.column("texts").to_pylist()))
+        yield Items(own.column("id").to_pylist(), raw_texts(own.column("text")), shared=shared, **options)
+
+
+def _shared(rows: DataFrame) -> DataFrame:
+    """block, code, texts: the shingles of each block of items that several distinct texts of all blocks have, and how many."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            codes, counts = plain_codes(raw_texts(batch.column("text")))
+            seen, many = shingles(codes, counts)
+            starts = run_starts(counts)
+            names = [xxhash.xxh3_128_digest(codes[a:b].tobytes()) for a, b in zip(starts, starts[1:])]
+            item = np.repeat(np.arange(len(counts)), many)
+            columns = [batch.column("block").take(pa.array(item)), pa.array(names, pa.binary()).take(pa.array(item)), pa.array(seen.view(np.int64))]
+            yield pa.RecordBatch.from_arrays(columns, names=["block", "name", "code"])
+
+    own = rows.select("block", "text").mapInArrow(run, "block long, name binary, code long")
+    own = own.groupBy("code", "name").agg(F.collect_set("block").alias("blocks"))
+    own = own.groupBy("code").agg(F.count(F.lit(1)).alias("texts"), F.array_distinct(F.flatten(F.collect_set("blocks"))).alias("blocks"))
+    return own.where("texts > 1").select(F.explode("blocks").alias("block"), "code", "texts")
 
 
 def find_leaks(docs: DataFrame, benchmark: DataFrame, key: str = "doc_id", text: str = "text", item_key: str = "item_id", **options) -> DataFrame:

@@ -95,3 +95,43 @@ def test_planted_table(spark):
     want = {(r.doc_id, i) for r in docs.collect() for i, t in items.items() if t in " " + " ".join(plain(r.text)) + " "}
     assert want and want <= found
     assert raw_texts(pa.array(["é", None])) == ["é".encode(), b""]
+
+
+def changed_words(spark, sf="sf0.001"):
+    """Items of the given table with one word changed whose plain similarity is 0.8 or more: (item, text)."""
+    bench = [(r.item_id, r.text) for r in spark.read.parquet(f"/root/testdata/{sf}/benchmark.parquet").collect()]
+    own = d.Items([i for i, _ in bench], [t.encode() for _, t in bench])
+    out = []
+    for k, (item, text) in enumerate(zip(own.ids, own.words)):
+        raw = [w for w in bench[k][1].split() if d._MARKS.sub("", w)]
+        for at in range(0, len(raw), 3):
+            new = " ".join([*raw[:at], f"changed{at}", *raw[at + 1 :]])
+            codes, _ = d.plain_codes([new.encode()])
+            a, b = (set(shingles(w, np.array([len(w)]))[0].tolist()) for w in (codes, text))
+            if len(a & b) >= 0.8 * len(a | b):
+                out.append((k, new))
+    return bench, out
+
+
+@pytest.mark.parametrize("times", [1, 2, 5])
+def test_repeated_items_lose_no_near_copies(spark, times):
+    prepare(spark)
+    bench, texts = changed_words(spark)
+    items = d.Items(list(range(times * len(bench))), [t.encode() for _, t in bench] * times)
+    found = {(t, i % len(bench)) for t, i, *_ in items.leaks([t.encode() for _, t in texts])}
+    assert texts and {(n, k) for n, (k, _) in enumerate(texts)} <= found
+
+
+def test_template_and_blocks_do_not_change_similarity(spark):
+    prepare(spark)
+    words = lambda name, n: " ".join(f"{name}{k}" for k in range(n))
+    template = words("t", 30)
+    bench = spark.createDataFrame([(i, f"{template} {words(f'i{i}x', 12)}") for i in range(20)] + [(20, f"{template} {words('i0x', 12)}")], "item_id long, text string")
+    texts = [(0, f"{template} {words('i0x', 12)}".replace("t15 ", "other ")), (1, f"{template} {words('i3x', 11)} end"), (2, words("z", 60))]
+    docs = spark.createDataFrame(texts, "doc_id long, text string")
+    found = sorted(tuple(r) for r in d.find_leaks(docs, bench).collect())
+    assert found == sorted(tuple(r) for r in d.find_leaks(docs, bench, most=2000).collect())
+    assert {(0, 0), (0, 20), (1, 3)} <= {r[:2] for r in found} and all(r[0] != 2 for r in found)
+    weights = {c: w for i in d.item_blocks(bench) for b in i.bags for c, w in b.weight.items()}
+    assert weights == {c: w for i in d.item_blocks(bench, most=2000) for b in i.bags for c, w in b.weight.items()}
+    assert min(weights.values()) == 1 / 20
