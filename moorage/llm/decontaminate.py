@@ -1,9 +1,10 @@
 """Benchmark decontamination: SimHash windows of the items' sizes, a multi-index over Hamming blocks, exact checks.
 
 A window lies where a document shares a shingle with an item, placed as that item would lie there; elsewhere no window
-can be similar, because it has no shingle of any item. Each window has the word count of the item. Its 64-bit SimHash is
+can be similar, because it has no shingle of any item. Each window has the word count of the item. It is compared exactly
+with the items that placed it, whatever their distance. For other items of its size its 64-bit SimHash is
 looked up in tables over blocks of the items' fingerprints: with one block more than the radius, fingerprints
-within the radius agree in a whole block, so none is missed. Items found are then compared exactly.
+within the radius agree in a whole block, so none of those is missed. They are then compared exactly too.
 """
 
 from __future__ import annotations
@@ -22,7 +23,8 @@ from moorage.llm.common import WordCodes, mix, raw_texts, run_starts, shingles,
 from moorage.session import settled
 
 SHINGLE, SIMILARITY = 5, 0.8
-RADIUS = 12
+# At a similarity of 0.8, up to a ninth of the words differ, and bits whose words nearly balance flip: about 20 of 64.
+RADIUS = 20
 # Text of items held by one pass over the documents; more items take more passes.
 ITEM_BYTES = 16 << 20
 
@@ -94,6 +96,10 @@ class Items:
         self.known = np.array(sorted(self.places), np.uint64)
         self.hint = np.zeros(1 << 20, bool)
         self.hint[self.known >> np.uint64(44)] = True
+        # Items of fewer words than a shingle are shingles of their own size.
+        self.short: dict[int, np.ndarray] = {}
+        for size in sorted({int(n) for n in self.sizes if n < SHINGLE}):
+            self.short[size] = np.unique(np.concatenate([seen for seen, n in zip(own, self.sizes) if n == size]))
         longest = int(self.sizes.max()) if len(self.sizes) else 0
         table = np.zeros((len(own), longest), np.uint64)
         for row, words in zip(table, self.words):
@@ -119,38 +125,48 @@ class Items:
             found.append([i for i in sorted(met) if int(own ^ self.prints[i]).bit_count() <= self.radius])
         return found
 
+    def _place_short(self, size: int, known: np.ndarray, codes: np.ndarray, counts: np.ndarray, windows: dict) -> None:
+        """Windows of the items of ``size`` words, fewer than a shingle has, in texts that have whole shingles."""
+        seen, many = shingles(codes, counts, size)
+        at = np.flatnonzero(np.isin(seen, known))
+        ends = np.cumsum(many)
+        text = np.searchsorted(ends, at, "right")
+        for t, p, code in zip(text.tolist(), (at - (ends - many)[text]).tolist(), seen[at].tolist()):
+            if counts[t] >= SHINGLE:
+                windows[t, p, p + size].update(item for item, _ in self.places[code] if self.sizes[item] == size)
+
     def leaks(self, raw: list[bytes]) -> list[tuple[int, int, int, int, int, float]]:
         """(text, item, first word, words, distance, similarity) of the best window at each place of a leak."""
         codes, counts = plain_codes(raw)
         seen, many = shingles(codes, counts)
         at = np.flatnonzero(self.hint[seen >> np.uint64(44)])
         at = at[np.isin(seen[at], self.known)]
-        if not len(at):
+        if not len(at) and not self.short:
             return []
         ends, starts = np.cumsum(many), run_starts(counts)
         text = np.searchsorted(ends, at, "right")
         place = at - (ends - many)[text]
-        # Windows by size; a window is cut at the ends of its text.
-        windows: dict[int, set[tuple[int, int, int]]] = defaultdict(set)
+        # Windows by size, with the items that placed them; a window is cut at the ends of its text.
+        windows: dict[int, dict[tuple[int, int, int], set[int]]] = defaultdict(lambda: defaultdict(set))
         for t, p, code in zip(text.tolist(), place.tolist(), seen[at].tolist()):
             n = int(counts[t])
             for item, q in self.places[code]:
                 size = int(self.sizes[item])
                 a, b = max(0, p - q), min(n, p - q + size)
-                windows[size].add((t, a, b))
+                windows[size][t, a, b].add(item)
+        for size, known in self.short.items():
+            self._place_short(size, known, codes, counts, windows[size])
         found = []
         for size, own in windows.items():
-            rows = np.array(sorted(own))
-            for part in np.array_split(rows, -(-len(rows) // 1024)):
+            rows = np.array(sorted(own), np.int64).reshape(-1, 3)
+            for part in np.array_split(rows, max(1, -(-len(rows) // 1024))):
                 first, long = starts[part[:, 0]] + part[:, 1], part[:, 2] - part[:, 1]
                 words = codes[np.minimum(first[:, None] + np.arange(size), len(codes) - 1)]
                 prints = simhash(words, long)
                 for (t, a, b), own_print, met in zip(part.tolist(), prints, self.near(size, prints)):
-                    if not met:
-                        continue
                     w = codes[starts[t] + a : starts[t] + b]
                     bag = self.bag(shingles(w, np.array([len(w)]))[0])
-                    for item in met:
+                    for item in own[t, a, b].union(met):
                         alike = similarity(bag, self.bags[item])
                         if alike >= self.similarity:
                             found.append((t, item, a, b - a, int(own_print ^ self.prints[item]).bit_count(), alike))
@@ -225,7 +241,7 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, key: str = "doc_id", text:
     """doc_id, item_id, start_word, n_words, distance, similarity of every place where a document repeats an item.
 
     Null and empty texts have no words and no leaks, nor do items without words. A text of fewer than five words is one
-    shingle, so it is similar to an item of the same words only. Repeated rows are reported row by row, items with equal
+    shingle, so it is similar to an item of the same words only; longer texts are searched for items of any size. Repeated rows are reported row by row, items with equal
     texts each. Empty tables give no rows.
     """
     own = docs.select(F.col(key).alias("doc_id"), F.col(text).alias("text"))

@@ -135,3 +135,25 @@ def test_template_and_blocks_do_not_change_similarity(spark):
     weights = {c: w for i in d.item_blocks(bench) for b in i.bags for c, w in b.weight.items()}
     assert weights == {c: w for i in d.item_blocks(bench, most=2000) for b in i.bags for c, w in b.weight.items()}
     assert min(weights.values()) == 1 / 20
+
+
+def test_cut_and_end_edited_passages_are_found():
+    draw = random.Random(5)
+    words = [[f"w{draw.randrange(10_000)}" for _ in range(draw.randint(20, 60))] for _ in range(150)]
+    items = d.Items(list(range(150)), [" ".join(w).encode() for w in words])
+    texts = []
+    for k, own in enumerate(words):
+        for cut in range(1, len(own) // 6):
+            for new in (own[cut:], own[:-cut], [*own[:-cut], *(f"new{i}" for i in range(cut))]):
+                codes, count = d.plain_codes([" ".join(new).encode()])
+                if d.similarity(items.bag(shingles(codes, count)[0]), items.bags[k]) >= 0.8:
+                    texts.append((k, " ".join(new)))
+    found = {(t, i): distance for t, i, _, _, distance, _ in items.leaks([t.encode() for _, t in texts])}
+    assert all((n, k) in found for n, (k, _) in enumerate(texts))
+    assert any(found[n, k] > 12 for n, (k, _) in enumerate(texts))
+
+
+def test_short_items_are_found_inside_longer_texts():
+    items = d.Items([0, 1, 2], [b"one", b"Two words", b"these four words here"])
+    found = items.leaks([b"a b c, two WORDS d e two words", b"x these four words here y", b"and one more of these four words", b"no such passage in here at all"])
+    assert [f[:4] for f in found] == [(0, 1, 3, 2), (0, 1, 7, 2), (1, 2, 1, 4), (2, 0, 1, 1)]
