@@ -23,20 +23,20 @@ WORD_LIMIT = 600_000
 _ODD_SEPARATOR = re.compile("[\x1c-\x1f]")
 
 
-def _place(name: str) -> str:
+def place(name: str) -> str:
     return name if os.path.isabs(name) else public_tokenizers.path(name)
 
 
 def load(name: str) -> Tokenizer:
     os.environ["TOKENIZERS_PARALLELISM"] = "false"
-    return Tokenizer.from_file(_place(name))
+    return Tokenizer.from_file(place(name))
 
 
 def ranked(name: str) -> tiktoken.Encoding | None:
     """The encoder of a rank file, None where there is no such file."""
-    if not os.path.exists(_place(name)):
+    if not os.path.exists(place(name)):
         return None
-    with open(_place(name), "rb") as lines:
+    with open(place(name), "rb") as lines:
         ranks = {base64.b64decode(token): int(rank) for token, rank in map(bytes.split, lines)}
     return tiktoken.Encoding(name, pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
 
