@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from moorage.llm import bytebpe, chat, counts, decontaminate, fingerprints, jaccard, order, packing, quality, shards, webtext
+from moorage.llm import bytebpe, chat, counts, decontaminate, fingerprints, jaccard, order, packing, periodic, quality, shards, webtext
 from moorage.llm.common import prepare
 from moorage.session import workspace
 
@@ -92,3 +92,8 @@ def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 @_query
 def op12_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bytebpe.round_trip(_table(spark, sf_dir, "documents"))
+
+
+@_query
+def op13_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return periodic.run_digest(periodic.periodic_runs(periodic.with_repeated_tail(_table(spark, sf_dir, "documents"))))
