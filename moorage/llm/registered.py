@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from moorage.llm import bytebpe, chat, counts, decontaminate, fingerprints, jaccard, order, packing, periodic, quality, shards, webtext
+from moorage.llm import bytebpe, chat, counts, decontaminate, fingerprints, jaccard, order, packing, periodic, quality, shards, spelling, webtext
 from moorage.llm.common import prepare
 from moorage.session import workspace
 
@@ -89,6 +89,14 @@ def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@_query
+def op11_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.spelling_groups(spelling.words_with_slips(_table(spark, sf_dir, "documents")))
+
+
+ORACLES["op11_spelling"] = spelling.SQL
+
+
 @_query
 def op12_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bytebpe.round_trip(_table(spark, sf_dir, "documents"))
