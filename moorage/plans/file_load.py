@@ -43,7 +43,7 @@ def parse_delimited(spark: SparkSession, paths: list[str], separator: str, store
     ``stored`` has the types of the target table.
     """
     groups, masks = [], {}
-    scans = delimited.file_groups(delimited.profile(spark, [delimited.literal_path(p) for p in paths]))
+    scans = delimited.file_groups(delimited.profile(spark, [delimited.literal_path(p) for p in paths], separator))
     seen = {_local(p) for group in scans for p in group.paths}
     for group in scans:
         rows = delimited.read_group(spark, group, separator, overflow=True)

@@ -33,14 +33,19 @@ def _source(path):
 @query(
     "delimited_scan",
     """SELECT source, CAST(c_custkey AS VARCHAR) AS c_custkey, c_name || ' é "q"' AS c_name, CAST(round(c_acctbal * 100) AS BIGINT) AS cents,
-              'one, line' AS note
-       FROM customer, (VALUES ('csv_utf8'), ('csv_latin1'), ('tsv_utf8')) AS v(source)""",
+              CASE source WHEN 'csv_lines' THEN 'one' || chr(10) || '5" line, ' || chr(10) || c_mktsegment ELSE 'one, line' END AS note
+       FROM customer, (VALUES ('csv_utf8'), ('csv_latin1'), ('tsv_utf8'), ('csv_lines')) AS v(source)""",
 )
 def delimited_scan(spark, t):
     root = workspace(spark, "delimited_scan")
     _text_files(t, root)
+    # Header and values with line breaks inside quotes.
+    lines = F.concat(F.lit('one\n5" line, \n'), "c_mktsegment")
+    spread = t.customer.select("c_custkey", F.concat("c_name", F.lit(' é "q"')).alias("c_name"), "c_acctbal", lines.alias("no\nte"))
+    spread.write.option("header", True).option("escape", '"').csv(f"{root}/csv_lines")
     comma = delimited.read_delimited(spark, [f"{root}/csv_utf8", f"{root}/csv_latin1"], ",")
     rows = comma.unionByName(delimited.read_delimited(spark, f"{root}/tsv_utf8", "\t"))
+    rows = rows.unionByName(delimited.read_delimited(spark, f"{root}/csv_lines", ",").withColumnRenamed("no\nte", "note"))
     cents = F.round(F.col("c_acctbal").cast("double") * 100).cast("bigint")
     return rows.select(_source(F.col("source_file")).alias("source"), "c_custkey", "c_name", cents.alias("cents"), "note")
 

@@ -92,7 +92,7 @@ def _names(rows: DataFrame, column: str = "path") -> list[str]:
 
 
 def _delimited(spark: SparkSession, paths: list[str], separator: str) -> Iterator[_Batch | tuple[str, str]]:
-    for group in delimited.file_groups(delimited.profile(spark, paths)):
+    for group in delimited.file_groups(delimited.profile(spark, paths, separator)):
         raw = delimited.read_group(spark, group, separator, overflow=True)
         columns = [c for c in raw.columns if c not in (delimited.OVERFLOW, "source_file")]
         overlong = F.col(delimited.OVERFLOW).isNotNull() if delimited.OVERFLOW in raw.columns else F.lit(False)

@@ -3,18 +3,19 @@
 from __future__ import annotations
 
 import csv
-import re
+import io
 from collections.abc import Iterator
 from dataclasses import dataclass
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from moorage.functions.names import header_names, scanned_file
 from moorage.session import settled
-from moorage.sources.files import filesystem, listing
+from moorage.sources import records
+from moorage.sources.files import listing
 
 UTF8, LATIN1 = "UTF-8", "ISO-8859-1"
 OVERFLOW = "_overflow"
@@ -32,38 +33,41 @@ class FileGroup:
     paths: tuple[str, ...]
 
 
-def _first_lines(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        for path in batch.column("path").to_pylist():
-            fs, name = filesystem(path)
-            line, rest = b"", b""
-            with fs.open_input_stream(name, compression="detect") as source:
-                while not line:
-                    chunk = source.read(1 << 16)
-                    *lines, rest = re.split(rb"[\r\n]+", rest + chunk)
-                    if not chunk:
-                        lines.append(rest)
-                    line = next((x for x in lines if x.strip()), b"")
-                    if not chunk:
-                        break
-            yield pa.RecordBatch.from_pydict({"path": [path], "header": pa.array([line or None], pa.binary())})
+def _headers(separator: bytes):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            paths = batch.column("path").to_pylist()
+            found = [records.first_record(path, separator) for path in paths]
+            yield pa.RecordBatch.from_pydict({"path": pa.array(paths, pa.string()), "header": pa.array(found, pa.binary())})
 
+    return run
 
-def profile(spark: SparkSession, paths: str | list[str]) -> DataFrame:
-    """Per file: header line, encoding, whether quoted fields span lines, number of lines.
+
+def _well_quoted(line: Column, separator: str) -> Column:
+    """Whether each quote of a line opens or closes a field of that line, or stands for itself inside one."""
+    parts = F.split(line, '"')
+    last = F.size(parts) - 1
+    begins, ends = lambda x: F.startswith(x, F.lit(separator)), lambda x: F.endswith(x, F.lit(separator))
+    outer = lambda x, i: F.when(i % 2 == 1, True).otherwise((x == "") | ((i == 0) | begins(x)) & ((i == last) | ends(x)))
+    return (last % 2 == 0) & F.forall(F.transform(parts, outer), lambda good: good)
+
+
+def profile(spark: SparkSession, paths: str | list[str], separator: str = ",") -> DataFrame:
+    """Per file: header record, encoding, whether it is to be read by records, number of lines.
 
     The text scan is split like any other and folded per file by a hash aggregate of flags and counts,
     so neither a huge file nor a huge number of files meets one task. Headers are read apart, from the
     first bytes of each file; carried through the aggregate they would turn it into a sort of all lines.
+    In a file whose lines are all well quoted, every line is a record; any other is ``multi_line``.
     """
     lines = spark.read.option("recursiveFileLookup", True).text(paths).select("value", scanned_file().alias("path"))
-    quotes = F.length("value") - F.length(F.replace("value", F.lit('"'), F.lit("")))
+    odd = F.contains("value", F.lit('"')) & ~_well_quoted(F.col("value"), separator)
     facts = lines.groupBy("path").agg(
         F.bool_and(F.is_valid_utf8("value")).alias("valid"),
-        F.bool_or(quotes % 2 == 1).alias("multi_line"),
+        F.bool_or(odd).alias("multi_line"),
         F.count(F.lit(1)).alias("lines"),
     )
-    headers = listing(spark, paths).select("path").mapInArrow(_first_lines, "path string, header binary")
+    headers = listing(spark, paths).select("path").mapInArrow(_headers(separator.encode()), "path string, header binary")
     encoding = F.when(F.col("valid"), UTF8).otherwise(LATIN1)
     text = F.when(F.col("valid"), F.col("header").cast("string")).otherwise(F.decode("header", LATIN1))
     return facts.join(headers, "path").select(
@@ -89,23 +93,24 @@ def file_groups(profiled: DataFrame) -> list[FileGroup]:
 def read_group(spark: SparkSession, group: FileGroup, separator: str, overflow: bool = False) -> DataFrame:
     """All columns as text plus ``source_file``; blank lines are skipped, short rows padded with nulls.
 
-    With ``overflow`` one more column shows what a row has beyond its header.
+    With ``overflow`` one more column shows what a row has beyond its header. Files whose records span lines are
+    cut into ranges like the others.
     """
-    reader = (
-        spark.read.option("header", True)
-        .option("sep", separator)
-        .option("quote", '"')
-        .option("escape", '"')
-        .option("encoding", group.encoding)
-        .option("multiLine", group.multi_line)
-        .option("mode", "PERMISSIVE")
-    )
-    cells = next(csv.reader([group.header.lstrip("﻿")], delimiter=separator), [])
-    if group.header.count('"') % 2 == 0:
-        names = header_names(cells)
-        names += [OVERFLOW] if overflow else []
-        reader = reader.schema(T.StructType([T.StructField(n, T.StringType()) for n in names]))
-    return reader.csv([literal_path(p) for p in group.paths]).withColumn("source_file", scanned_file())
+    cells = next(csv.reader(io.StringIO(group.header.lstrip("\ufeff"), newline=""), delimiter=separator), [])
+    names = header_names(cells) + ([OVERFLOW] if overflow else [])
+    schema = T.StructType([T.StructField(n, T.StringType()) for n in names])
+    options = {"sep": separator, "quote": '"', "escape": '"', "mode": "PERMISSIVE"}
+    if not group.multi_line:
+        reader = spark.read.options(**options).option("header", True).option("encoding", group.encoding).schema(schema)
+        return reader.csv([literal_path(p) for p in group.paths]).withColumn("source_file", scanned_file())
+    found = records.records(records.range_states(spark, list(group.paths), separator), separator, group.encoding)
+    # ``multiLine`` keeps line ends inside quotes as they are.
+    parsed = F.from_csv("record", quoted_ddl(schema), {**options, "multiLine": "true"})
+    return found.select(parsed.alias("_row"), "source_file").select("_row.*", "source_file")
+
+
+def quoted_ddl(schema: T.StructType) -> str:
+    return ", ".join("`" + f.name.replace("`", "``") + "` string" for f in schema)
 
 
 def literal_path(path: str) -> str:
@@ -115,7 +120,7 @@ def literal_path(path: str) -> str:
 
 def read_delimited(spark: SparkSession, paths: str | list[str], separator: str = ",") -> DataFrame:
     """Every file under ``paths``; frames of different headers are matched by name."""
-    frames = [read_group(spark, g, separator) for g in file_groups(profile(spark, paths))]
+    frames = [read_group(spark, g, separator) for g in file_groups(profile(spark, paths, separator))]
     if not frames:
         raise ValueError(f"no delimited data below {paths}")
     merged = frames[0]
