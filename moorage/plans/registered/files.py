@@ -59,7 +59,8 @@ def delimited_scan(spark, t):
 def encoding_choice(spark, t):
     root = workspace(spark, "encoding_choice")
     _text_files(t, root)
-    seen = delimited.profile(spark, root)
+    commas = delimited.profile(spark, [f"{root}/csv_utf8", f"{root}/csv_latin1"])
+    seen = commas.unionByName(delimited.profile(spark, f"{root}/tsv_utf8", "\t"))
     return seen.groupBy(_source(F.col("path")).alias("source"), "encoding", "multi_line").agg(
         F.sum(F.col("lines") - 1).alias("n_rows")
     )
