@@ -58,7 +58,7 @@ def _first_numbers(numbered: DataFrame, length: int, tokenizer: str) -> dict[int
         ids = shared(ByteIds, tokenizer)
         part, many = None, 0
         for batch in batches:
-            many += sum((len(i) // 4 + length) // length for i in ids.encode(texts(batch.column("text"))))
+            many += sum((n + length) // length for n in ids.lengths(texts(batch.column("text"))))
             part = batch.column("part")[0].as_py() if len(batch) else part
         if many:
             yield pa.RecordBatch.from_arrays([pa.array([part], pa.int32()), pa.array([many], pa.int64())], names=["part", "many"])
@@ -84,7 +84,7 @@ def training_order(
 
     A record is the count of its tokens and ``length`` ids, all little-endian unsigned 16-bit; the end id fills up. Null
     texts are empty and make one sequence of an end id. Equal rows and ids are numbered row by row; an empty table
-    writes nothing. Numbers follow the scan: both passes read the same partitions, which is checked, so ``docs`` must
+    writes nothing. An id beyond 16 bits raises. Numbers follow the scan: both passes read the same partitions, which is checked, so ``docs`` must
     be a deterministic frame, such as files. A repeated task replaces its file by an equal one.
     """
     numbered = _numbered(docs, key, text)
@@ -102,18 +102,20 @@ def training_order(
             if number is None:
                 number, many = firsts[batch.column("part")[0].as_py()]
                 stop = number + many
-            whole = [np.frombuffer(i + end, "<u4") for i in ids.encode(texts(batch.column("text")))]
-            many = np.array([-(-len(w) // length) for w in whole], np.int64)
+            whole = ids.encode(texts(batch.column("text")))
+            sizes = np.fromiter(map(len, whole), np.int64, len(whole)) // 4 + 1
+            many = -(-sizes // length)
             doc = np.repeat(np.arange(len(whole)), many)
-            piece = np.arange(len(doc)) - np.repeat(np.cumsum(many) - many, many)
+            first = np.cumsum(many) - many
+            piece = np.arange(len(doc)) - np.repeat(first, many)
+            tokens = np.frombuffer(end.join([*whole, b""]), "<u4")
+            if len(tokens) and tokens.max() > 0xFFFF:
+                raise ValueError("an id of the vocabulary does not fit 16 bits")
+            # Every id has its place in the records of its text, so that one scatter fills the table.
+            place = np.arange(len(tokens)) + np.repeat(first * length - (np.cumsum(sizes) - sizes), sizes)
             table = np.full((len(doc), length + 1), END, "<u2")
-            row = 0
-            for own, rows in zip(whole, many.tolist()):
-                for k in range(rows):
-                    part = own[k * length : (k + 1) * length]
-                    table[row, 0] = len(part)
-                    table[row, 1 : 1 + len(part)] = part
-                    row += 1
+            table[:, 0] = np.minimum(length, sizes[doc] - piece * length)
+            table[place // length, place % length + 1] = tokens
             slots = feistel(np.arange(number, number + len(doc)), n, seed)
             number += len(doc)
             data, stride = table.tobytes(), 2 * (length + 1)

@@ -65,6 +65,13 @@ class ByteIds:
             for text in texts
         ]
 
+    def lengths(self, texts: list[str]) -> list[int]:
+        """How many ids each text has, without making them arrays."""
+        if self.ranked is None:
+            return [len(e) for e in self.tokenizer.encode_batch(texts, add_special_tokens=False)]
+        plain = self.ranked.encode_ordinary
+        return [len(self._whole(text)) // 4 if any(s in text for s in self.special) else len(plain(text)) for text in texts]
+
 
 class WordCounts:
     """Token counts of a BPE vocabulary that drops white space."""
