@@ -4,20 +4,30 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from moorage.functions import urls
+from moorage.operators.positions import with_position
 from moorage.sources import html
 
 MIN_YEAR = 2010
 MAX_MISSES = 3
 
 
+def _newest() -> tuple[Column, str]:
+    return F.map_values("partition_values").desc(), "url"
+
+
 def newest_first(files: DataFrame) -> DataFrame:
     """Latest partition values first; the address settles ties, so equal values spread over tasks."""
-    return files.orderBy(F.map_values("partition_values").desc(), "url")
+    return files.orderBy(*_newest())
+
+
+def newest_positions(files: DataFrame) -> DataFrame:
+    """The same order as a column ``position``, which outlives joins and writes."""
+    return with_position(files, *_newest())
 
 
 def from_links(

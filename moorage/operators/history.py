@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from moorage.operators.positions import with_position
 from moorage.sources import files
 
 RECORD = (
@@ -52,6 +53,11 @@ def newest_first(history: DataFrame) -> DataFrame:
     return history.orderBy(F.desc("loaded_at"), "source_url")
 
 
+def newest_positions(history: DataFrame) -> DataFrame:
+    """The same order as a column ``position``."""
+    return with_position(history, F.desc("loaded_at"), "source_url")
+
+
 def unloaded(discovered: DataFrame, history: DataFrame, force: bool = False, match_hash: bool = False) -> DataFrame:
     """Discovered files that are not in the history; repeats among them stay.
 

@@ -239,7 +239,7 @@ _LOADED = {"passes": "1-URGENT", "fails": "2-HIGH", "broken": "3-MEDIUM", "first
            '2025-01-01T00:00:00 no_baseline,2025-02-01T00:00:00 passed' AS audits FROM o WHERE p = '1-URGENT'
     UNION ALL SELECT 'fails', 'failed', n, CAST(round(s) AS BIGINT), '2025-01-01T00:00:00 no_baseline,2025-02-01T00:00:00 failed' FROM o WHERE p = '2-HIGH'
     UNION ALL SELECT 'broken', 'failed', n, CAST(round(s) AS BIGINT), '2025-01-01T00:00:00 no_baseline' FROM o WHERE p = '3-MEDIUM'
-    UNION ALL SELECT 'first', 'loaded', n, CAST(round(s) AS BIGINT), '2025-02-01T00:00:00 no_baseline' FROM o WHERE p = '5-LOW'
+    UNION ALL SELECT 'first', 'loaded', CAST(sum(n) AS BIGINT), CAST(round(sum(s)) AS BIGINT), '2025-02-01T00:00:00 no_baseline' FROM o WHERE p >= '4'
     """,
 )
 def feature_load(spark, t):
@@ -247,9 +247,10 @@ def feature_load(spark, t):
     from moorage.plans import feature_load as plan
 
     root, size = workspace(spark, "feature_load"), 500
-    layer = F.create_map(*[F.lit(x) for name, p in _LOADED.items() for x in (p, name)])[F.col("o_orderpriority")]
+    named = F.create_map(*[F.lit(x) for name, p in _LOADED.items() for x in (p, name)])
+    layer = F.when(F.col("o_orderpriority") >= "4", F.lit("first")).otherwise(named[F.col("o_orderpriority")])
     place = F.row_number().over(Window.partitionBy("layer").orderBy("o_orderkey")) - 1
-    rows = t.orders.select(layer.alias("layer"), "o_orderkey", "o_totalprice").where("layer is not null")
+    rows = t.orders.select(layer.alias("layer"), "o_orderkey", "o_totalprice")
     rows = rows.withColumn("offset", F.floor(place / size) * size)
 
     def landed(price):

@@ -186,11 +186,18 @@ def normalized_parquet_scan(spark, t):
     return parquet.read_normalized(spark, root)
 
 
-@query("file_listing", "SELECT DISTINCT 'year=' || year(o_orderdate) AS folder, 'parquet' AS extension, true AS has_bytes FROM orders")
+@query(
+    "file_listing",
+    """SELECT DISTINCT 'year=' || year(o_orderdate) AS folder, 'parquet' AS extension, true AS has_bytes FROM orders
+       UNION SELECT 'empty', 'parquet', false FROM orders WHERE year(o_orderdate) = 1999""",
+)
 def file_listing(spark, t):
     root = workspace(spark, "file_listing")
     tables.snapshot(_by_year(t), root)
-    listed = files.listing(spark, root, "*.parquet")
+    # A text without bytes under a name that is looked for: an upload that broke off at its start.
+    broken = t.orders.where("year(o_orderdate) = 1999").select(F.lit(f"{root}/empty/a/b/broken.parquet").alias("path")).distinct()
+    files.create_empty(broken)
+    listed = files.every_file(spark, root, "*.parquet")
     return listed.select(
         F.split(below(F.col("path"), root), "/")[0].alias("folder"),
         F.element_at(F.split("path", r"\."), -1).alias("extension"), (F.col("length") > 0).alias("has_bytes"),

@@ -44,16 +44,15 @@ def discover_files(spark, t):
 
 @query(
     "discover_newest",
-    f"""SELECT url, part FROM (
+    f"""SELECT url, part, row_number() OVER (ORDER BY part DESC, url) - 1 AS position FROM (
           SELECT {_BASE_SQL} || href AS url, nullif(regexp_extract(split_part(href, '/', -1), '[a-m]+', 0), '') AS part, page_id
           FROM ({_LINKS_SQL}) WHERE regexp_matches(href, '(?i)(the|tion)'))
-        WHERE part IS NOT NULL GROUP BY url, part, page_id ORDER BY part DESC, url LIMIT 10""",
+        WHERE part IS NOT NULL GROUP BY url, part, page_id""",
 )
 def discover_newest(spark, t):
-    # The limit shows the order.
     pages = t.pages.select("page_id", F.col("url").alias("base_url"), "html")
     found = discovery.from_pages(pages, ["page_id"], ["the", "tion"], {"part": "[a-m]+"})
-    return discovery.newest_first(found).limit(10).select("url", F.col("partition_values")["part"].alias("part"))
+    return discovery.newest_positions(found).select("url", F.col("partition_values")["part"].alias("part"), "position")
 
 
 _TEMPLATES = ["{year}taxroll.xlsx", "TaxRoll{year}.xlsx"]
@@ -112,9 +111,9 @@ def files_by_partition(spark, t):
     )
 
 
-def _history(t):
-    """Every page fetched over plain http is in, those of some length a second time."""
-    loaded = t.pages.where(F.col("url").startswith("http:")).select(
+def _history(pages):
+    """Every page is in, those of some length a second time."""
+    loaded = pages.select(
         F.lit("pages").alias("dataset_name"), F.regexp_extract("url", r"\.([a-z]+)/", 1).alias("jurisdiction"), "url",
         urls.last_segment(F.col("url")).alias("filename"), F.create_map(F.lit("id"), F.col("page_id").cast("string")).alias("partition_values"),
         F.length("html").alias("row_count"), F.md5("html").alias("file_hash"),
@@ -127,14 +126,14 @@ _HISTORY_SQL = r"""
   SELECT 'pages' AS dataset_name, regexp_extract(url, '\.([a-z]+)/', 1) AS jurisdiction, url AS source_url, split_part(url, '/', -1) AS filename,
          '{"id":"' || page_id || '"}' AS partition_values, day AS loaded_at, CAST(length(html) AS BIGINT) AS row_count, md5(html) AS file_hash
   FROM pages, (VALUES ('2025-01-01T00:00:00'), ('2025-02-01T00:00:00')) AS v(day)
-  WHERE url LIKE 'http:%' AND (day < '2025-02' OR length(html) > 5000)
+  WHERE day < '2025-02' OR length(html) > 5000
 """
 
 
 @query("history_append", _HISTORY_SQL)
 def history_append(spark, t):
     root = workspace(spark, "history_append")
-    rows = _history(t)
+    rows = _history(t.pages)
     history.append(rows.where("loaded_at < '2025-02'"), root)
     history.append(rows.where("loaded_at >= '2025-02'"), root)
     return history.read_history(spark, root)
@@ -146,26 +145,25 @@ def history_append(spark, t):
 )
 def history_lookup(spark, t):
     root = workspace(spark, "history_lookup")
-    history.append(_history(t), root)
+    history.append(_history(t.pages), root)
     mine = history.select_history(history.read_history(spark, root), "org", "pages")
     return history.loaded_urls(history.newest_first(mine))
 
 
 @query(
     "history_newest",
-    f"SELECT source_url, loaded_at FROM ({_HISTORY_SQL}) ORDER BY loaded_at DESC, source_url LIMIT 40",
+    f"SELECT source_url, loaded_at, row_number() OVER (ORDER BY loaded_at DESC, source_url) - 1 AS position FROM ({_HISTORY_SQL})",
 )
 def history_newest(spark, t):
-    # The limit shows the order.
     root = workspace(spark, "history_newest")
-    history.append(_history(t), root)
-    return history.newest_first(history.read_history(spark, root)).limit(40).select("source_url", "loaded_at")
+    history.append(_history(t.pages), root)
+    return history.newest_positions(history.read_history(spark, root)).select("source_url", "loaded_at", "position")
 
 
 _WEB_SQL = """
   WITH o AS (SELECT year(o_orderdate) AS y, o_orderkey, o_totalprice, o_orderpriority FROM orders)
-  SELECT 'indexed' AS dataset_name, y AS year, 'loaded' AS status, count(*) AS n FROM o WHERE o_orderpriority = '1-URGENT' GROUP BY y
-  UNION ALL SELECT 'probed', y, 'loaded', count(*) FROM o WHERE o_orderpriority = '5-LOW' AND y >= 1999 GROUP BY y
+  SELECT 'indexed' AS dataset_name, y AS year, 'loaded' AS status, count(*) AS n FROM o WHERE o_orderpriority < '4' GROUP BY y
+  UNION ALL SELECT 'probed', y, 'loaded', count(*) FROM o WHERE o_orderpriority >= '4' AND y >= 1999 GROUP BY y
   UNION ALL SELECT 'absent', 2001, 'errored', NULL
 """
 
@@ -176,9 +174,9 @@ def web_file_load(spark, t):
     from moorage.plans import web_load
 
     root, raw = workspace(spark, "web_load"), workspace(spark, "web_files")
-    name = F.when(F.col("o_orderpriority") == "1-URGENT", F.lit("indexed")).when(F.col("o_orderpriority") == "5-LOW", F.lit("probed"))
+    name = F.when(F.col("o_orderpriority") < "4", F.lit("indexed")).otherwise(F.lit("probed"))
     rows = t.orders.select("o_orderkey", F.col("o_totalprice").alias("Total Price"), name.alias("name"), F.year("o_orderdate").alias("y"))
-    rows.where("name is not null").hint("rebalance", "name", "y").write.partitionBy("name", "y").option("header", True).csv(raw)
+    rows.hint("rebalance", "name", "y").write.partitionBy("name", "y").option("header", True).csv(raw)
     parts = files.listing(spark, raw, "*.csv").select(
         "path", F.regexp_extract("path", "/name=([a-z]+)/y=([0-9]{4})/", 1).alias("name"), F.regexp_extract("path", "/y=([0-9]{4})/", 1).alias("y")
     )
@@ -214,10 +212,11 @@ def web_file_load(spark, t):
 
 @query(
     "incremental_antijoin",
-    f"SELECT page_id, url FROM pages p WHERE NOT EXISTS (SELECT 1 FROM ({_HISTORY_SQL}) h WHERE h.source_url = p.url)",
+    f"SELECT page_id, url FROM pages p WHERE NOT EXISTS (SELECT 1 FROM ({_HISTORY_SQL}) h WHERE h.source_url = p.url AND p.url LIKE 'http:%')",
 )
 def incremental_antijoin(spark, t):
-    return history.unloaded(t.pages.select("page_id", "url"), _history(t))
+    # What was fetched over plain http is loaded already.
+    return history.unloaded(t.pages.select("page_id", "url"), _history(t.pages.where(F.col("url").startswith("http:"))))
 
 
 @query("file_fingerprint", "SELECT url AS path, md5(html) AS file_hash FROM pages")

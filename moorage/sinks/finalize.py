@@ -107,7 +107,7 @@ def finalize(
     """
     if datasets:
         registry = registry.where(F.col("dataset_name").isin(*datasets))
-    listed = files.listing(spark, root, "*.parquet")
+    listed = files.every_file(spark, root, "*.parquet")
     work = plan(registry, listed, root, requested_crs)
     run = publish_batches(dict(projjson or {}), root.rstrip("/"), (target or root).rstrip("/"), again)
     files.spread(work).mapInArrow(run, OUTCOME).write.mode("append").parquet(outcomes)

@@ -22,9 +22,9 @@ _ARROW = pa.schema([(n, pa.string()) for n in OUTCOME.names])
 
 
 def mapping(spark: SparkSession, root: str, prefix: str, hive: bool = False, by_file_date: bool = False) -> DataFrame:
-    """``path, target`` of every Parquet file below ``root``; this alone is the dry run."""
+    """``path, target`` of every Parquet file below ``root``, empty ones too; this alone is the dry run."""
     relative = below(F.col("path"), root)
-    return files.listing(spark, root, "*.parquet").select(
+    return files.every_file(spark, root, "*.parquet").select(
         "path", relayout_path(relative, prefix.rstrip("/"), hive, by_file_date).alias("target")
     )
 

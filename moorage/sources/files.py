@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import fnmatch
 import hashlib
 import re
 
@@ -10,8 +11,8 @@ from pyarrow import fs as pafs
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from moorage.functions.names import scanned_file
-
+from moorage.functions.names import file_name, scanned_file
+from moorage.session import settled
 
 CHUNK = 8 << 20
 
@@ -64,26 +65,58 @@ def sizes(paths: DataFrame) -> DataFrame:
     return spread(paths.select("path").distinct()).mapInArrow(_sizes, "path string, length bigint")
 
 
-def _below(batches):
+def _children(batches):
+    """Files and folders directly in each folder."""
     for batch in batches:
         for path in batch.column("path").to_pylist():
             fs, name = filesystem(path)
             prefix = path[: len(path) - len(name)]
-            info = fs.get_file_info(name)
-            found = [info] if info.type == pafs.FileType.File else fs.get_file_info(pafs.FileSelector(name, recursive=True))
-            inner = [(i.path[len(name) :].split("/"), i) for i in found if i.type == pafs.FileType.File]
+            found = fs.get_file_info(pafs.FileSelector(name, allow_not_found=True))
             # Hidden files and folders are not data, as in any scan.
-            shown = [i for parts, i in inner if not any(p.startswith((".", "_")) for p in parts)]
-            yield pa.RecordBatch.from_pydict({"path": [prefix + i.path for i in shown], "length": pa.array([i.size for i in shown], pa.int64())})
-
-
-def every_file(spark: SparkSession, root: str) -> DataFrame:
-    """``path, length`` of every file below ``root``, empty ones too; each first-level entry is listed by a task."""
+            shown = [i for i in found if not i.base_name.startswith((".", "_"))]
+            yield pa.RecordBatch.from_arrays(
+                [
+                    pa.array([prefix + i.path for i in shown], pa.string()),
+                    pa.array([i.size if i.type == pafs.FileType.File else None for i in shown], pa.int64()),
+                    pa.array([i.mtime for i in shown], pa.timestamp("us", "UTC")),
+                    pa.array([i.type == pafs.FileType.Directory for i in shown], pa.bool_()),
+                ],
+                names=["path", "length", "modificationTime", "folder"],
+            )
+
+
+def every_file(spark: SparkSession, root: str, pattern: str | None = None) -> DataFrame:
+    """``path, length, modificationTime`` of every file below ``root``, empty ones too; ``pattern`` is a glob of names.
+
+    Folders are listed level by level, those of a level spread over tasks, so that neither a deep tree nor a wide one meets
+    one task. The driver learns only whether there is another level. A missing root has no files.
+    """
     fs, target = _hadoop(spark, root)
     base = fs.makeQualified(target).toString().rstrip("/")
-    names = [n for n in child_names(spark, root) if not n.startswith((".", "_"))]
-    entries = spark.createDataFrame([(f"{base}/{n}",) for n in names], "path string")
-    return spread(entries).mapInArrow(_below, "path string, length bigint")
+    level, found = spark.createDataFrame([(base,)], "path string"), None
+    while True:
+        schema = "path string, length bigint, modificationTime timestamp, folder boolean"
+        listed = settled(spread(level).mapInArrow(_children, schema), "listing")
+        own = listed.where("not folder").drop("folder")
+        found = own if found is None else found.unionByName(own)
+        level = listed.where("folder").select("path")
+        if level.isEmpty():
+            break
+    return found if pattern is None else found.where(file_name(F.col("path")).rlike(fnmatch.translate(pattern)))
+
+
+def _create(batches):
+    for batch in batches:
+        for path in batch.column("path").to_pylist():
+            fs, name = filesystem(path)
+            fs.create_dir(name.rpartition("/")[0], recursive=True)
+            fs.open_output_stream(name).close()
+        yield batch.select(["path"])
+
+
+def create_empty(paths: DataFrame) -> None:
+    """Files of zero bytes at each given path."""
+    paths.select("path").mapInArrow(_create, "path string").write.format("noop").mode("overwrite").save()
 
 
 def contents(spark: SparkSession, root: str | list[str], pattern: str | None = None) -> DataFrame:
