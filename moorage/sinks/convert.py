@@ -134,11 +134,16 @@ def _excel(spark: SparkSession, paths: list[str]) -> Iterator[_Batch | tuple[str
 
 def _geojson(spark: SparkSession, paths: list[str]) -> Iterator[_Batch | tuple[str, str]]:
     bodies = geojson.file_pages(spark, [delimited.literal_path(p) for p in paths])
-    features = bodies.select("layer", F.explode_outer(F.from_json("body", "features array<struct<properties: variant>>")["features"]).alias("f"))
-    found = features.groupBy("layer").agg(F.expr("schema_of_variant_agg(f.properties)").alias("s"), F.count("f").alias("n"))
+    parsed = bodies.select("layer", F.from_json("body", "features array<struct<properties: variant>>")["features"].alias("features"))
+    features = parsed.select("layer", F.col("features").isNull().alias("broken"), F.explode_outer("features").alias("f"))
+    found = features.groupBy("layer").agg(
+        F.expr("schema_of_variant_agg(f.properties)").alias("s"), F.count("f").alias("n"), F.bool_or("broken").alias("broken")
+    )
     by_schema: dict[str, list[str]] = {}
     for row in found.toLocalIterator():
-        if row.n:
+        if row.broken:
+            yield row.layer, "a feature cannot be read"
+        elif row.n:
             by_schema.setdefault(row.s, []).append(row.layer)
         else:
             yield row.layer, "no features"
