@@ -70,6 +70,13 @@ def _first_numbers(numbered: DataFrame, length: int, tokenizer: str) -> dict[int
     return firsts
 
 
+def cut_records(ids: bytes, most: int, fill: bytes) -> Iterator[bytes]:
+    """Records of at most ``most`` bytes of ids: their count, the ids, and ``fill`` behind them."""
+    for at in range(0, len(ids), most):
+        own = ids[at : at + most]
+        yield (len(own) // 2).to_bytes(2, "little") + own + fill[len(own) :]
+
+
 def training_order(
     docs: DataFrame,
     path: str,
@@ -91,7 +98,10 @@ def training_order(
     firsts = _first_numbers(numbered, length, tokenizer)
     n = sum(many for _, many in firsts.values())
     kind = numbered.schema["doc_id"].dataType.simpleString()
-    end = np.array([END], "<u4").tobytes()
+    end = np.array([END], "<u2").tobytes() if END <= 0xFFFF else b""
+    if not end:
+        raise OverflowError("the end id does not fit 16 bits")
+    fill = end * length
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         ids = shared(ByteIds, tokenizer)
@@ -102,29 +112,19 @@ def training_order(
             if number is None:
                 number, many = firsts[batch.column("part")[0].as_py()]
                 stop = number + many
-            whole = ids.encode(texts(batch.column("text")))
-            sizes = np.fromiter(map(len, whole), np.int64, len(whole)) // 4 + 1
-            many = -(-sizes // length)
+            whole = ids.short(texts(batch.column("text")))
+            many = np.array([(len(own) // 2 + length) // length for own in whole], np.int64)
             doc = np.repeat(np.arange(len(whole)), many)
-            first = np.cumsum(many) - many
-            piece = np.arange(len(doc)) - np.repeat(first, many)
-            tokens = np.frombuffer(end.join([*whole, b""]), "<u4")
-            if len(tokens) and tokens.max() > 0xFFFF:
-                raise ValueError("an id of the vocabulary does not fit 16 bits")
-            # Every id has its place in the records of its text, so that one scatter fills the table.
-            place = np.arange(len(tokens)) + np.repeat(first * length - (np.cumsum(sizes) - sizes), sizes)
-            table = np.full((len(doc), length + 1), END, "<u2")
-            table[:, 0] = np.minimum(length, sizes[doc] - piece * length)
-            table[place // length, place % length + 1] = tokens
+            piece = np.arange(len(doc)) - np.repeat(np.cumsum(many) - many, many)
+            records = [record for own in whole for record in cut_records(own + end, 2 * length, fill)]
             slots = feistel(np.arange(number, number + len(doc)), n, seed)
             number += len(doc)
-            data, stride = table.tobytes(), 2 * (length + 1)
             yield pa.RecordBatch.from_arrays(
                 [
                     pa.array(slots),
                     batch.column("doc_id").take(pa.array(doc)),
                     pa.array(piece, pa.int32()),
-                    pa.array([data[i : i + stride] for i in range(0, len(data), stride)], pa.binary()),
+                    pa.array(records, pa.binary()),
                 ],
                 names=["slot", "doc_id", "piece", "record"],
             )

@@ -10,6 +10,8 @@ from __future__ import annotations
 import base64
 import os
 import re
+import sys
+from array import array
 
 import numpy as np
 import public_tokenizers
@@ -41,6 +43,13 @@ def ranked(name: str) -> tiktoken.Encoding | None:
     return tiktoken.Encoding(name, pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
 
 
+def _sixteen(ids: list[int]) -> bytes:
+    short = array("H", ids)
+    if sys.byteorder == "big":
+        short.byteswap()
+    return short.tobytes()
+
+
 class ByteIds:
     """Ids of a byte-level BPE vocabulary as little-endian unsigned 32-bit integers.
 
@@ -65,6 +74,16 @@ class ByteIds:
             for text in texts
         ]
 
+    def short(self, texts: list[str]) -> list[bytes]:
+        """Ids of each text as little-endian unsigned 16-bit integers; a larger one raises."""
+        if self.ranked is None:
+            return [_sixteen(self.tokenizer.encode(text, add_special_tokens=False).ids) for text in texts]
+        plain = self.ranked.encode_ordinary
+        return [
+            _sixteen(self.tokenizer.encode(text, add_special_tokens=False).ids if any(s in text for s in self.special) else plain(text))
+            for text in texts
+        ]
+
     def lengths(self, texts: list[str]) -> list[int]:
         """How many ids each text has, without making them arrays."""
         if self.ranked is None:

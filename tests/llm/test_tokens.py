@@ -8,7 +8,7 @@ import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
-from moorage.llm import counts, order, packing
+from moorage.llm import counts, order, packing, tokens
 from moorage.llm.common import prepare
 from moorage.llm.tokens import ByteIds, WordCounts, load, shared
 
@@ -168,3 +168,15 @@ def test_training_order_round_trip(spark, folder):
     again = list(order.read_slots(folder, 37, 60, length=32, per_shard=50))
     assert all(np.array_equal(a, b) for a, b in zip(again, read[37:97]))
     assert order.training_order(rows_of(spark, []), folder + "/none").count() == 0
+
+
+def test_ids_beyond_16_bits_raise(spark, folder, monkeypatch):
+    ids = shared(ByteIds, "byte_bpe_50k.json")
+    texts = [*ODD, "plain text"]
+    assert [np.frombuffer(b, "<u2").tolist() for b in ids.short(texts)] == [np.frombuffer(b, "<u4").tolist() for b in ids.encode(texts)]
+    assert ids.lengths(texts) == [len(b) // 4 for b in ids.encode(texts)]
+    with pytest.raises(OverflowError):
+        tokens._sixteen([1, 70_000])
+    monkeypatch.setattr(order, "END", 70_000)
+    with pytest.raises(OverflowError):
+        order.training_order(rows_of(spark, [(1, "a b")]), folder)
