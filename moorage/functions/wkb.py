@@ -7,8 +7,6 @@ Shallower kinds use one-element outer levels. The functions work on whole Arrow
 
 from __future__ import annotations
 
-import struct
-
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute  # noqa: F401
@@ -209,146 +207,286 @@ def encode(geometries: pa.Array) -> pa.Array:
     return pa.StructArray.from_arrays([wkb, pa.array(message, pa.string())], ["wkb", "error"])
 
 
-def walk(blob: bytes):
-    """Yield ``(code position, kind, has z, depth, coordinates or None)`` for every part in order.
+# Deepest nesting of parts that is read, and the bytes of a coordinate.
+_DEEPEST, _WIDE = 32, 8
+
+
+class Parts:
+    """The parts of a batch of WKB blobs, found for all blobs at once, part by part.
 
-    Coordinates are ``n x dims`` arrays; polygons give one item per ring. Plain, Z and SRID forms of
-    both byte orders are read. Raises ValueError on malformed input.
+    Every blob has a cursor and a stack of parts still to come; a step reads the next part of each blob that has one. So
+    there are as many steps as the blob of most parts has, each over arrays. Headers and coordinate runs are rows, in the
+    order of their blobs and places: ``blob, kind (0: a ring), depth, at (the header's or first coordinate's byte), count,
+    dims, little, srid``. Plain, Z and SRID forms of both byte orders are read. ``errors`` has a text for malformed blobs,
+    whose rows are left out; nulls have neither.
     """
-    try:
-        pos, todo = 0, [1]
-        while todo:
-            if todo[-1] == 0:
-                todo.pop()
-                continue
-            todo[-1] -= 1
-            order = "<" if blob[pos] == 1 else ">"
-            (code,) = struct.unpack_from(order + "I", blob, pos + 1)
-            at, has_z = pos, bool(code & Z_FLAG)
-            pos += 5 + (4 if code & SRID_FLAG else 0)
-            kind = code & 0xFFFF
-            if kind >= 1000:
-                kind, has_z = kind % 1000, kind // 1000 in (1, 3)
-            if code & M_FLAG or kind not in KIND_NAMES or (code & 0xFFFF) >= 2000:
-                raise ValueError(f"unsupported WKB code {code}")
-            dims = 3 if has_z else 2
-            depth = len(todo) - 1
-
-            def coordinates(n: int) -> np.ndarray:
-                return np.frombuffer(blob, order + "f8", n * dims, pos).reshape(n, dims)
-
-            if kind == POINT:
-                yield at, kind, has_z, depth, coordinates(1)
-                pos += 8 * dims
-                continue
-            (count,) = struct.unpack_from(order + "I", blob, pos)
-            pos += 4
-            if kind == LINE:
-                yield at, kind, has_z, depth, coordinates(count)
-                pos += 8 * dims * count
-                continue
-            yield at, kind, has_z, depth, None
-            if kind != POLYGON:
-                todo.append(count)
-                continue
-            for _ in range(count):
-                (n,) = struct.unpack_from(order + "I", blob, pos)
-                pos += 4
-                yield at, 0, has_z, depth + 1, coordinates(n)
-                pos += 8 * dims * n
-        if pos != len(blob):
-            raise ValueError("trailing bytes after geometry")
-    except (struct.error, IndexError) as exc:
-        raise ValueError(f"truncated WKB: {exc}") from exc
+
+    def __init__(self, blobs: pa.Array):
+        blobs = blobs.cast(pa.large_binary())
+        n = len(blobs)
+        offsets = np.frombuffer(blobs.buffers()[1], "<i8")[blobs.offset : blobs.offset + n + 1] if n else np.zeros(1, np.int64)
+        raw = blobs.buffers()[2]
+        self.data = np.frombuffer(raw, np.uint8)[offsets[0] : offsets[-1]] if raw is not None and raw.size else np.zeros(0, np.uint8)
+        self.start, self.stop = offsets[:-1] - offsets[0], offsets[1:] - offsets[0]
+        self.valid = blobs.is_valid().to_numpy(zero_copy_only=False)
+        self.errors: dict[int, str] = {}
+        # Reads beyond a blob stay inside the array; they are refused afterwards.
+        self._padded = np.concatenate([self.data, np.zeros(16, np.uint8)])
+        self._walk(n)
+
+    def _numbers(self, at: np.ndarray, little: np.ndarray) -> np.ndarray:
+        """Unsigned 32-bit integers at the given places."""
+        at = np.minimum(at, len(self.data))
+        four = self._padded[at[:, None] + np.arange(4)].astype(np.int64)
+        return np.where(little, four @ (1 << np.arange(0, 32, 8)), four @ (1 << np.arange(24, -8, -8)))
+
+    def _refuse(self, blobs: np.ndarray, reasons: list[str] | str) -> None:
+        texts = [reasons] * len(blobs) if isinstance(reasons, str) else reasons
+        self.errors.update(zip(blobs.tolist(), texts))
+
+    def _walk(self, n: int) -> None:
+        pos, depth = self.start.copy(), np.zeros(n, np.int64)
+        todo, rings = np.zeros((n, _DEEPEST + 1), np.int64), np.zeros((n, _DEEPEST + 1), bool)
+        little_at, dims_at = np.zeros((n, _DEEPEST + 1), bool), np.zeros((n, _DEEPEST + 1), np.int64)
+        todo[:, 0] = 1
+        active = np.flatnonzero(self.valid)
+        steps: list[tuple[np.ndarray, ...]] = []
+        while len(active):
+            # Back to the innermost level that has parts left.
+            while len(empty := active[todo[active, depth[active]] == 0]):
+                depth[empty] -= 1
+                done = empty[depth[empty] < 0]
+                if len(done):
+                    self._refuse(done[pos[done] != self.stop[done]], "trailing bytes after geometry")
+                    active = active[depth[active] >= 0]
+            if not len(active):
+                break
+            level = depth[active]
+            todo[active, level] -= 1
+            is_ring = rings[active, level]
+            refused = []
+
+            own, deep = active[is_ring], level[is_ring]
+            if len(own):
+                little, dims = little_at[own, deep], dims_at[own, deep]
+                count, first = self._numbers(pos[own], little), pos[own] + 4
+                pos[own] = first + _WIDE * dims * count
+                refused.append(own[pos[own] > self.stop[own]])
+                steps.append((own, np.zeros(len(own), np.int64), deep, first, count, dims, little, np.zeros(len(own), bool)))
+
+            own, deep = active[~is_ring], level[~is_ring]
+            if len(own):
+                head = pos[own]
+                little = self._padded[np.minimum(head, len(self.data))] == 1
+                code = self._numbers(head + 1, little)
+                srid = (code & SRID_FLAG) != 0
+                base = code & 0xFFFF
+                iso = base // 1000
+                kind = np.where(base >= 1000, base % 1000, base)
+                has_z = np.where(base >= 1000, (iso == 1) | (iso == 3), (code & Z_FLAG) != 0)
+                unknown = ((code & M_FLAG) != 0) | (kind < POINT) | (kind > COLLECTION) | (base >= 2000)
+                short = head + 5 > self.stop[own]
+                self._refuse(own[unknown & ~short], [f"unsupported WKB code {c}" for c in code[unknown & ~short].tolist()])
+                refused.append(own[unknown | short])
+                dims = np.where(has_z, 3, 2)
+                at = head + 5 + 4 * srid
+                point = kind == POINT
+                count = np.where(point, 1, self._numbers(at, little))
+                at = at + np.where(point, 0, 4)
+                line = point | (kind == LINE)
+                pos[own] = at + np.where(line, _WIDE * dims * count, 0)
+                refused.append(own[pos[own] > self.stop[own]])
+                steps.append((own, kind, deep, head, np.where(line, 0, count), dims, little, srid))
+                # The coordinates of points and lines are rows like rings.
+                steps.append((own[line], np.zeros(line.sum(), np.int64), deep[line] + 1, at[line], count[line], dims[line], little[line], srid[line]))
+                inner, below = own[~line], deep[~line] + 1
+                deep_down = below > _DEEPEST
+                self._refuse(inner[deep_down], "nested too deeply")
+                refused.append(inner[deep_down])
+                inner, below, where = inner[~deep_down], below[~deep_down], np.flatnonzero(~line)[~deep_down]
+                depth[inner] = below
+                todo[inner, below] = count[where]
+                rings[inner, below] = kind[where] == POLYGON
+                little_at[inner, below], dims_at[inner, below] = little[where], dims[where]
+            gone = np.unique(np.concatenate(refused)) if refused else active[:0]
+            if len(gone):
+                self._refuse(np.array([b for b in gone.tolist() if b not in self.errors], np.int64), "truncated WKB")
+                active = np.setdiff1d(active, gone, assume_unique=True)
+        columns = [np.concatenate([s[k] for s in steps]) if steps else np.zeros(0, np.int64) for k in range(8)]
+        turn = np.repeat(np.arange(len(steps)), [len(s[0]) for s in steps])
+        bad = np.isin(columns[0], np.fromiter(self.errors, np.int64, len(self.errors)))
+        order = np.lexsort((turn, columns[0]))
+        order = order[~bad[order]]
+        self.blob, self.kind, self.depth, self.at, self.count, self.dims, little, srid = (c[order] for c in columns)
+        self.little, self.srid = little.astype(bool), srid.astype(bool)
+        self.is_run = self.kind == 0
+
+    def coordinates(self) -> np.ndarray:
+        """The ordinates of all coordinate runs, one after another."""
+        run = self.is_run
+        many = (self.count * self.dims)[run]
+        first = np.concatenate([[0], np.cumsum(many)])
+        place = np.repeat(self.at[run], many) + _WIDE * (np.arange(first[-1]) - np.repeat(first[:-1], many))
+        out = np.empty(len(place), "<f8")
+        # Eight views of the bytes, one for each way a coordinate can lie across words.
+        for shift in range(_WIDE):
+            own = np.flatnonzero(place % _WIDE == shift)
+            if len(own):
+                whole = (len(self._padded) - shift) // _WIDE * _WIDE
+                out[own] = self._padded[shift : shift + whole].view("<f8")[place[own] // _WIDE]
+        big = np.repeat(~self.little[run], many)
+        if big.any():
+            out[big] = out[big].byteswap()
+        return out
+
+    def extended(self) -> bool:
+        """Whether any blob has a Z or an SRID, which other forms write differently."""
+        return bool((self.srid | (self.dims == 3)).any())
+
+    def problems(self) -> pa.Array:
+        return pa.array([self.errors.get(i) for i in range(len(self.valid))] if self.errors else [None] * len(self.valid), pa.string())
+
+
+def bounds_of(parts: Parts, values: np.ndarray | None = None) -> pa.StructArray:
+    """``BOUNDS`` of each blob: its type and the x/y range of its parts without missing ordinates; null where it has none."""
+    n = len(parts.valid)
+    values = parts.coordinates() if values is None else values
+    top = np.flatnonzero(~parts.is_run & (parts.depth == 0))
+    names = np.full(n, None, object)
+    kinds, flat = parts.kind[top], parts.dims[top] == 2
+    for kind, name in KIND_NAMES.items():
+        names[parts.blob[top[(kinds == kind) & flat]]] = name
+        names[parts.blob[top[(kinds == kind) & ~flat]]] = name + " Z"
+    box = np.full((4, n), np.nan)
+    runs = np.flatnonzero(parts.is_run)
+    runs_many, dims = parts.count[runs], parts.dims[runs]
+    first = np.concatenate([[0], np.cumsum(runs_many * dims)])[:-1]
+    some = runs_many > 0
+    if some.any():
+        owner = np.repeat(np.arange(len(runs)), runs_many)
+        within = np.arange(len(owner)) - np.repeat(np.cumsum(runs_many) - runs_many, runs_many)
+        x = first[owner] + within * dims[owner]
+        edges = np.concatenate([[0], np.cumsum(runs_many[some])])[:-1]
+        xs, ys = values[x], values[x + 1]
+        sides = [np.minimum.reduceat(xs, edges), np.minimum.reduceat(ys, edges), np.maximum.reduceat(xs, edges), np.maximum.reduceat(ys, edges)]
+        whole = ~np.isnan(sides[0] + sides[1])
+        blob = parts.blob[runs[some]][whole]
+        if len(blob):
+            starts = np.flatnonzero(np.concatenate([[True], blob[1:] != blob[:-1]]))
+            for k, side in enumerate(sides):
+                fold = np.minimum if k < 2 else np.maximum
+                box[k, blob[starts]] = fold.reduceat(side[whole], starts)
+    columns = [pa.array(names, pa.string()), *(pa.array(side, mask=np.isnan(side)) for side in box)]
+    there = np.array([v is not None for v in names], bool) if n else np.zeros(0, bool)
+    return pa.StructArray.from_arrays(columns, [f.name for f in BOUNDS], mask=pa.array(~there))
+
+
+def geometries_of(parts: Parts, values: np.ndarray | None = None) -> pa.StructArray:
+    """``GEOMETRY`` of each blob, null where it is null or malformed; collections inside collections are malformed."""
+    n = len(parts.valid)
+    head = ~parts.is_run
+    collection = np.zeros(n, bool)
+    collection[parts.blob[head & (parts.kind == COLLECTION) & (parts.depth == 0)]] = True
+    nested = np.unique(parts.blob[head & (parts.kind == COLLECTION) & (parts.depth > 0)])
+    parts._refuse(nested, "collection inside a collection")
+    values = parts.coordinates() if values is None else values
+    good = ~np.isin(parts.blob, nested)
+    kept = np.repeat(good[parts.is_run], (parts.count * parts.dims)[parts.is_run])
+    values = values[kept]
+    blob, kind, depth, count, dims, is_run = (a[good] for a in (parts.blob, parts.kind, parts.depth, parts.count, parts.dims, parts.is_run))
+    member = ~is_run & (kind != COLLECTION) & (depth == collection[blob])
+    member_of = np.cumsum(member) - 1
+    kinds = kind[member]
+    top = kinds[member_of] if len(kinds) else kind[:0]
+    # A member is one polygon, a multi-polygon one for each of its parts.
+    polygon = np.where(top == MULTI_POLYGON, ~is_run & (kind == POLYGON), member) if len(kinds) else member
+    polygon_of = np.cumsum(polygon) - 1
+    # The points of a multi-point share one ring.
+    previous = np.concatenate([[-1], member_of[is_run][:-1]]) if is_run.any() else member_of[:0]
+    new = (top[is_run] != MULTI_POINT) | (member_of[is_run] != previous)
+    ring_of = np.cumsum(new) - 1
+    points = np.bincount(ring_of, count[is_run], int(new.sum())).astype(np.int64) if is_run.any() else np.zeros(0, np.int64)
+
+    def lists(sizes: np.ndarray, of: pa.Array) -> pa.ListArray:
+        return pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(sizes)]).astype(np.int32)), of)
+
+    coords = lists(np.repeat(dims[is_run], count[is_run]), pa.array(values))
+    coords = lists(points, coords)
+    coords = lists(np.bincount(polygon_of[is_run][new], minlength=int(polygon.sum())) if is_run.any() else np.zeros(int(polygon.sum()), np.int64), coords)
+    coords = lists(np.bincount(member_of[polygon], minlength=len(kinds)), coords)
+    members = pa.StructArray.from_arrays([pa.array(kinds, pa.int32()), coords], ["kind", "coords"])
+    members = lists(np.bincount(blob[member], minlength=n), members)
+    missing = ~parts.valid.copy()
+    missing[np.fromiter(parts.errors, np.int64, len(parts.errors))] = True
+    return pa.StructArray.from_arrays([pa.array(collection), members], ["collection", "members"], mask=pa.array(missing))
+
+
+def iso_of(parts: Parts) -> pa.Array:
+    """The same geometries with ISO dimension codes and no SRID, as GeoParquet requires."""
+    head = ~parts.is_run
+    out, keep = parts.data.copy(), np.ones(len(parts.data), bool)
+    code = parts.kind[head] + np.where(parts.dims[head] == 3, 1000, 0)
+    shifts = np.where(parts.little[head, None], np.arange(0, 32, 8), np.arange(24, -8, -8))
+    out[(parts.at[head] + 1)[:, None] + np.arange(4)] = (code[:, None] >> shifts) & 0xFF
+    srid = parts.at[head][parts.srid[head]]
+    keep[(srid[:, None] + np.arange(5, 9)).reshape(-1)] = False
+    kept = np.concatenate([[0], np.cumsum(keep)])
+    offsets = np.append(kept[parts.start], kept[parts.stop[-1:]]).astype("<i8")
+    mask = pa.array(parts.valid).buffers()[1]
+    whole = pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(parts.valid), [mask, pa.py_buffer(offsets), pa.py_buffer(out[keep])])
+    return whole.cast(pa.binary())
+
+
+def _single(blob: bytes) -> Parts:
+    parts = Parts(pa.array([blob], pa.binary()))
+    _raise(parts)
+    return parts
+
+
+def _raise(parts: Parts) -> None:
+    if parts.errors:
+        raise ValueError(parts.errors[min(parts.errors)])
 
 
 def decode(blob: bytes) -> dict:
-    """``GEOMETRY`` value of one WKB blob (collections inside collections are not accepted)."""
-    collection, members = False, []
-    for _, kind, _, depth, coords in walk(blob):
-        if kind == COLLECTION:
-            if depth:
-                raise ValueError("collection inside a collection")
-            collection = True
-            continue
-        if depth == (1 if collection else 0):
-            members.append({"kind": kind, "coords": [] if kind == MULTI_POLYGON else [[]]})
-        target = members[-1]["coords"]
-        top = members[-1]["kind"]
-        if top == MULTI_POLYGON and kind == POLYGON:
-            target.append([])
-        if coords is None:
-            continue
-        points = coords.tolist()
-        if top == MULTI_POINT and target[-1]:
-            target[-1][-1].extend(points)
-        else:
-            target[-1].append(points)
-    return {"collection": collection, "members": members}
+    """``GEOMETRY`` value of one WKB blob; ValueError on malformed input."""
+    parts = _single(blob)
+    found = geometries_of(parts)
+    _raise(parts)
+    return found[0].as_py()
 
 
 def iso_form(blob: bytes) -> bytes:
-    """The same geometry with ISO dimension codes and no SRID, as GeoParquet requires."""
-    out, done = [], 0
-    for at, kind, has_z, _, _ in walk(blob):
-        if not kind:
-            continue
-        order = "<" if blob[at] == 1 else ">"
-        (code,) = struct.unpack_from(order + "I", blob, at + 1)
-        out += [blob[done : at + 1], struct.pack(order + "I", kind + (1000 if has_z else 0))]
-        done = at + 5 + (4 if code & SRID_FLAG else 0)
-    return b"".join(out) + blob[done:]
+    return iso_of(_single(blob))[0].as_py()
 
 
 def bounds(blob: bytes) -> tuple[str, float, float, float, float]:
     """Geometry type name and x/y range of one blob."""
-    name, boxes = None, []
-    for _, kind, has_z, depth, coords in walk(blob):
-        if depth == 0 and kind:
-            name = KIND_NAMES[kind] + (" Z" if has_z else "")
-        if coords is not None and len(coords) and not np.isnan(coords[:, :2]).any():
-            boxes.append((*coords[:, :2].min(axis=0), *coords[:, :2].max(axis=0)))
-    if not boxes:
-        return name, None, None, None, None
-    low, high = np.array(boxes)[:, :2].min(axis=0), np.array(boxes)[:, 2:].max(axis=0)
-    return name, float(low[0]), float(low[1]), float(high[0]), float(high[1])
-
-
-def point_grid(blobs: pa.Array) -> np.ndarray | None:
-    """``n x 2`` coordinates when every blob is a plain little-endian point, else None."""
-    if blobs.null_count or len(blobs) == 0:
-        return None
-    arr = blobs.cast(pa.large_binary())
-    offsets = np.frombuffer(arr.buffers()[1], "<i8")[arr.offset : arr.offset + len(arr) + 1]
-    if not (np.diff(offsets) == 21).all():
-        return None
-    raw = np.frombuffer(arr.buffers()[2], np.uint8)[offsets[0] : offsets[-1]].reshape(-1, 21)
-    if not (raw[:, :5] == np.array([1, 1, 0, 0, 0], np.uint8)).all():
-        return None
-    return np.ascontiguousarray(raw[:, 5:]).view("<f8")
-
-
-def _spread(values: pa.Array, blobs: pa.Array) -> pa.Array:
-    """Values of the blobs that are not null, in their places."""
-    if not blobs.null_count:
-        return values
-    there = blobs.is_valid().to_numpy(zero_copy_only=False)
-    return values.take(pa.array(np.cumsum(there) - 1, mask=~there))
-
-
-def _each(blobs: pa.Array, fn):
-    """Apply ``fn`` per blob; ``(value, error)`` lists."""
-    values, errors = [], []
-    for blob in blobs.to_pylist():
-        value = error = None
-        if blob is not None:
-            try:
-                value = fn(blob)
-            except ValueError as exc:
-                error = str(exc)
-        values.append(value)
-        errors.append(error)
-    return values, errors
+    return tuple(bounds_of(_single(blob))[0].as_py().values())
+
+
+_NIBBLE = np.full(256, 255, np.uint8)
+for _digits in (b"0123456789abcdef", b"0123456789ABCDEF"):
+    _NIBBLE[np.frombuffer(_digits, np.uint8)] = np.arange(16)
+
+
+def from_hex(texts: pa.Array) -> pa.Array:
+    """Bytes of hexadecimal texts; null and empty ones are null. ValueError if one is not hexadecimal."""
+    texts = texts.cast(pa.large_string())
+    n = len(texts)
+    if not n:
+        return pa.array([], pa.binary())
+    offsets = np.frombuffer(texts.buffers()[1], "<i8")[texts.offset : texts.offset + n + 1]
+    raw = texts.buffers()[2]
+    digits = _NIBBLE[np.frombuffer(raw, np.uint8)[offsets[0] : offsets[-1]]] if raw is not None and raw.size else np.zeros(0, np.uint8)
+    lengths = np.diff(offsets)
+    if (lengths % 2).any() or (digits > 15).any():
+        raise ValueError("not hexadecimal")
+    data = digits[0::2] << 4 | digits[1::2]
+    mask = pa.array(lengths > 0).buffers()[1]
+    places = ((offsets - offsets[0]) // 2).astype("<i8")
+    whole = pa.LargeBinaryArray.from_buffers(pa.large_binary(), n, [mask, pa.py_buffer(places), pa.py_buffer(data)])
+    return whole.cast(pa.binary())
 
 
 @F.arrow_udf(T.StructType().add("wkb", T.BinaryType()).add("error", T.StringType()))
@@ -358,40 +496,15 @@ def encode_wkb(geometries: pa.Array) -> pa.Array:
 
 @F.arrow_udf(T.StructType().add("geometry", GEOMETRY).add("error", T.StringType()))
 def decode_wkb(blobs: pa.Array) -> pa.Array:
-    nested = pa.list_(pa.list_(pa.list_(pa.list_(pa.float64()))))
-    member = pa.struct([("kind", pa.int32()), ("coords", nested)])
-    kind = pa.struct([("collection", pa.bool_()), ("members", pa.list_(member))])
-    grid = point_grid(blobs.drop_null())
-    if grid is None:
-        values, errors = _each(blobs, decode)
-        return pa.StructArray.from_arrays([pa.array(values, kind), pa.array(errors, pa.string())], ["geometry", "error"])
-    n = len(grid)
-    one = pa.array(np.arange(n + 1, dtype=np.int32))
-    coords = pa.ListArray.from_arrays(pa.array(np.arange(0, 2 * n + 1, 2, dtype=np.int32)), pa.array(grid.reshape(-1)))
-    for _ in range(3):
-        coords = pa.ListArray.from_arrays(one, coords)
-    members = pa.StructArray.from_arrays([pa.array(np.full(n, POINT, np.int32)), coords], ["kind", "coords"])
-    geometry = pa.StructArray.from_arrays(
-        [pa.array(np.zeros(n, bool)), pa.ListArray.from_arrays(one, members)], ["collection", "members"]
-    )
-    return pa.StructArray.from_arrays([_spread(geometry, blobs), pa.nulls(len(blobs), pa.string())], ["geometry", "error"])
+    parts = Parts(blobs)
+    geometry = geometries_of(parts)
+    return pa.StructArray.from_arrays([geometry, parts.problems()], ["geometry", "error"])
 
 
 @F.arrow_udf(T.StructType().add("box", BOUNDS).add("error", T.StringType()))
 def wkb_bounds(blobs: pa.Array) -> pa.Array:
-    names = ["geometry_type", "xmin", "ymin", "xmax", "ymax"]
-    grid = point_grid(blobs.drop_null())
-    if grid is not None:
-        empty = np.isnan(grid).any(axis=1)
-        x, y = (pa.array(grid[:, i], mask=empty) for i in (0, 1))
-        box = pa.StructArray.from_arrays([pa.array(np.full(len(grid), KIND_NAMES[POINT])), x, y, x, y], names)
-        return pa.StructArray.from_arrays([_spread(box, blobs), pa.nulls(len(blobs), pa.string())], ["box", "error"])
-    values, errors = _each(blobs, bounds)
-    box = pa.array(
-        [v and dict(zip(names, v)) for v in values],
-        pa.struct([(names[0], pa.string())] + [(n, pa.float64()) for n in names[1:]]),
-    )
-    return pa.StructArray.from_arrays([box, pa.array(errors, pa.string())], ["box", "error"])
+    parts = Parts(blobs)
+    return pa.StructArray.from_arrays([bounds_of(parts), parts.problems()], ["box", "error"])
 
 
 # So declared, a filter on a result is not moved below the call, where it would call it again.

@@ -57,37 +57,77 @@ def geometry_encode_job(spark, t):
     )
 
 
+def _shapes(t):
+    """Customers with a point, a polygon with a hole, two lines, a point with height, or nothing, as WKB hex."""
+    x, y = F.col("c_nationkey").cast("double"), F.col("c_acctbal")
+    at = lambda dx, dy: F.array(x + dx, y + dy)
+    ring = lambda d, w: F.array(at(d, d), at(d + w, d), at(d + w, d + w), at(d, d))
+    k = F.col("c_custkey") % 5
+    name = F.when(k == 1, "Polygon").when(k == 2, "MultiLineString").when(k < 4, "Point")
+    coordinates = (
+        F.when(k == 0, F.to_json(at(0, 0)))
+        .when(k == 1, F.to_json(F.array(ring(0, 9), ring(1, 1))))
+        .when(k == 2, F.to_json(F.array(F.array(at(0, 0), at(1, 1)), F.array(at(-5, -5), at(0, 0)))))
+        .when(k == 3, F.to_json(F.array(x, y, F.lit(7.0))))
+    )
+    shape = F.struct(name.alias("type"), coordinates.alias("coordinates"), F.lit(None).cast("array<string>").alias("geometries"))
+    rows = t.customer.select("c_custkey", "c_mktsegment", F.when(k < 4, shape).alias("shape"))
+    rows = rows.select("c_custkey", "c_mktsegment", geometry.encode_geojson(F.col("shape")).alias("g"))
+    return rows.select("c_custkey", "c_mktsegment", F.hex("g.wkb").alias("geometry"))
+
+
+_SHAPES_SQL = "(SELECT *, c_custkey % 5 AS k, CAST(c_nationkey AS DOUBLE) AS x, c_acctbal AS y FROM customer)"
+
+
 @query(
     "geometry_decode_job",
-    "SELECT c_custkey, CAST(c_nationkey AS DOUBLE) AS x, c_acctbal AS y, 1 AS kind, CAST(NULL AS VARCHAR) AS decode_error FROM customer",
+    f"""SELECT c_custkey, CASE WHEN k < 4 THEN x END AS x, CASE WHEN k < 4 THEN y END AS y, CAST([1, 3, 5, 1, NULL][k + 1] AS INT) AS kind,
+               CAST([1, 2, 2, 1, NULL][k + 1] AS INT) AS n_rings, CAST([2, 2, 2, 3, NULL][k + 1] AS INT) AS n_dims,
+               CASE k WHEN 1 THEN x + 2 END AS hole_x, CAST(NULL AS VARCHAR) AS decode_error
+        FROM {_SHAPES_SQL}""",
 )
 def geometry_decode_job(spark, t):
-    rows = geometry.decode_hex(_points(t))
-    member = F.col("decoded.members")[0]
-    at = member["coords"][0][0][0]
-    return rows.select("c_custkey", at[0].alias("x"), at[1].alias("y"), member["kind"].alias("kind"), "decode_error")
+    rows = geometry.decode_hex(_shapes(t))
+    member = F.get("decoded.members", F.lit(0))
+    rings = F.get(member["coords"], F.lit(0))
+    first = F.get(F.get(rings, F.lit(0)), F.lit(0))
+    count = lambda c: F.when(c.isNotNull(), F.size(c))
+    hole = F.when(member["kind"] == wkb.POLYGON, F.get(F.get(F.get(rings, F.lit(1)), F.lit(1)), F.lit(0)))
+    return rows.select(
+        "c_custkey", F.get(first, F.lit(0)).alias("x"), F.get(first, F.lit(1)).alias("y"), member["kind"].alias("kind"),
+        count(rings).alias("n_rings"), count(first).alias("n_dims"), hole.alias("hole_x"), "decode_error",
+    )
 
 
 @query(
     "geometry_extent",
-    """SELECT c_mktsegment, min(c_nationkey)::DOUBLE AS xmin, min(c_acctbal) AS ymin, max(c_nationkey)::DOUBLE AS xmax, max(c_acctbal) AS ymax,
-              'Point' AS geometry_types, count(*) AS geometries FROM customer GROUP BY 1""",
+    f"""SELECT c_mktsegment, min(CASE k WHEN 2 THEN x - 5 ELSE x END) AS xmin, min(CASE k WHEN 2 THEN y - 5 ELSE y END) AS ymin,
+               max(CASE k WHEN 1 THEN x + 9 WHEN 2 THEN x + 1 ELSE x END) AS xmax, max(CASE k WHEN 1 THEN y + 9 WHEN 2 THEN y + 1 ELSE y END) AS ymax,
+               string_agg(DISTINCT ['Point', 'Polygon', 'MultiLineString', 'Point Z'][k + 1], ',' ORDER BY ['Point', 'Polygon', 'MultiLineString', 'Point Z'][k + 1])
+                 AS geometry_types, count(*) AS geometries
+        FROM {_SHAPES_SQL} WHERE k < 4 GROUP BY 1""",
 )
 def geometry_extent(spark, t):
-    found = geometry.extent(_points(t), ["c_mktsegment"], geometry.hex_to_wkb(F.col("geometry")))
+    found = geometry.extent(_shapes(t), ["c_mktsegment"], geometry.hex_to_wkb(F.col("geometry")))
     return found.withColumn("geometry_types", F.concat_ws(",", "geometry_types"))
 
 
 @query(
     "geoparquet_roundtrip",
-    "SELECT c_custkey, c_mktsegment, CAST(c_nationkey AS DOUBLE) AS x, c_acctbal AS y FROM customer",
+    f"""SELECT c_custkey, c_mktsegment, CASE WHEN k < 4 THEN x END AS x, CASE WHEN k < 4 THEN y END AS y,
+               CASE k WHEN 3 THEN '01E9030000' WHEN 0 THEN '0101000000' WHEN 1 THEN '0103000000' WHEN 2 THEN '0105000000' END AS head
+        FROM {_SHAPES_SQL}""",
 )
 def geoparquet_roundtrip(spark, t):
     path = workspace(spark, "geoparquet")
-    geoparquet.write(_points(t), path)
+    geoparquet.write(_shapes(t), path)
     rows = spark.read.parquet(path).withColumn("g", wkb.decode_wkb(F.col("geometry")))
-    at = F.col("g.geometry.members")[0]["coords"][0][0][0]
-    return rows.select("c_custkey", "c_mktsegment", at[0].alias("x"), at[1].alias("y"))
+    member = F.get("g.geometry.members", F.lit(0))
+    first = F.get(F.get(F.get(member["coords"], F.lit(0)), F.lit(0)), F.lit(0))
+    return rows.select(
+        "c_custkey", "c_mktsegment", F.get(first, F.lit(0)).alias("x"), F.get(first, F.lit(1)).alias("y"),
+        F.hex(F.substring("geometry", 1, 5)).alias("head"),
+    )
 
 
 @query(

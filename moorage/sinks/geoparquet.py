@@ -12,8 +12,8 @@ from collections.abc import Iterator
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
-import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import pyarrow.parquet as pq
 from pyarrow import fs as pafs
 from pyspark.sql import SparkSession
@@ -48,28 +48,18 @@ class GeoFile:
     def _geometry(self, values: pa.Array) -> pa.Array:
         if pa.types.is_dictionary(values.type):
             values = values.cast(values.type.value_type)
-        if not (pa.types.is_string(values.type) or pa.types.is_large_string(values.type)):
-            blobs = values.cast(pa.binary())
-        else:
-            blobs = pa.array([bytes.fromhex(v) if v else None for v in values.to_pylist()], pa.binary())
-        grid = wkb.point_grid(blobs.drop_null())
-        if grid is not None:
-            self.types.add("Point")
-            filled = grid[~np.isnan(grid).any(axis=1)]
-            if len(filled):
-                self._grow(*filled.min(axis=0), *filled.max(axis=0))
-            return blobs
-        out = []
-        for blob in blobs.to_pylist():
-            if blob is not None:
-                name, *box = wkb.bounds(blob)
-                self.types.add(name)
-                if box[0] is not None:
-                    self._grow(*box)
-                if name.endswith(" Z") or blob[4 if blob[0] == 1 else 1] & 0x20:
-                    blob = wkb.iso_form(blob)
-            out.append(blob)
-        return pa.array(out, pa.binary())
+        text = pa.types.is_string(values.type) or pa.types.is_large_string(values.type)
+        blobs = wkb.from_hex(values) if text else values.cast(pa.binary())
+        parts = wkb.Parts(blobs)
+        if parts.errors:
+            raise ValueError(parts.errors[min(parts.errors)])
+        box = wkb.bounds_of(parts)
+        self.types.update(box.field("geometry_type").drop_null().unique().to_pylist())
+        sides = [pc.min_max(box.field(name))[end].as_py() for name, end in (("xmin", "min"), ("ymin", "min"), ("xmax", "max"), ("ymax", "max"))]
+        if sides[0] is not None:
+            self._grow(*sides)
+        # Only extended forms differ from what the format asks for.
+        return wkb.iso_of(parts) if parts.extended() else blobs
 
     def _grow(self, xmin, ymin, xmax, ymax):
         b = self.box or [xmin, ymin, xmax, ymax]

@@ -140,3 +140,78 @@ def test_sliced_batches():
     arr = pa.array(rows, TYPE)
     assert wkb.encode(arr.slice(2, 3)).to_pylist() == wkb.encode(arr).to_pylist()[2:5]
     assert len(wkb.encode(arr.slice(0, 0))) == 0
+
+
+def some(kind, coords, z, order="<", srid=None, iso=False):
+    """A blob in any of the forms that are read."""
+    code = kind + (1000 if iso and z else 0) | (0x80000000 if z and not iso else 0) | (0x20000000 if srid else 0)
+    head = struct.pack(order + "BI", order == "<", code) + (struct.pack(order + "I", srid) if srid else b"")
+    count = lambda n: struct.pack(order + "I", n)
+    pts = lambda ring: b"".join(struct.pack(f"{order}{len(p)}d", *p) for p in ring)
+    poly = lambda rings: count(len(rings)) + b"".join(count(len(r)) + pts(r) for r in rings)
+    inner = {4: (1, [[[p]] for p in coords[0][0]] if kind == 4 else []), 5: (2, [[[r]] for r in coords[0]]), 6: (3, [[p] for p in coords])}
+    if kind in inner:
+        part, own = inner[kind]
+        own = [[c[0]] if kind == 4 else c for c in own]
+        return head + count(len(own)) + b"".join(some(part, [c] if kind == 4 else c, z, order, None, iso) for c in own)
+    return head + {1: lambda: pts(coords[0][0]), 2: lambda: count(len(coords[0][0])) + pts(coords[0][0]), 3: lambda: poly(coords[0])}[kind]()
+
+
+def box_of(kind, coords, z):
+    points = [p for polygon in coords for ring in polygon for p in ring]
+    name = wkb.KIND_NAMES[kind] + (" Z" if z else "")
+    sides = [f(p[i] for p in points) for f in (min, max) for i in (0, 1)]
+    return dict(zip(["geometry_type", "xmin", "ymin", "xmax", "ymax"], [name, *sides]))
+
+
+@settings(max_examples=150, deadline=None)
+@given(st.lists(st.tuples(geometries(), st.sampled_from("<>"), st.sampled_from([None, 4326]), st.booleans(), st.sampled_from("gggnb")), max_size=8), st.integers(0, 3))
+def test_batches_of_any_form(items, skip):
+    blobs, shapes, boxes, plainer = [], [], [], []
+    for (kind, coords, z), order, srid, iso, state in items:
+        blob = some(kind, coords, z, order, srid, iso)
+        blobs.append({"g": blob, "n": None, "b": blob[:-1]}[state])
+        shapes.append(one(kind, coords) if state == "g" else None)
+        boxes.append(box_of(kind, coords, z) if state == "g" else None)
+        plainer.append(some(kind, coords, z, order, None, True) if state == "g" else None)
+    arr = pa.array([b"x", *blobs], pa.binary()).slice(1).slice(skip)
+    parts = wkb.Parts(arr)
+    assert wkb.geometries_of(parts).to_pylist() == shapes[skip:]
+    assert wkb.bounds_of(parts).to_pylist() == boxes[skip:]
+    broken = [state == "b" for *_, state in items][skip:]
+    assert [e is not None for e in parts.problems().to_pylist()] == broken
+    if not any(broken):
+        assert wkb.iso_of(parts).to_pylist() == plainer[skip:]
+
+
+def test_parts_without_points_and_missing_ordinates():
+    nan = float("nan")
+    hollow = [struct.pack("<BII", 1, k, 0) for k in (2, 3, 4, 5, 6, 7)]
+    gone = struct.pack("<BIdd", 1, 1, nan, nan)
+    half = struct.pack("<BII", 1, 4, 2) + gone + struct.pack("<BIdd", 1, 1, 3.0, 4.0)
+    parts = wkb.Parts(pa.array([*hollow, gone, half, None], pa.binary()))
+    boxes = wkb.bounds_of(parts).to_pylist()
+    assert [b and b["xmin"] for b in boxes] == [None] * 7 + [3.0, None] and boxes[-1] is None and boxes[0]["geometry_type"] == "LineString"
+    shapes = wkb.geometries_of(parts).to_pylist()
+    assert [s["members"][0]["coords"] for s in shapes[:5]] == [[[[]]], [[]], [[]], [[]], []] and shapes[5] == {"collection": True, "members": []}
+
+
+def test_nested_collections_and_far_too_many_parts():
+    point = struct.pack("<BIdd", 1, 1, 1.0, 2.0)
+    nested = struct.pack("<BII", 1, 7, 2) + struct.pack("<BII", 1, 7, 1) + point + point
+    assert wkb.bounds(nested) == ("GeometryCollection", 1.0, 2.0, 1.0, 2.0)
+    with pytest.raises(ValueError, match="collection inside"):
+        wkb.decode(nested)
+    for blob in (struct.pack("<BII", 1, 6, 4_000_000_000), struct.pack("<BII", 1, 7, 1) * 60 + point, struct.pack("<BII", 1, 3, 1) + struct.pack("<I", 4_000_000_000)):
+        with pytest.raises(ValueError):
+            wkb.bounds(blob)
+    assert len(wkb.geometries_of(wkb.Parts(pa.array([], pa.binary())))) == 0
+    assert wkb.bounds_of(wkb.Parts(pa.array([None, None], pa.binary()))).to_pylist() == [None, None]
+
+
+def test_hexadecimal_texts():
+    assert wkb.from_hex(pa.array(["0aFf", None, "", "00", "x"]).slice(0, 4)).to_pylist() == [b"\x0a\xff", None, None, b"\x00"]
+    assert wkb.from_hex(pa.array(["zz", "0102"]).slice(1)).to_pylist() == [b"\x01\x02"]
+    for bad in ("0", "0g", "00 "):
+        with pytest.raises(ValueError):
+            wkb.from_hex(pa.array([bad]))
