@@ -1,6 +1,8 @@
 """Leaks against a search that compares every window of every item's size."""
 
+import pickle
 import random
+import time
 
 import pytest
 
@@ -74,15 +76,15 @@ def test_query_and_edge_cases(spark):
     ]
     docs = spark.createDataFrame([(i, t, {"a": 1}, 2) for i, t in rows], "doc_id long, text string, item_id map<string,int>, similarity int")
     found = sorted(((r.doc_id, r.item_id, r.start_word, r.n_words) for r in d.find_leaks(docs, bench).collect()), key=repr)
-    assert found == sorted([(1, 1, 2, 7), (1, 1, 2, 7), (4, 4, 0, 2), (None, 1, 0, 7), (7, 1, 50_000, 7)], key=repr)
+    assert found == sorted([(1, 1, 2, 7), (1, 1, 2, 7), (4, 4, 0, 2), (5, 4, 0, 2), (None, 1, 0, 7), (7, 1, 50_000, 7)], key=repr)
     kept = d.without_leaks(docs, bench)
-    assert kept.schema == docs.schema and sorted(r.doc_id for r in kept.collect()) == [2, 3, 5, 6]
+    assert kept.schema == docs.schema and sorted(r.doc_id for r in kept.collect()) == [2, 3, 6]
     assert d.find_leaks(docs.limit(0), bench).count() == 0
     assert d.find_leaks(docs, bench.limit(0)).count() == 0
     assert d.without_leaks(docs, bench.limit(0)).count() == len(rows)
     blocks = sorted((r.doc_id or 0, r.item_id) for r in d.find_leaks(docs, bench).collect())
     items = list(d.item_blocks(bench, most=16))
-    assert sum(len(i.ids) for i in items) == 2 and len(items) > 1 and len(blocks) == 5
+    assert sum(len(i.ids) for i in items) == 2 and len(items) > 1 and len(blocks) == 6
 
 
 def test_planted_table(spark):
@@ -157,3 +159,51 @@ def test_short_items_are_found_inside_longer_texts():
     items = d.Items([0, 1, 2], [b"one", b"Two words", b"these four words here"])
     found = items.leaks([b"a b c, two WORDS d e two words", b"x these four words here y", b"and one more of these four words", b"no such passage in here at all"])
     assert [f[:4] for f in found] == [(0, 1, 3, 2), (0, 1, 7, 2), (1, 2, 1, 4), (2, 0, 1, 1)]
+    assert [f[:4] for f in items.leaks([b"two words", b"two words more", b"one"])] == [(0, 1, 0, 2), (1, 1, 0, 2), (2, 0, 0, 1)]
+
+
+def edited(bench, draw):
+    """Items with a changed word, cut at an end, or with new last words, inside other text: (item, text)."""
+    out = []
+    for k, text in enumerate(bench):
+        own = text.split()
+        forms = [[*own[:at], "changed", *own[at + 1 :]] for at in range(0, len(own), 3)]
+        for cut in range(1, len(own) // 5 + 1):
+            forms += [own[cut:], own[:-cut], [*own[:-cut], *(f"new{i}" for i in range(cut))]]
+        out += [(k, " ".join(["before", *form, "and after it"])) for form in forms]
+    return out
+
+
+def test_the_index_finds_what_the_exact_way_finds():
+    """Rows come through the blocks of the fingerprints alone: without them there are none."""
+    draw = random.Random(11)
+    bench = [" ".join(f"w{draw.randrange(3000)}" for _ in range(draw.randint(15, 60))) for _ in range(60)]
+    raw = [t.encode() for t in bench]
+    texts = [t.encode() for _, t in edited(bench, draw)]
+    ids = list(range(len(bench)))
+    pairs = lambda **options: {leak[:2] for leak in d.Items(ids, raw, **options).leaks(texts)}
+    exact = pairs(exact=True)
+    assert len(exact) > 500 and pairs(index=False) == set()
+    assert len(pairs() & exact) >= 0.99 * len(exact) and pairs() <= exact
+    assert pairs(exact=True, index=False) == exact
+
+
+def test_ids_of_other_types(spark):
+    prepare(spark)
+    docs = spark.createDataFrame([(1, "alpha beta gamma delta epsilon zeta")], "doc_id smallint, text string")
+    for kind in ("smallint", "string", "decimal(5,0)"):
+        bench = spark.createDataFrame([(1, "alpha beta gamma delta epsilon zeta"), (None, "alpha beta gamma delta epsilon zeta")], "item_id int, text string")
+        found = d.find_leaks(docs, bench.withColumn("item_id", d.F.col("item_id").cast(kind)))
+        assert found.schema["item_id"].dataType.simpleString() == kind
+        assert sorted(str(r.item_id) for r in found.collect()) == ["1", "None"]
+
+
+def test_items_with_a_common_template_and_a_large_benchmark():
+    started = time.process_time()
+    template = " ".join(f"t{k}" for k in range(11))
+    raw = [f"{template} {' '.join(f'i{i}x{k}' for k in range(30))}".encode() for i in range(20_000)]
+    items = d.Items(list(range(len(raw))), raw)
+    size = len(pickle.dumps(items))
+    found = items.leaks([raw[7], b"x " * 50 + template.encode(), raw[19_999] + b" end"])
+    assert [(t, i) for t, i, *_ in found] == [(0, 7), (2, 19_999)]
+    assert time.process_time() - started < 60 and size < 15 * sum(map(len, raw))
