@@ -16,8 +16,9 @@ FALSE_TOKENS = ("False", "FALSE", "false")
 
 # Integers that may fit 64 bits.
 BIGINT_PATTERN = r"^\s*[+-]?0*[0-9]{1,19}\s*$"
+# Without backtracking into digits, which a date or a key would set off at every one of them.
 NUMBER_PATTERN = (
-    r"^\s*[+-]?(?:(?:[0-9]+\.?[0-9]*|\.[0-9]+)(?:[eE][+-]?[0-9]+)?|[iI][nN][fF](?:[iI][nN][iI][tT][yY])?|[nN][aA][nN])\s*$"
+    r"^\s*+[+-]?(?:(?:[0-9]++(?:\.[0-9]*+)?|\.[0-9]++)(?:[eE][+-]?[0-9]++)?|[iI][nN][fF](?:[iI][nN][iI][tT][yY])?|[nN][aA][nN])\s*+$"
 )
 
 
@@ -37,6 +38,16 @@ def text_to_bigint(col: Column) -> Column:
     return F.when(col.rlike(BIGINT_PATTERN), F.trim(col).try_cast("bigint"))
 
 
+def beyond_bigint(col: Column) -> Column:
+    """Whether the digits of a whole number need more than 64 bits.
+
+    Compared as text: a cast that fails costs an exception, which for a column of long keys is one a row.
+    """
+    digits = F.regexp_extract(col, r"^\s*[+-]?0*([0-9]*)\s*$", 1)
+    largest = F.when(F.startswith(F.trim(col), F.lit("-")), "9223372036854775808").otherwise("9223372036854775807")
+    return (F.length(digits) > 19) | (F.length(digits) == 19) & (digits > largest)
+
+
 def text_to_boolean(col: Column) -> Column:
     return F.when(col.isin(*TRUE_TOKENS), F.lit(True)).when(col.isin(*FALSE_TOKENS), F.lit(False))
 

@@ -30,8 +30,8 @@ def _look(col: Column) -> Column:
     number = (
         F.when(fraction, _FRACTION)
         .when(F.length(col) <= 18, _WHOLE)
-        .when(values.text_to_bigint(col).isNotNull(), _WHOLE)
-        .otherwise(_LONG_WHOLE)
+        .when(values.beyond_bigint(col), _LONG_WHOLE)
+        .otherwise(_WHOLE)
     )
     flag = col.isin(*values.TRUE_TOKENS, *values.FALSE_TOKENS)
     return F.when(col.isNull(), 0).when(flag, _FLAG).when(col.rlike(values.NUMBER_PATTERN), number).otherwise(_TEXT)

@@ -8,7 +8,7 @@ from moorage.functions import wkb
 from moorage.operators import geometry
 from moorage.plans.registered import query
 from moorage.session import workspace
-from moorage.sinks import finalize, footers, geoparquet
+from moorage.sinks import finalize, footers, geo_layout, geoparquet
 from moorage.sources import files
 
 
@@ -130,6 +130,21 @@ def geoparquet_roundtrip(spark, t):
     )
 
 
+@query(
+    "geoparquet_partitions",
+    f"""SELECT c_custkey, c_nationkey AS nation, c_mktsegment AS segment, CASE WHEN k < 4 THEN x END AS x FROM {_SHAPES_SQL}""",
+)
+def geoparquet_partitions(spark, t):
+    # All customers, then those of some nations once more, which replaces their partitions.
+    path = workspace(spark, "geoparquet-partitions")
+    keyed = _shapes(t).join(t.customer.select("c_custkey", F.col("c_nationkey").alias("nation")), "c_custkey").withColumnRenamed("c_mktsegment", "segment")
+    geo_layout.write(keyed, path, ["nation", "segment"])
+    geo_layout.write(keyed.where("nation % 2 = 0"), path, ["nation", "segment"], mode="dynamic")
+    rows = spark.read.parquet(path).withColumn("g", wkb.decode_wkb(F.col("geometry")))
+    first = F.get(F.get(F.get(F.get("g.geometry.members", F.lit(0))["coords"], F.lit(0)), F.lit(0)), F.lit(0))
+    return rows.select("c_custkey", "nation", "segment", F.get(first, F.lit(0)).alias("x"))
+
+
 @query(
     "footer_audit",
     """SELECT count(*) AS n_rows, true AS all_geo, 'WKB' AS encoding, 'Point' AS geometry_types, min(c_nationkey)::DOUBLE AS xmin,

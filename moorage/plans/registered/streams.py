@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from moorage.operators.metrics import Metric
 from moorage.plans.registered import query
 from moorage.session import workspace
+from moorage.sources import files
 from moorage.streaming import ingest
 
 METRICS = [Metric("value", "sum"), Metric("user_id", "max")]
@@ -40,3 +41,29 @@ def stream_batch_metrics(spark, t):
     root, _ = _run(spark, t, "stream_metrics")
     rows = ingest.batch_metrics(spark, root, "events")
     return rows.select(F.col(ingest.BATCH).alias("batch"), "metric_name", F.round("value", 2).alias("value"))
+
+
+@query(
+    "stream_quarantine",
+    """SELECT event_type AS name, 'loaded' AS status, count(*) AS n FROM events WHERE event_type <> 'click' GROUP BY 1
+       UNION ALL SELECT event_type, 'error', CAST(NULL AS BIGINT) FROM events WHERE event_type = 'click' GROUP BY 1
+       UNION ALL SELECT 'none', 'empty', NULL FROM (SELECT count(*) AS n FROM events) WHERE n > 0""",
+)
+def stream_quarantine(spark, t):
+    """A file for each kind of event, one of them text under a data name, and one empty; a second run finds nothing new."""
+    root, source = workspace(spark, "stream_quarantine"), workspace(spark, "stream_quarantine-in")
+    rows = t.events.select("event_id", "user_id", "event_type")
+    for kind in [r.event_type for r in rows.select("event_type").distinct().collect()]:
+        own = rows.where(F.col("event_type") == kind).coalesce(1)
+        if kind == "click":
+            own.select(F.col("event_id").cast("string")).write.text(f"{source}/{kind}")
+        else:
+            own.write.parquet(f"{source}/{kind}")
+    files.create_empty(rows.limit(1).select(F.lit(f"{source}/none/part-0.parquet").alias("path")))
+    for day in (1, 2):
+        ingest.ingest(spark, source, rows.schema, root, "events", "j", f"2025-01-0{day}T00:00:00", METRICS[1:])
+    folder = F.element_at(F.split("path", "/"), -2)
+    error = F.when(F.col("error") == "file is empty", "empty").otherwise("error")
+    bad = ingest.load_errors(spark, root, "events").select(folder.alias("name"), error.alias("status"), F.lit(None).cast("long").alias("n"))
+    good = ingest.loaded(spark, root, "events", rows.schema).groupBy(F.col("event_type").alias("name")).agg(F.count(F.lit(1)).alias("n"))
+    return good.select("name", F.lit("loaded").alias("status"), "n").unionByName(bad)

@@ -246,6 +246,34 @@ def test_stream_loads_each_file_once(spark, folder):
     assert values == {(0, "row_count"): 2.0, (0, "v"): 5.0, (1, "row_count"): 1.0, (1, "v"): 7.0}
 
 
+def test_stream_goes_on_behind_a_corrupt_file(spark, folder):
+    source, root = f"{folder}/in", f"{folder}/out"
+    schema = spark.range(1).schema
+    for k in range(5):
+        spark.range(k, k + 1).coalesce(1).write.mode("append").parquet(source)
+    with open(f"{source}/part-broken.parquet", "wb") as out:
+        out.write(b"PAR1 this is no data PAR1")
+    open(f"{source}/part-empty.parquet", "wb").close()
+    for day in (1, 2):
+        ingest.ingest(spark, source, schema, root, "d", "town", f"2025-01-0{day}")
+        assert sorted(r.id for r in ingest.loaded(spark, root, "d", schema).collect()) == [0, 1, 2, 3, 4]
+        errors = {r.path.rsplit("/", 1)[1]: r.error for r in ingest.load_errors(spark, root, "d").collect()}
+        assert set(errors) == {"part-broken.parquet", "part-empty.parquet"} and errors["part-empty.parquet"] == "file is empty"
+    past = ingest.stream_history(spark, root).collect()
+    assert len(past) == 5 and {r.loaded_at for r in past} == {"2025-01-01"}
+    spark.range(9, 10).coalesce(1).write.mode("append").parquet(source)
+    ingest.ingest(spark, source, schema, root, "d", "town", "2025-01-03")
+    assert ingest.loaded(spark, root, "d", schema).count() == 6 and ingest.load_errors(spark, root, "d").count() == 2
+
+
+def test_a_batch_of_bad_files_only(spark, folder):
+    for k in range(3):
+        with open(f"{folder}/{k}.parquet", "w") as out:
+            out.write("no")
+    ingest.ingest(spark, folder, spark.range(1).schema, f"{folder}-out", "d", "town", "2025-01-01")
+    assert ingest.load_errors(spark, f"{folder}-out", "d").count() == 3
+
+
 def test_repeated_batch_replaces_itself(spark, folder):
     df = spark.range(3)
     for _ in range(2):

@@ -66,6 +66,21 @@ def test_type_rules(spark):
     ) == ["bigint", "double", "boolean", "string", "string", "string", "string", "string", "string", "double"]
 
 
+@pytest.mark.parametrize(
+    "text, kind",
+    [
+        ("9223372036854775807", "bigint"), ("9223372036854775808", "string"), ("-9223372036854775808", "bigint"), ("-9223372036854775809", "string"),
+        ("+0009223372036854775807 ", "bigint"), ("000000000000000000000", "bigint"), (" -00000000000000000000012", "bigint"), ("10000000000000000000", "string"),
+    ],
+)
+def test_edges_of_64_bits(spark, text, kind):
+    df = spark.createDataFrame([(text,), ("1",)], "v string")
+    typed = inference.infer_types(df)
+    assert typed.schema["v"].dataType.simpleString() == kind
+    if kind == "bigint":
+        assert sorted(r.v for r in typed.collect()) == sorted([int(text), 1])
+
+
 cell = st.sampled_from(["1", "-7", "007", "2.5", "1e3", "True", "false", "abc", "NA", "", "12d", "1f", " 4", "0x1", "-", "+3", ".5", "5.", "1,5", "nan"])
 
 
