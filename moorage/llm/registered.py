@@ -9,10 +9,10 @@ from pyspark.sql import functions as F
 
 from moorage.llm import bytebpe, chat, counts, decontaminate, fingerprints, jaccard, order, packing, periodic, quality, shards, spelling, webtext
 from moorage.llm.common import prepare
+from moorage.llm.oracles import ORACLES  # noqa: F401
 from moorage.session import workspace
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
-ORACLES: dict[str, str] = {}
 
 
 def _query(fn: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
@@ -94,9 +94,6 @@ def op11_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spelling.spelling_groups(spelling.words_with_slips(_table(spark, sf_dir, "documents")))
 
 
-ORACLES["op11_spelling"] = spelling.SQL
-
-
 @_query
 def op12_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bytebpe.round_trip(_table(spark, sf_dir, "documents"))

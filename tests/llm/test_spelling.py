@@ -7,7 +7,6 @@ from collections import Counter
 
 import pytest
 
-import check
 from moorage.llm import registered, spelling
 from moorage.llm.common import prepare
 
@@ -115,13 +114,6 @@ def test_words_of_texts(spark):
     assert {r.word: r.n for r in spelling.words_with_slips(docs).collect()} == slipped(rows)
 
 
-@pytest.mark.parametrize("sf", ["sf0.001"])
-def test_query_matches_sql(spark, sf):
-    path = f"/root/testdata/{sf}"
-    verdict, _ = check.compare(spark, check.connect(path), path, "op11_spelling")
-    assert verdict.startswith("ok ("), verdict
-
-
 def test_words_of_the_table(spark):
     path = "/root/testdata/sf0.001"
     rows = [(r.doc_id, r.text) for r in spark.read.parquet(f"{path}/documents.parquet").collect()]
