@@ -84,7 +84,7 @@ def _feature_rows(
     key = "attributes" if crs else "properties"
     # The reading pass parses each body once; pages that are empty or carry an error have no features.
     kept = pages.until_stop(landed, pages.stop_offsets(profile, options.page_size))
-    schema = attributes if attributes is not None else pages.infer_attributes(landed, key)
+    schema = attributes if attributes is not None else pages.infer_attributes(kept, key)
     read = pages.esri_rows if crs else pages.geojson_rows
     if options.max_records is None:
         return read(kept, schema)
@@ -118,6 +118,21 @@ def load_dataset(
     staged = f"{options.root.rstrip('/')}/_staging/{name}-{uuid.uuid4().hex}"
     # A light pass counts features per page; what it finds is small and used twice.
     profile = settled(pages.page_profile(landed).drop("body"), "page-profile")
+    warned = settled(
+        pages.page_warnings(profile, options.page_size).select(
+            F.concat(F.lit("page at offset "), F.col("offset"), F.lit(": "), "reason").alias("warning")
+        ),
+        "page-warnings",
+    )
+
+    def note(warnings: DataFrame) -> None:
+        own = warnings.select(F.lit(jurisdiction).alias("jurisdiction"), F.lit(options.run_time).alias("loaded_at"), "warning")
+        tables.append(own, _log_path(options, jurisdiction, WARNING_TABLE, name))
+
+    # Known from the profile: nothing is written of a load that is to be refused.
+    if not options.allow_incomplete and options.max_records is None and (incomplete := warned.first()):
+        note(warned)
+        raise IncompleteError(f"{jurisdiction}/{name}: {incomplete.warning}")
     rows = _feature_rows(landed, profile, crs, options, attributes)
     rows, seen = observed(
         rows, metrics, f"{jurisdiction}.{name}", source=True, **{BROKEN: F.count("geometry_error")}
@@ -126,21 +141,9 @@ def load_dataset(
 
     values = dict(seen.get)
     broken = values.pop(BROKEN)
-    warned = settled(
-        pages.page_warnings(profile, options.page_size).select(
-            F.concat(F.lit("page at offset "), F.col("offset"), F.lit(": "), "reason").alias("warning")
-        ),
-        "page-warnings",
-    )
-    incomplete = None if options.allow_incomplete or options.max_records is not None else warned.first()
     if broken:
         warned = warned.unionByName(spark.createDataFrame([(f"{broken} geometries could not be converted",)], "warning string"))
-    warned = warned.select(F.lit(jurisdiction).alias("jurisdiction"), F.lit(options.run_time).alias("loaded_at"), "warning")
-    tables.append(warned, _log_path(options, jurisdiction, WARNING_TABLE, name))
-    if incomplete:
-        files.delete(spark, staged)
-        raise IncompleteError(f"{jurisdiction}/{name}: {incomplete.warning}")
-
+    note(warned)
     datasets = spark.createDataFrame(
         [(jurisdiction, name, _tolerance(dataset))], "jurisdiction string, dataset_name string, dataset_tolerance double"
     )

@@ -177,12 +177,14 @@ def _plain(column: str):
 
 
 def _usable(todo: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Files that can be read, and the rest with a reason: not landed, empty, or landed for several addresses."""
+    """Files that can be read, and the rest with a reason: not landed, empty, landed for several addresses, or several times."""
     sized = todo.join(files.sizes(todo), "path", "left")
     shared = F.size(F.collect_set("url").over(Window.partitionBy("path"))) > 1
-    # The several addresses of one landed file are few; the set holds no more than them.
+    again = F.size(F.collect_set("path").over(Window.partitionBy("url"))) > 1
+    # The several addresses of one landed file are few, as are the places of one address; the sets hold no more than them.
     reason = (
         F.when(shared, F.lit("several addresses have this file name"))
+        .when(again, F.lit("address is landed several times"))
         .when(F.col("length").isNull(), F.lit("file is not landed"))
         .when(F.col("length") == 0, F.lit("file has no columns"))
     )

@@ -180,6 +180,20 @@ def test_file_load_is_incremental_and_skips_bad_files(spark, tmp_path):
     assert spark.read.parquet(f"{root}/town/tax_roll").where("year = 2027").first().tax_total is None
 
 
+def test_an_address_landed_twice_is_refused(spark, tmp_path):
+    for name in ("one", "two"):
+        (tmp_path / f"{name}.csv").write_text("a\n1\n")
+    (tmp_path / "three.csv").write_text("a\n3\n")
+    todo = spark.createDataFrame(
+        [("https://x.org/2024.csv", "2024.csv", {"year": "2024"}, f"{tmp_path}/{n}.csv") for n in ("one", "two")]
+        + [("https://x.org/2023.csv", "2023.csv", {"year": "2023"}, f"{tmp_path}/three.csv")],
+        "url string, filename string, partition_values map<string,string>, path string",
+    )
+    bad = file_load.load_files(spark, todo, f"{tmp_path}/out", "d", "town", "csv", {"year": r"\d{4}"}, "2025-01-01").collect()
+    assert sorted((r.path.rsplit("/", 1)[1], r.error) for r in bad) == [(f"{n}.csv", "address is landed several times") for n in ("one", "two")]
+    assert [r.a for r in spark.read.parquet(f"{tmp_path}/out/town/d").collect()] == [3]
+
+
 def test_files_are_neither_lost_nor_in_the_way(spark, tmp_path):
     landing, root = str(tmp_path / "in"), str(tmp_path / "out")
     (tmp_path / "in").mkdir()
