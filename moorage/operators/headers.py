@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from moorage.functions import values
 from moorage.functions.names import normalize_name, suffix_duplicates
-from moorage.session import settled
+from moorage.session import settled, workspace
 
 KEYS = ["file", "sheet"]
 
@@ -60,11 +60,17 @@ def tables(cells: DataFrame, min_columns: int = 3, explicit: int | None = None,
 
 
 def sheet_tables(rows: DataFrame, headers: DataFrame, normalize: bool = True) -> list[DataFrame]:
-    """The same from sheet rows and header rows that are written already."""
+    """The same from sheet rows and header rows that are written already.
+
+    Rows are dealt and written by header once, and each table is read from its own folder, so that neither scans nor plans
+    grow with the number of headers.
+    """
     # One row per sheet: settled, so that its size decides how the many body rows are joined.
     found = settled(header_cells(rows, headers), "sheet-names")
-    body = body_rows(rows, found)
-    used = body.select("key", F.explode(F.map_keys("cells")).alias("c")).distinct()
+    body, path = body_rows(rows, found), workspace(rows.sparkSession, "sheet-tables")
+    body.hint("rebalance", F.col("key")).write.partitionBy("key").parquet(path)
+    reader = rows.sparkSession.read.schema(body.drop("key").schema)
+    used = rows.sparkSession.read.schema(body.schema).parquet(path).select("key", F.explode_outer(F.map_keys("cells")).alias("c")).distinct()
     columns = used.groupBy("key").agg(F.collect_list("c").alias("used"))
     distinct = found.groupBy("key").agg(F.min("header").alias("header")).join(columns, "key", "left").orderBy("key")
     out = []
@@ -73,9 +79,7 @@ def sheet_tables(rows: DataFrame, headers: DataFrame, normalize: bool = True) ->
         numbers = sorted(set(names) | set(row.used or []))
         raw = [names.get(n, "nan") for n in numbers]
         labels = suffix_duplicates([normalize_name(n) for n in raw] if normalize else raw)
-        out.append(
-            body.where(F.col("key") == row.key).select(
-                *KEYS, "r", *[F.col("cells")[n].alias(label) for n, label in zip(numbers, labels)]
-            )
-        )
+        # A header without rows below it has no folder.
+        own = reader.parquet(f"{path}/key={row.key}") if row.used is not None else rows.limit(0)
+        out.append(own.select(*KEYS, "r", *[F.col("cells")[n].alias(label) for n, label in zip(numbers, labels)]))
     return out

@@ -84,3 +84,20 @@ def test_dates_and_errors(spark):
     row = "".join(f'<c s="{s}"><v>{v}</v></c>' for s, v in values) + '<c t="e"><v>#DIV/0!</v></c>'
     got = [r.v for r in cells(spark, book(f'<row r="1">{row}</row>', styles=styles)).orderBy("c").collect()]
     assert got == ["2024-01-15 00:00:00", "2024-01-15 18:00:00", "45306", "45306", "12:00:00", "1900-01-01 00:00:00", "1900-03-01 00:00:00"]
+
+
+def test_many_headers_are_read_once(spark):
+    """Fifty sheets, each with columns of its own, and one without rows below its header."""
+    cells = [(f"f{k}", "s", r, c, f"h{k}x{c}" if r == 0 else f"v{k}-{r}-{c}") for k in range(50) for r in range(4 if k else 1) for c in range(3)]
+    cells += [("f51", "s", 0, c, f"h51x{c}") for c in range(3)] + [("f51", "s", 1, 0, "")]
+    frame = spark.createDataFrame(cells, "file string, sheet string, r int, c int, v string")
+    found = headers.tables(frame)
+    assert len(found) == 51
+    rows = {}
+    for table in found:
+        plan = table._jdf.queryExecution().optimizedPlan().toString()
+        assert plan.count("Relation") + plan.count("Scan") <= 1 and len(plan) < 2000
+        for r in table.collect():
+            rows.setdefault(r.file, []).append(tuple(r)[2:])
+    assert {f: sorted(own) for f, own in rows.items()} == {f"f{k}": [(r, *(f"v{k}-{r}-{c}" for c in range(3))) for r in range(1, 4)] for k in range(1, 50)} | {"f51": [(1, None, None, None)]}
+    assert {tuple(t.columns) for t in found} == {("file", "sheet", "r", *(f"h{k}x{c}" for c in range(3))) for k in [*range(50), 51]}
