@@ -15,6 +15,8 @@ from moorage.functions.names import file_name, scanned_file
 from moorage.session import settled
 
 CHUNK = 8 << 20
+# Folders that one task lists.
+FOLDERS = 16
 
 
 def filesystem(path: str) -> tuple[pafs.FileSystem, str]:
@@ -89,19 +91,20 @@ def every_file(spark: SparkSession, root: str, pattern: str | None = None) -> Da
     """``path, length, modificationTime`` of every file below ``root``, empty ones too; ``pattern`` is a glob of names.
 
     Folders are listed level by level, those of a level spread over tasks, so that neither a deep tree nor a wide one meets
-    one task. The driver learns only whether there is another level. A missing root has no files.
+    one task. The driver learns only how many folders the next level has. A missing root has no files.
     """
     fs, target = _hadoop(spark, root)
     base = fs.makeQualified(target).toString().rstrip("/")
-    level, found = spark.createDataFrame([(base,)], "path string"), None
-    while True:
+    level, found, many = spark.createDataFrame([(base,)], "path string"), None, 1
+    while many:
+        # A task for every few folders: most levels of most trees are small.
+        tasks = min(4 * spark.sparkContext.defaultParallelism, -(-many // FOLDERS))
         schema = "path string, length bigint, modificationTime timestamp, folder boolean"
-        listed = settled(spread(level).mapInArrow(_children, schema), "listing")
+        listed = settled(level.repartition(tasks, "path").mapInArrow(_children, schema), "listing")
         own = listed.where("not folder").drop("folder")
         found = own if found is None else found.unionByName(own)
         level = listed.where("folder").select("path")
-        if level.isEmpty():
-            break
+        many = level.count()
     return found if pattern is None else found.where(file_name(F.col("path")).rlike(fnmatch.translate(pattern)))
 
 
