@@ -3,7 +3,7 @@
 Chunks of one document are rows of their own, so many tasks share it. Neighbours overlap; both report the token
 boundaries they see in the overlap and the tokens before each. They are spliced at a boundary that both have and that is
 proven stable: white space stands beside it, which no token of the vocabulary spans. Where the two have no such
-boundary in common, the overlap of that pair is doubled until they do, at last until the pair is the whole document.
+boundary in common, the document is cut again with an overlap four times as wide, at last until a chunk is the whole document.
 """
 
 from __future__ import annotations
@@ -30,7 +30,6 @@ def token_counts(docs: DataFrame, tokenizer: str = TOKENIZER, key: str = "doc_id
     texts count as the library counts them; white space beside them is as stable as elsewhere.
     """
     whole = F.coalesce(F.col(text), F.lit(""))
-    whole = F.coalesce(F.col(text), F.lit(""))
     rows = docs.select(F.col(key).alias("doc_id"), F.octet_length(whole).cast("long").alias("n_bytes"), whole.alias("text"))
     first = settled(_short_counts(rows, tokenizer, chunk + overlap), "token-counts")
     short = first.where("rest is null").select("doc_id", "n_bytes", "n_tokens")
