@@ -4,8 +4,10 @@ from __future__ import annotations
 
 import io
 import zipfile
+from functools import reduce
 
 import pyarrow as pa
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from moorage.functions.names import below, normalize_columns, scanned_file, snake_case
@@ -57,13 +59,15 @@ def delimited_scan(spark, t):
        GROUP BY ALL""",
 )
 def encoding_choice(spark, t):
+    """Rows by the encoding and the way their files are read; a file may hold a header alone, which any encoding reads."""
     root = workspace(spark, "encoding_choice")
     _text_files(t, root)
-    commas = delimited.profile(spark, [f"{root}/csv_utf8", f"{root}/csv_latin1"])
-    seen = commas.unionByName(delimited.profile(spark, f"{root}/tsv_utf8", "\t"))
-    return seen.groupBy(_source(F.col("path")).alias("source"), "encoding", "multi_line").agg(
-        F.sum(F.col("lines") - 1).alias("n_rows")
-    )
+    found = []
+    for paths, sep in (([f"{root}/csv_utf8", f"{root}/csv_latin1"], ","), (f"{root}/tsv_utf8", "\t")):
+        for group in delimited.file_groups(delimited.profile(spark, paths, sep)):
+            rows = delimited.read_group(spark, group, sep).select(_source(F.col("source_file")).alias("source"))
+            found.append(rows.select("source", F.lit(group.encoding).alias("encoding"), F.lit(group.multi_line).alias("multi_line")))
+    return reduce(DataFrame.unionByName, found).groupBy("source", "encoding", "multi_line").agg(F.count(F.lit(1)).alias("n_rows"))
 
 
 def _workbook(cells: list[list[object]]) -> bytes:

@@ -1,6 +1,8 @@
 import io
 
 import pandas as pd
+import pyarrow as pa
+import pyarrow.parquet as pq
 import pytest
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
@@ -8,6 +10,7 @@ from hypothesis import strategies as st
 from moorage.functions.names import header_names, normalize_columns, snake_case, suffix_duplicates
 from moorage.functions.values import NULL_TOKENS
 from moorage.operators import inference
+from moorage.plans.registered import QUERIES
 from moorage.sources import delimited
 
 
@@ -30,6 +33,21 @@ def test_encodings_bom_quotes_and_line_breaks(spark, folder):
     ]
 
 
+@pytest.mark.parametrize("n", [500, 0])
+def test_files_of_a_header_alone_count_no_rows(spark, folder, n):
+    """The first scan partition of one row group in many byte ranges is empty, but gets a file with a header."""
+    names = pa.array([f"Customer {i * 7919 % 10007}" for i in range(n)], pa.string())
+    table = {"c_custkey": pa.array(range(n), pa.int64()), "c_name": names, "c_acctbal": pa.array([i / 4 for i in range(n)], pa.float64())}
+    pq.write_table(pa.table(table), f"{folder}/customer.parquet")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "2048")
+    try:
+        found = QUERIES["encoding_choice"](spark, folder).collect()
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+    want = [("csv_latin1", "ISO-8859-1"), ("csv_utf8", "UTF-8"), ("tsv_utf8", "UTF-8")]
+    assert sorted(tuple(r) for r in found) == ([(source, encoding, False, n) for source, encoding in want] if n else [])
+
+
 def test_long_rows_are_found(spark, folder):
     put(folder, "good.csv", "a,b\n1,2\n")
     put(folder, "bad.csv", "a,b\n1,2,3\n4,5\n")
