@@ -277,8 +277,10 @@ def feature_load(spark, t):
     entry = F.concat_ws(" ", "validation_timestamp", "status")
     audits = audit.groupBy("dataset_name").agg(F.array_join(F.sort_array(F.collect_list(entry)), ",").alias("audits"))
     stored = None
+    # Amounts add up exactly, in whatever order they come: a sum of doubles can fall short of a half.
+    total = F.round(F.sum(F.col("total").cast("decimal(31,12)"))).cast("bigint")
     for name in _LOADED:
         one = spark.read.schema("o_orderkey bigint, total double").parquet(f"{root}/j/{name}")
-        one = one.agg(F.count(F.lit(1)).alias("n"), F.round(F.sum("total")).cast("bigint").alias("total")).withColumn("dataset_name", F.lit(name))
+        one = one.agg(F.count(F.lit(1)).alias("n"), total.alias("total")).withColumn("dataset_name", F.lit(name))
         stored = one if stored is None else stored.unionByName(one)
     return told.join(stored, "dataset_name").join(audits, "dataset_name")

@@ -1,6 +1,8 @@
 """The whole loads: features into gated snapshots, web files into partitions, files as a stream."""
 
 import json
+from decimal import Decimal
+from itertools import permutations
 
 import pytest
 from pyspark.sql import functions as F
@@ -8,6 +10,7 @@ from pyspark.sql import functions as F
 from moorage.operators import discovery, gate, history
 from moorage.operators.metrics import Metric
 from moorage.plans import feature_load, file_load
+from moorage.plans.registered import QUERIES
 from moorage.plans.registered.files import _workbook
 from moorage.sources import catalog
 from moorage.streaming import ingest
@@ -294,3 +297,17 @@ def test_repeated_batch_replaces_itself(spark, folder):
         ingest._replace_batch(df, folder + "/t", 4)
     ingest._replace_batch(df, folder + "/t", 5)
     assert spark.read.parquet(folder + "/t").count() == 6
+
+
+def test_totals_of_a_load_are_exact(spark, folder):
+    """In every order the doubles of ``3-MEDIUM`` add up to less than the half they are."""
+    prices = [48594652444.84, 70260534413.15, 17583450632.51]
+    assert sum(Decimal(str(p)) for p in prices) == Decimal("136438637490.5")
+    assert all((a + b) + c < 136438637490.5 for a, b, c in permutations(prices))
+    rows = [(i, p, "3-MEDIUM") for i, p in enumerate(prices)]
+    rows += [(10, 100.25, "1-URGENT"), (11, 10.0, "2-HIGH"), (12, 1.1, "4-NOT SPECIFIED"), (13, 2.4, "5-LOW")]
+    spark.createDataFrame(rows, "o_orderkey long, o_totalprice double, o_orderpriority string").write.parquet(f"{folder}/orders.parquet")
+    found = {r.dataset_name: (r.outcome, r.n, r.total) for r in QUERIES["feature_load"](spark, folder).collect()}
+    assert found == {
+        "broken": ("failed", 3, 136438637491), "fails": ("failed", 1, 10), "first": ("loaded", 2, 4), "passes": ("loaded", 1, 102)
+    }
