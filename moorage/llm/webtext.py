@@ -1,11 +1,12 @@
 """Main text of web pages: articles by their element and marks, other text by a suffix array over each host's pages.
 
 A page is read into blocks. Blocks in ``article`` or ``main`` are the text of the page; blocks marked as menus, headers,
-footers, sidebars, notices, adverts, forms or comments are not. Unmarked blocks of an article all stay, whatever they
+footers, sidebars, notices, adverts, forms or comments are not. Unmarked blocks of a closed article all stay, whatever they
 share with other pages. Everything outside articles is the loose text of the page. The loose texts of a host's pages are
 concatenated, each block behind the name of its element, and their suffixes sorted: substrings of at least ``RUN`` tokens
 that stand on several distinct pages, the template of the host, are found as neighbours with that much in common. A page
-without article keeps the runs of its unmarked blocks that are not so covered.
+without article keeps the runs of its unmarked blocks that are not so covered. Where a page never closes its article, the
+suffixes of that are sorted among the others, and the article ends before the template that follows it.
 """
 
 from __future__ import annotations
@@ -63,6 +64,9 @@ _COMPOUNDS = frozenset(
 _BETWEEN = re.compile(r"[\d_-]+")
 # How an element is marked: by a class or id, which says nothing about an article inside, or by its tag, role or being hidden.
 NAMED, BUILT = 1, 2
+# Where a block stands: outside articles, in one that is closed, or in one that never is.
+LOOSE, CLOSED, OPEN = 0, 1, 2
+_BLOCKS = ("blocks", "marks", "elements", "kinds")
 
 
 def _named(names: str, in_text: bool) -> bool:
@@ -93,7 +97,13 @@ def _marked(name: str, rest: str, in_text: bool) -> int:
 
 def blocks(page: str) -> list[tuple[str, bool, bool, str]]:
     """(text, in an article, marked as boilerplate, name of its element) of each block that has text, in page order."""
+    return _read(page)[0]
+
+
+def _read(page: str) -> tuple[list[tuple[str, bool, bool, str]], int]:
+    """The blocks of a page, and how many there are until an article that stays open begins or the last of its inner ones is closed."""
     out: list[tuple[str, bool, bool, str]] = []
+    closed = 0
     stack: list[tuple[str, bool, int]] = []
     # Open elements of each name, so that a close without any is seen at once.
     opened: Counter[str] = Counter()
@@ -122,6 +132,8 @@ def blocks(page: str) -> list[tuple[str, bool, bool, str]]:
                 place = next(k for k in range(len(stack) - 1, -1, -1) if stack[k][0] == name)
                 if any(n in _BLOCK for n, _, _ in stack[place:]):
                     end()
+                if any(n in _TEXT for n, _, _ in stack[place:]):
+                    closed = len(out)
                 _, text, marked = stack[place]
                 opened.subtract(n for n, _, _ in stack[place:])
                 del stack[place:]
@@ -131,17 +143,21 @@ def blocks(page: str) -> list[tuple[str, bool, bool, str]]:
                 end()
             stack.append((name, text, marked))
             opened[name] += 1
-            if name in _TEXT and not text and marked == NAMED:
-                marked = 0
+            if name in _TEXT and not text:
+                closed = len(out)
+                marked = 0 if marked == NAMED else marked
             text, marked = text or name in _TEXT, max(marked, changed)
     if at < len(page):
         pieces.append(page[at:])
     end()
-    return out
+    return out, closed if text else len(out)
 
 
-def repeated(streams: list[list[int]], run: int = RUN, pages: int = PAGES) -> list[np.ndarray]:
-    """Which words of each stream, that of a page, lie in a substring of ``run`` words that stands on ``pages`` distinct pages."""
+def repeated(streams: list[list[int]], run: int = RUN, pages: int = PAGES, holders: int | None = None) -> list[np.ndarray]:
+    """Which words of each stream, that of a page, lie in a substring of ``run`` words that stands on ``pages`` distinct pages.
+
+    With ``holders`` only so many streams, the first, count as pages; such substrings are found in the others too.
+    """
     lengths = np.array([len(s) for s in streams], np.int64)
     ends = np.cumsum(lengths)
     text = np.concatenate([np.array(s, np.int64) for s in streams]) if streams else np.zeros(0, np.int64)
@@ -164,8 +180,9 @@ def repeated(streams: list[list[int]], run: int = RUN, pages: int = PAGES) -> li
         # Neighbours of one rank share at least ``run`` words, if these do not pass the end of their page.
         whole = np.arange(len(text)) + run <= ends[page]
         order = order[whole[order]]
-        ranks, holders = rank[order], page[order]
-        new = np.concatenate([[True], (ranks[1:] != ranks[:-1]) | (holders[1:] != holders[:-1])]) if len(order) else np.zeros(0, bool)
+        ranks, owners = rank[order], page[order]
+        new = np.concatenate([[True], (ranks[1:] != ranks[:-1]) | (owners[1:] != owners[:-1])]) if len(order) else np.zeros(0, bool)
+        new &= owners < (len(streams) if holders is None else holders)
         wide = np.bincount(ranks[new], minlength=len(text)) >= pages
         hits = order[wide[ranks]]
         np.add.at(covered, hits, 1)
@@ -182,8 +199,8 @@ def host(url: str = "url"):
 def main_text(pages: DataFrame, part_pages: int = PART_PAGES, part_bytes: int = PART_BYTES) -> DataFrame:
     """page_id, url, text, n_chars of every row of ``pages`` (page_id, url, html).
 
-    Also, of pages without article, the words of their loose text, those that are repeated on the host, and those that the
-    text lost for that; null for pages with one.
+    Also, of pages without article or with one that is never closed, the words outside articles, those of them that are
+    repeated on the host, and those that the text lost for that; null for pages whose articles are closed.
 
     Null pages are empty, and an empty page has the empty text. Broken and unclosed markup is read as far as it goes.
     Pages without host form one group. Repeated rows are pages of their own; a page whose unmarked text is repeated
@@ -202,47 +219,45 @@ def main_text(pages: DataFrame, part_pages: int = PART_PAGES, part_bytes: int =
         for batch in batches:
             article, loose = [], []
             for page in texts(batch.column("html")):
-                found = blocks(page)
-                has = any(in_text for _, in_text, _, _ in found)
+                found, closed = _read(page)
+                has = any(in_text for _, in_text, _, _ in found) and closed == len(found)
                 article.append("\n\n".join(t for t, in_text, marked, _ in found if in_text and not marked) if has else None)
-                loose.append([(t, marked, name) for t, in_text, marked, name in found if not in_text])
+                kinds = [LOOSE if not b[1] else CLOSED if k < closed else OPEN for k, b in enumerate(found)]
+                loose.append([(t, marked, name, kind) for (t, _, marked, name), kind in zip(found, kinds) if kind == LOOSE or not has])
             columns = [batch.column(name) for name in ("page_id", "url", "host", "part", "parts")]
             columns.append(pa.array(article, pa.string()))
-            for k, of in enumerate((pa.string(), pa.bool_(), pa.string())):
+            for k, of in enumerate((pa.string(), pa.bool_(), pa.string(), pa.int8())):
                 columns.append(pa.array([[b[k] for b in own] for own in loose], pa.list_(of)))
-            yield pa.RecordBatch.from_arrays(columns, names=["page_id", "url", "host", "part", "parts", "article", "blocks", "marks", "elements"])
+            yield pa.RecordBatch.from_arrays(columns, names=["page_id", "url", "host", "part", "parts", "article", *_BLOCKS])
 
     place = f"page_id {kind}, url string, host string, part long, parts long"
     read_rows = rows.select("page_id", "url", "host", "part", "parts", "html")
-    parsed = f"{place}, article string, blocks array<string>, marks array<boolean>, elements array<string>"
-    # Pages are parsed once; what stands outside their articles is all that meets on the host.
+    parsed = f"{place}, article string, blocks array<string>, marks array<boolean>, elements array<string>, kinds array<tinyint>"
+    # Pages are parsed once; what stands outside their articles, and articles without an end, is all that meets on the host.
     known = settled(read_rows.mapInArrow(read, parsed), "page-blocks")
 
     def sort_host(table: pa.Table, common: pa.Table) -> pa.Table:
         rows, streams, names = _streams(table)
-        covered = repeated(streams)
+        covered = repeated(streams, holders=len(rows))
         if common.num_rows:
             held = np.unique(np.concatenate([np.frombuffer(w, np.uint64) for w in common.column("windows").to_pylist()]))
             covered = _add_known(covered, streams, names, held)
         kept, loose, repeats, lost = [], [], [], []
-        for (own, marks, _), inside in zip(rows, covered):
-            words = [t.split(" ") for t in own]
-            spans, at = [], 0
-            for block in words:
-                spans.append(inside[at + 1 : at + 1 + len(block)])
-                at += 1 + len(block)
-            text, less = _unique(words, marks, spans)
+        for own, outside, inside in zip(rows, covered, covered[len(rows) :]):
+            around = _spans([b for b in own if b[3] == LOOSE], outside)
+            within = _spans([b for b in own if b[3] != LOOSE], inside)
+            text, less = _ended(within) if within else _unique(around)
             kept.append(text)
             lost.append(less)
-            loose.append(sum(map(len, words)))
-            repeats.append(int(sum(s.sum() for s in spans)))
+            loose.append(sum(len(words) for words, *_ in around))
+            repeats.append(int(sum(c.sum() for *_, c in around)))
         columns = [table.column("page_id"), table.column("url"), pa.array(kept, pa.string())]
         columns += [pa.array(c, pa.int64()) for c in (loose, repeats, lost)]
         found = pa.table(columns, names=["page_id", "url", "text", "loose_words", "repeated_words", "lost_words"])
         return found.filter(pa.array([not has for has in table.column("has_article").to_pylist()], pa.bool_()))
 
     out = f"page_id {kind}, url string, text string, loose_words long, repeated_words long, lost_words long"
-    loose = known.select("page_id", "url", "host", "part", "parts", "blocks", "marks", "elements", F.col("article").isNotNull().alias("has_article"))
+    loose = known.select("page_id", "url", "host", "part", "parts", *_BLOCKS, F.col("article").isNotNull().alias("has_article"))
     own = loose.groupBy("host", "part")
     if sizes.isEmpty():
         found = own.applyInArrow(lambda table: sort_host(table, table.slice(0, 0)), out)
@@ -256,17 +271,27 @@ def main_text(pages: DataFrame, part_pages: int = PART_PAGES, part_bytes: int =
     return articles.unionByName(found).withColumn("n_chars", F.length("text").cast("long"))
 
 
-def _streams(table: pa.Table) -> tuple[list, list[list[int]], dict[str, int]]:
-    """Blocks, marks and elements of each page's loose text, its tokens as numbers, and these numbers."""
+def _streams(table: pa.Table) -> tuple[list[list[tuple]], list[list[int]], dict[str, int]]:
+    """The blocks of each page; the tokens of all loose texts, then of all articles, as numbers; and these numbers."""
     names: dict[str, int] = {}
-    streams = []
-    found = list(zip(*(table.column(name).to_pylist() for name in ("blocks", "marks", "elements"))))
-    for own, _, elements in found:
-        # No word holds a blank, so no word is the name of an element.
-        streams.append([names.setdefault(w, len(names)) for t, name in zip(own, elements) for w in (" " + name, *t.split(" "))])
+    found = [list(zip(*own)) for own in zip(*(table.column(name).to_pylist() for name in _BLOCKS))]
+    # Two streams of a page, so that no run leads from its loose text into its article.
+    sides = [[(t, name) for t, _, name, kind in own if (kind == LOOSE) is side] for side in (True, False) for own in found]
+    # No word holds a blank, so no word is the name of an element.
+    streams = [[names.setdefault(w, len(names)) for t, name in own for w in (" " + name, *t.split(" "))] for own in sides]
     return found, streams, names
 
 
+def _spans(own: list[tuple], covered: np.ndarray) -> list[tuple[list[str], bool, int, np.ndarray]]:
+    """Words, mark and kind of each block of a stream, and which of its words are covered."""
+    out, at = [], 0
+    for text, marked, _, kind in own:
+        words = text.split(" ")
+        out.append((words, marked, kind, covered[at + 1 : at + 1 + len(words)]))
+        at += 1 + len(words)
+    return out
+
+
 _PLACES = mix(np.arange(1, RUN + 1, dtype=np.uint64)) | np.uint64(1)
 
 
@@ -286,13 +311,15 @@ def _windows(streams: list[list[int]], names: dict[str, int]) -> tuple[np.ndarra
 
 def _count_part(table: pa.Table) -> pa.Table:
     """The windows of a part in slices by name, and on how many distinct pages each is (``PAGES`` stands for more)."""
-    _, streams, names = _streams(table)
+    rows, streams, names = _streams(table)
     windows, many = _windows(streams, names)
     owner = np.repeat(np.arange(len(streams)), many)
     order = np.lexsort((owner, windows))
     windows, owner = windows[order], owner[order]
     new = np.concatenate([[True], (windows[1:] != windows[:-1]) | (owner[1:] != owner[:-1])])[: len(windows)]
-    windows, pages = np.unique(windows[new], return_counts=True)
+    # Articles only ask for their windows; they are on no page.
+    windows, place = np.unique(windows[new], return_inverse=True)
+    pages = np.bincount(place, owner[new] < len(rows), len(windows))
     parts, part = table.column("parts")[0].as_py(), table.column("part")[0].as_py()
     slices = (windows % np.uint64(parts)).astype(np.int64)
     order = np.argsort(slices, kind="stable")
@@ -340,11 +367,18 @@ def _add_known(covered: list[np.ndarray], streams: list[list[int]], names: dict[
     return out
 
 
-def _unique(own: list[list[str]], marks: list[bool], covered: list[np.ndarray]) -> tuple[str, int]:
+def _unique(spans: list[tuple[list[str], bool, int, np.ndarray]]) -> tuple[str, int]:
     """The unmarked blocks less repeated runs, and how many words these had."""
-    spans = [(words, c) for words, marked, c in zip(own, marks, covered) if not marked]
+    spans = [(words, c) for words, marked, _, c in spans if not marked]
     lost = int(sum(c.sum() for _, c in spans))
     if lost == sum(len(words) for words, _ in spans):
         return "\n\n".join(" ".join(words) for words, _ in spans), 0
     left = (" ".join(w for w, c in zip(words, inside) if not c) for words, inside in spans)
     return "\n\n".join(t for t in left if t), lost
+
+
+def _ended(spans: list[tuple[list[str], bool, int, np.ndarray]]) -> tuple[str, int]:
+    """The unmarked blocks of articles until only template follows in one that is never closed, and how many words that had."""
+    spans = [(words, kind == OPEN and c.all()) for words, marked, kind, c in spans if not marked]
+    end = max((k + 1 for k, (_, template) in enumerate(spans) if not template), default=len(spans))
+    return "\n\n".join(" ".join(words) for words, _ in spans[:end]), sum(len(words) for words, _ in spans[end:])

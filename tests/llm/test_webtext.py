@@ -157,3 +157,29 @@ def test_parts_of_a_host_do_not_show(spark):
 )
 def test_only_whole_names_mark(page, text):
     assert "\n\n".join(t for t, in_text, marked, _ in w.blocks(page) if in_text and not marked) == text
+
+
+@pytest.mark.parametrize("part_pages", [512, 2])
+def test_the_template_ends_an_article_that_is_never_closed(spark, part_pages):
+    """What stands outside articles on three pages follows the article; in its midst, or where it is closed, it is text."""
+    about = "<div>all rights of this paper are kept by those who print it</div><ul><li>Home</li><li>News</li><li>Shop</li><li>Mail</li></ul>"
+    said = ["all rights of this paper are kept by those who print it", "Home", "News", "Shop", "Mail"]
+    own = lambda i: " ".join(f"u{i}x{k}" for k in range(9))
+    rows = [(i, "https://a.org/p", f"<article><p>{own(i)}</p></article>{about}") for i in range(3)]
+    rows += [(10 + i, "https://a.org/p", f"<article><p>{own(10 + i)}</p>{about}") for i in range(5)]
+    rows += [(20, "https://a.org/p", f"<article>{about}<p>{own(20)}</p>{about}<footer>x"), (21, "https://a.org/p", f"<article>{about}")]
+    rows += [(22, "https://a.org/p", f"<article>{about}</article>"), (23, "https://b.org/p", f"<article><p>{own(23)}</p>{about}")]
+    rows += [(24, "https://a.org/p", f"<main><article><p>{own(24)}</p>{about}</article><p>{own(25)}</p>{about}")]
+    prepare(spark)
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string")
+    found = {r.page_id: r for r in w.main_text(pages, part_pages=part_pages).collect()}
+    want = {i: [own(i)] for i in (0, 1, 2, *range(10, 15))}
+    want |= {20: [*said, own(20)], 21: said, 22: said, 23: [own(23), *said], 24: [own(24), *said, own(25)]}
+    assert {i: r.text for i, r in found.items()} == {i: "\n\n".join(t) for i, t in want.items()}
+    assert [found[i].lost_words for i in (0, 10, 20, 21, 22, 23)] == [None, 16, 16, 0, None, 0]
+
+
+def test_open_ends_of_articles():
+    found, closed = w._read("<p>a</p><article>b</article><main>c<article>d</article>e<p>f")
+    assert [t for t, *_ in found] == ["a", "b", "c", "d", "e", "f"] and closed == 4
+    assert w._read("<article>a</article>b")[1] == 2 and w._read("<div><article>a</div>b")[1] == 2 and w._read("")[1] == 0
